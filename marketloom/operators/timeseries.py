@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import day, ratio, round_half_away
 
-TRADING_DAYS = 252
-ANNUAL_PCT = F.sqrt(F.lit(float(TRADING_DAYS)))
+TRADING_DAYS = 252.0
 
 
 def with_previous(df: DataFrame, value: str, by: list[str], order: list[str], name: str) -> DataFrame:
@@ -48,7 +47,7 @@ def rolling_days(agg, value: str, days: int, by: str = "security_id", order: str
 
 
 def annual_vol_pct(stddev: Column) -> Column:
-    return round_half_away(stddev * ANNUAL_PCT * F.lit(100.0), 2)
+    return round_half_away(stddev * F.sqrt(F.lit(TRADING_DAYS)) * F.lit(100.0), 2)
 
 
 def latest_per_key(df: DataFrame, key: str, date: str, values: list[str]) -> DataFrame:
