@@ -90,60 +90,57 @@ def join_asof(
     right: DataFrame,
     legs: list[Leg],
     *,
-    by: str,
-    left_date: str,
-    right_date: str,
+    by: list[str],
+    left_on: str,
+    right_on: str,
     value: str,
 ) -> DataFrame:
     """Adds one column per leg holding the as-of ``value`` of ``right``, or NULL.
 
-    Backward takes the last row dated on or before the probe date, forward the
-    first on or after it. All legs share one shuffle of ``right``: probes and
-    rows are merged per series, ordered by date and filled from the nearest row.
-    Probes are distinct (key, date) pairs, which keeps every merged group within
-    the calendar even when one key owns most of ``left``.
+    Backward takes the last row at or before the probe, forward the first at or
+    after it. All legs share one shuffle of ``right``: probes and rows are merged
+    per series, ordered and filled from the nearest row. Probes are distinct
+    (key, point) pairs, so a group holds no more rows than there are distinct
+    points, even when one key owns most of ``left``. ``right`` must be unique per
+    key and point.
     """
-    lookup = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(leg.name).alias("leg"),
-                F.date_add(F.col(left_date), leg.shift_days).alias("at"),
-            )
-            for leg in legs
-        ])
-    )
+
+    def probe(leg: Leg) -> Column:
+        at = F.date_add(left_on, leg.shift_days) if leg.shift_days else F.col(left_on)
+        return F.struct(F.lit(leg.name).alias("leg"), at.alias("at"))
+
+    usable = F.col(left_on).isNotNull()
+    for key in by:
+        usable = usable & F.col(key).isNotNull()
     probes = (
-        left.select(by, F.col(left_date).alias("probe_date"))
-        .filter(F.col(by).isNotNull() & F.col("probe_date").isNotNull())
+        left.select(*by, left_on)
+        .filter(usable)
         .distinct()
-        .withColumnRenamed("probe_date", left_date)
-        .select(by, left_date, lookup.alias("l"))
-        .select(by, left_date, F.col("l.leg").alias("leg"), F.col("l.at").alias("at"), F.lit(1).alias("is_probe"))
+        .select(*by, left_on, F.explode(F.array(*[probe(leg) for leg in legs])).alias("l"))
+        .select(*by, left_on, F.col("l.leg").alias("leg"), F.col("l.at").alias("at"), F.lit(1).alias("is_probe"))
     )
     marks = right.select(
-        by,
-        F.col(right_date).alias("at"),
+        *by,
+        F.col(right_on).alias("at"),
         F.lit(0).alias("is_probe"),
         F.struct(F.col(value).alias("v")).alias("mark"),
     )
-    merged = marks.unionByName(probes, allowMissingColumns=True)
-
-    filled = merged
+    filled = marks.unionByName(probes, allowMissingColumns=True)
     if any(leg.direction == "backward" for leg in legs):
-        before = Window.partitionBy(by).orderBy("at", "is_probe").rowsBetween(Window.unboundedPreceding, 0)
+        before = Window.partitionBy(*by).orderBy("at", "is_probe").rowsBetween(Window.unboundedPreceding, 0)
         filled = filled.withColumn("backward", F.last("mark", ignorenulls=True).over(before))
     if any(leg.direction == "forward" for leg in legs):
         # Descending order keeps the frame growing, which is linear; a frame
         # that ends at the last row would be evaluated anew for every row.
-        after = Window.partitionBy(by).orderBy(F.desc("at"), "is_probe").rowsBetween(Window.unboundedPreceding, 0)
+        after = Window.partitionBy(*by).orderBy(F.desc("at"), "is_probe").rowsBetween(Window.unboundedPreceding, 0)
         filled = filled.withColumn("forward", F.last("mark", ignorenulls=True).over(after))
 
     found = (
         filled.filter(F.col("is_probe") == 1)
-        .groupBy(by, left_date)
+        .groupBy(*by, left_on)
         .agg(*[
             F.max(F.when(F.col("leg") == leg.name, F.col(f"{leg.direction}.v"))).alias(leg.name)
             for leg in legs
         ])
     )
-    return left.join(found, [by, left_date], "left")
+    return left.join(found, [*by, left_on], "left")

@@ -122,9 +122,9 @@ def _actions_with_prices(tables: Tables, ticker) -> DataFrame:
         of_ticker(tables, "Corporate_Action", ticker),
         of_ticker(tables, "Price", ticker),
         legs,
-        by="security_id",
-        left_date="action_date",
-        right_date="trade_date",
+        by=["security_id"],
+        left_on="action_date",
+        right_on="trade_date",
         value="close",
     )
 

@@ -1 +1,248 @@
+"""Registered ingest transforms over the raw relations."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketloom.ingest import fixed_values as fixed
+from marketloom.ingest import market, reference
+from marketloom.sources.store import row_counts
+from marketloom.schema import LOAD_ORDER
+from marketloom.suite.registry import END, START, case
+
+_MEMBERS = """members AS (
+        SELECT symbol, security, sector, sub_industry FROM (
+            SELECT REPLACE(TRIM(symbol), '.', '-') AS symbol, security, sector, sub_industry, ordinal FROM raw_constituents
+            WHERE symbol IS NOT NULL AND security IS NOT NULL AND sector IS NOT NULL AND sub_industry IS NOT NULL) AS kept
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY ordinal) = 1)"""
+_SECTORS = """sectors AS (
+        SELECT CAST(ROW_NUMBER() OVER (ORDER BY sector) AS BIGINT) AS sector_id, sector AS sector_name
+        FROM (SELECT DISTINCT sector FROM members) AS names)"""
+_INDUSTRIES = """industries AS (
+        SELECT CAST(ROW_NUMBER() OVER (ORDER BY sub_industry, sector) AS BIGINT) AS industry_id,
+               sub_industry AS industry_name, sector_id
+        FROM (SELECT DISTINCT sub_industry, sector FROM members) AS pairs JOIN sectors ON sector = sector_name)"""
+_NUMBERED = "numbered AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY symbol) AS BIGINT) AS id, * FROM members)"
+# The derived constituents never repeat an industry under two sectors for good,
+# so the fixture adds the sector to the name of some members to force the case.
+_CLEAN = f"WITH {_MEMBERS}"
+
+
+def _members(tables):
+    return reference.clean_constituents(tables["raw_constituents"])
+
+
+@case("ing_constituents", sql=f"{_CLEAN} SELECT * FROM members")
+def _(tables):
+    return _members(tables)
+
+
+@case("ing_row_cap", sql=f"{_CLEAN} SELECT * FROM members ORDER BY symbol LIMIT 40")
+def _(tables):
+    return reference.clean_constituents(tables["raw_constituents"], max_symbols=40)
+
+
+@case("ing_dim_sector", sql=f"{_CLEAN}, {_SECTORS} SELECT * FROM sectors")
+def _(tables):
+    return reference.sector_table(_members(tables))
+
+
+@case("ing_dim_industry", sql=f"{_CLEAN}, {_SECTORS}, {_INDUSTRIES} SELECT * FROM industries")
+def _(tables):
+    members = _members(tables)
+    return reference.industry_table(members, reference.sector_table(members))
+
+
+_LISTED = f"{_CLEAN}, {_SECTORS}, {_INDUSTRIES}, {_NUMBERED}"
+
+
+def _listing(tables):
+    members = _members(tables)
+    return reference.listing_tables(members, reference.industry_table(members, reference.sector_table(members)))
+
+
+@case("ing_dim_company", sql=f"""{_LISTED}
+    SELECT id AS company_id, security AS company_name,
+           (SELECT MAX(industry_id) FROM industries WHERE industry_name = sub_industry) AS industry_id, 'US' AS country
+    FROM numbered""")
+def _(tables):
+    return _listing(tables).company
+
+
+@case("ing_dim_stock", sql=f"{_LISTED} SELECT id AS security_id, id AS company_id FROM numbered")
+def _(tables):
+    return _listing(tables).stock
+
+
+_NAMES = ", ".join(f"'{s}'" for s in fixed.SECOND_EXCHANGE_SYMBOLS)
+
+
+@case("ing_exchange_assign", sql=f"""{_LISTED}
+    SELECT id AS security_id, symbol AS ticker, CAST(CASE WHEN symbol IN ({_NAMES}) THEN 2 ELSE 1 END AS BIGINT) AS exchange_id,
+           'USD' AS currency, 'stock' AS security_type
+    FROM numbered""")
+def _(tables):
+    return _listing(tables).security
+
+
+@case("ing_exchange_assign_known", sql=f"""
+    SELECT security_id, symbol, CAST(CASE WHEN symbol IN ({_NAMES}) THEN 2 ELSE 1 END AS BIGINT) AS exchange_id
+    FROM (SELECT security_id, CASE security_id % 3 WHEN 0 THEN 'AAPL' WHEN 1 THEN 'IDXX' ELSE ticker END AS symbol
+          FROM Security) AS named""")
+def _(tables):
+    sid = F.col("security_id")
+    symbol = F.when(sid % 3 == 0, "AAPL").when(sid % 3 == 1, "IDXX").otherwise(F.col("ticker"))
+    named = tables["Security"].select("security_id", symbol.alias("symbol"))
+    return named.withColumn("exchange_id", reference.exchange_of("symbol"))
+
+
+_FUND_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{f[0]}' AS ticker" for i, f in enumerate(fixed.FUNDS)
+)
+
+
+@case("ing_etf_append", sql=f"""WITH funds AS ({_FUND_ROWS})
+    SELECT security_id, ticker, CAST(exchange_id AS BIGINT) AS exchange_id, currency, security_type FROM Security
+    UNION ALL SELECT (SELECT MAX(security_id) FROM Security) + 1 + position, ticker, 2, 'USD', 'etf' FROM funds""")
+def _(tables):
+    return reference.append_funds(tables["Security"])
+
+
+@case("ing_option_symbol", sql="""
+    SELECT option_id,
+           SUBSTR('S' || CAST(underlying_id AS VARCHAR) || STRFTIME(expiration_date, '%Y%m%d')
+                  || CASE option_type WHEN 'call' THEN 'C' ELSE 'P' END
+                  || LPAD(CAST(CAST(strike_price * 1000 AS BIGINT) AS VARCHAR),
+                          CAST(GREATEST(8, LENGTH(CAST(CAST(strike_price * 1000 AS BIGINT) AS VARCHAR))) AS INT), '0'), 1, 20)
+               AS ticker
+    FROM Option_Contract""")
+def _(tables):
+    rows = tables["Option_Contract"].withColumn("root", F.concat(F.lit("S"), F.col("underlying_id").cast("string")))
+    return rows.select(
+        "option_id", reference.option_symbol("root", "expiration_date", "option_type", "strike_price").alias("ticker")
+    )
+
+
+@case("ing_holding_resolve", sql="""
+    SELECT portfolio_id, security_id, CAST(shares AS DOUBLE) AS shares, CAST(average_cost AS DOUBLE) AS average_cost
+    FROM raw_holding JOIN Security USING (ticker)""")
+def _(tables):
+    rows = reference.resolve_holdings(tables["raw_holding"], tables["Security"])
+    return rows.select("portfolio_id", "security_id", F.col("shares").cast("double").alias("shares"),
+                       F.col("average_cost").cast("double").alias("average_cost"))
+
+
+@case("ing_price_reshape", sql="""
+    SELECT 'S00000' AS symbol, trade_date, CAST(S00000_close AS DOUBLE) AS close, S00000_volume AS volume FROM raw_price_wide
+    UNION ALL SELECT 'S00001', trade_date, CAST(S00001_close AS DOUBLE), S00001_volume FROM raw_price_wide""")
+def _(tables):
+    rows = market.long_prices(tables["raw_price_wide"], ["S00000", "S00001"], ["close", "volume"])
+    return rows.withColumn("close", F.col("close").cast("double"))
+
+
+@case("ing_price_clean", sql="""
+    SELECT security_id, trade_date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
+           CAST(close AS DOUBLE) AS close, CAST(COALESCE(volume, 0) AS BIGINT) AS volume
+    FROM raw_price JOIN Security ON ticker = symbol WHERE close IS NOT NULL""")
+def _(tables):
+    rows = market.clean_prices(tables["raw_price"], tables["Security"])
+    return rows.select("security_id", "trade_date", *[F.col(c).cast("double").alias(c) for c in market.OHLC], "volume")
+
+
+@case("ing_etf_meta", sql="""
+    SELECT symbol, COALESCE(NULLIF(long_name, ''), NULLIF(short_name, ''), 'Fund ' || symbol) AS fund_name,
+           COALESCE(ROUND(COALESCE(NULLIF(expense_a, 0), NULLIF(expense_b, 0)) * 100, 4), 0.5) AS expense_ratio
+    FROM raw_etf_info""")
+def _(tables):
+    info = tables["raw_etf_info"]
+    funds = info.select("symbol", F.concat(F.lit("Fund "), F.col("symbol")).alias("name_fallback"),
+                        F.lit(0.5).alias("expense_fallback"))
+    return market.fund_metadata(funds, info)
+
+
+@case("ing_option_nearest_strike", sql="""
+    WITH best AS (
+        SELECT t.option_id, c.implied_volatility, c.open_interest, c.strike,
+               ROW_NUMBER() OVER (PARTITION BY t.option_id
+                   ORDER BY ABS(c.strike - t.strike), c.strike, c.implied_volatility NULLS FIRST, c.open_interest NULLS FIRST) AS place
+        FROM option_target t JOIN raw_chain c USING (underlying_id, expiration_date, option_type))
+    SELECT t.option_id, t.expiration_date, t.option_type, CAST(t.strike AS DOUBLE) AS strike,
+           CAST(COALESCE(b.implied_volatility, t.iv_fallback) AS DOUBLE) AS implied_volatility,
+           CASE WHEN b.option_id IS NULL THEN t.oi_fallback ELSE COALESCE(b.open_interest, 0) END AS open_interest
+    FROM option_target t LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (option_id)""")
+def _(tables):
+    return market.nearest_strikes(tables["option_target"], tables["raw_chain"]).select(
+        "option_id", "expiration_date", "option_type", F.col("strike").cast("double").alias("strike"),
+        "implied_volatility", "open_interest",
+    )
+
+
+@case("ing_fund_scope", sql=f"""{_CLEAN}
+    SELECT 'full' AS mode, symbol FROM members
+    UNION ALL SELECT 'daily', symbol FROM members
+    WHERE symbol IN (SELECT REPLACE(ticker, 'S', 'S-') FROM Security JOIN Financial_Snapshot USING (security_id)
+                     WHERE market_cap >= 100000000000)""")
+def _(tables):
+    members = _members(tables)
+    large = tables["Financial_Snapshot"].filter(F.col("market_cap") >= 100_000_000_000).select("security_id")
+    curated = tables["Security"].join(large, "security_id", "left_semi").select(
+        F.replace("ticker", F.lit("S"), F.lit("S-")).alias("symbol")
+    )
+    full = market.fundamentals_scope(members, market.FULL)
+    daily = market.fundamentals_scope(members, market.DAILY, curated)
+    return full.select(F.lit("full").alias("mode"), "symbol").unionByName(
+        daily.select(F.lit("daily").alias("mode"), "symbol")
+    )
+
+
+@case("ing_mode_by_weekday", sql="""
+    SELECT trade_date, CASE WHEN DAYOFWEEK(trade_date) = 0 THEN 'full' ELSE 'daily' END AS mode
+    FROM (SELECT DISTINCT trade_date FROM Price) AS days""")
+def _(tables):
+    days = tables["Price"].select("trade_date").distinct()
+    return days.withColumn("mode", market.run_mode("trade_date"))
+
+
+@case("ing_snapshot_clean", sql=f"""
+    SELECT symbol, security_id, DATE '{END}' AS snapshot_date, CAST(market_cap AS DOUBLE) AS market_cap,
+           ROUND(NULLIF(trailing_pe, 0), 2) AS pe_ratio, ROUND(NULLIF(trailing_eps, 0), 4) AS eps,
+           ROUND(NULLIF(beta, 0), 4) AS beta
+    FROM (SELECT ticker AS symbol, security_id FROM Security WHERE security_type = 'stock') AS wanted
+    LEFT JOIN raw_info USING (symbol)""")
+def _(tables):
+    stocks = tables["Security"].filter(F.col("security_type") == "stock")
+    scope = stocks.select(F.col("ticker").alias("symbol"))
+    rows = market.clean_snapshots(scope, tables["raw_info"], stocks, END)
+    return rows.withColumn("market_cap", F.col("market_cap").cast("double"))
+
+
+@case("ing_action_classify", sql=f"""
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY symbol, kind = 'split', action_date, value) AS BIGINT) AS action_id, security_id,
+           action_date, CASE WHEN kind = 'dividend' THEN 'dividend' WHEN value > 1 THEN 'split' ELSE 'reverse_split' END
+               AS action_type,
+           CAST(value AS DOUBLE) AS amount
+    FROM raw_action JOIN Security ON ticker = symbol
+    WHERE action_date BETWEEN DATE '{START}' AND DATE '2000-12-31'""")
+def _(tables):
+    stocks = tables["Security"].filter(F.col("security_type") == "stock")
+    scope = stocks.select(F.col("ticker").alias("symbol"))
+    rows = market.classify_actions(tables["raw_action"], scope, stocks, START, "2000-12-31")
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
+@case("ing_date_defaults", sql="""
+    SELECT today, flag, COALESCE(flag, CAST(today - INTERVAL 3 YEAR AS DATE)) AS first_day, DATE '2001-06-30' AS last_day
+    FROM (SELECT DISTINCT trade_date AS today, CASE WHEN MONTH(trade_date) = 2 THEN trade_date - 10 END AS flag
+          FROM Price) AS runs""")
+def _(tables):
+    """One range per run day: flag, else environment, else default."""
+    runs = tables["Price"].select(F.col("trade_date").alias("today")).distinct()
+    runs = runs.withColumn("flag", F.when(F.month("today") == 2, F.date_sub("today", 10)))
+    first, last = market.date_range(F.col("flag"), None, F.col("today"), env={"PRICE_END": "2001-06-30"})
+    return runs.select("today", "flag", first.alias("first_day"), last.alias("last_day"))
+
+
+@case("ing_row_counts", sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {n}" for n in LOAD_ORDER), with_ids=True)
+def _(tables):
+    return row_counts(tables)

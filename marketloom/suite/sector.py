@@ -28,12 +28,12 @@ def _avg(column):
     return f"CAST(SUM({column}) AS DOUBLE) / COUNT({column})"
 
 
-def _both(name, fn, text, one=None, **params):
+def _both(name, fn, text, sector=SECTOR, **params):
     """Registers the sector form and the open form of one analysis."""
 
-    @case(name, sql=text.format(only=_ONE))
+    @case(name, sql=text.format(only=f"sector_name = '{sector}'"))
     def _(tables):
-        return fn(tables, sector=SECTOR, **params)
+        return fn(tables, sector=sector, **params)
 
     @case(f"{name}_universe", sql=text.format(only="TRUE"))
     def _(tables):
@@ -126,7 +126,7 @@ _both("q09_eps_growth_strict", plan.eps_growth_strict, f"""WITH {_MEMBERS},
     long_enough AS (SELECT DISTINCT security_id FROM numbered WHERE n >= 5)
     SELECT company_name, ticker FROM members JOIN long_enough USING (security_id)
          ANTI JOIN stalled USING (security_id)
-    WHERE {{only}}""")
+    WHERE {{only}}""", sector="ASIA")
 
 _both("r4_top_volatile", plan.top_volatile, f"""WITH {_MEMBERS},
     moved AS (

@@ -1 +1,136 @@
+"""Registered sources, sinks and DDL: round trips over the derived tables."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from marketloom.plans import portfolio
+from marketloom.quality import constraints
+from marketloom.schema import LOAD_ORDER, TABLES
+from marketloom.session import scratch_path
+from marketloom.sources import files, store
+from marketloom.suite.derived_sql import rounded
+from marketloom.suite.registry import END, START, case
+
+_COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {n}" for n in LOAD_ORDER)
+_MONEY = ("open", "high", "low", "close")
+_GAPPED = "CASE WHEN volume % 7 <> 0 THEN open END"
+_PRICE = ("SELECT security_id, trade_date, {open}, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, "
+          "CAST(close AS DOUBLE) AS close, volume FROM Price")
+
+
+def _gapped(tables):
+    """Prices with some opening prices missing."""
+    return tables["Price"].withColumn("open", F.when(F.col("volume") % 7 != 0, F.col("open")))
+
+
+def _as_double(rows):
+    return rows.select("security_id", "trade_date", *[F.col(c).cast("double").alias(c) for c in _MONEY], "volume")
+
+
+@case("src_tsv", sql=_PRICE.format(open=f"CAST({_GAPPED} AS DOUBLE) AS open"))
+def _(tables):
+    path = scratch_path(tables.spark, "price-tsv")
+    files.write_tsv(files.conform(_gapped(tables), TABLES["Price"]), path)
+    return _as_double(files.read_tsv(tables.spark, path, "Price"))
+
+
+@case("src_tsv_all_tables", sql=_COUNTS, with_ids=True)
+def _(tables):
+    root = scratch_path(tables.spark, "tsv")
+    landed = {}
+    for name in LOAD_ORDER:
+        files.write_tsv(files.conform(tables[name], TABLES[name]), f"{root}/{name}")
+        landed[name] = files.read_tsv(tables.spark, f"{root}/{name}", name)
+    return store.row_counts(landed)
+
+
+@case("src_null_marker", sql="SELECT symbol, long_name, short_name FROM raw_etf_info")
+def _(tables):
+    path = scratch_path(tables.spark, "names-tsv")
+    rows = tables["raw_etf_info"].select("symbol", "long_name", "short_name")
+    files.write_tsv(rows, path)
+    return files.read_tsv(tables.spark, path, rows.schema)
+
+
+@case("src_constituents_csv", sql="""
+    SELECT symbol, security, sector, sub_industry || ', General' AS sub_industry FROM raw_constituents""")
+def _(tables):
+    path = scratch_path(tables.spark, "constituents-csv")
+    rows = tables["raw_constituents"].withColumn("sub_industry", F.concat("sub_industry", F.lit(", General")))
+    # A field the CSV reader would trim keeps its blanks when quoted.
+    rows.select(*files.CONSTITUENT_COLUMNS).write.option("header", True).option("escape", '"').option(
+        "quoteAll", True
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return files.read_constituents(tables.spark, path)
+
+
+@case("src_fallback", sql="SELECT symbol, security, sector, sub_industry FROM raw_constituents")
+def _(tables):
+    raw = tables["raw_constituents"].select(*files.CONSTITUENT_COLUMNS)
+    return files.first_available(None, raw.filter(F.col("sector") == "not delivered"), raw)
+
+
+@case("sink_tsv", sql=f"""
+    SELECT CONCAT_WS(CHR(9), security_id, trade_date, COALESCE(CAST({_GAPPED} AS VARCHAR), '\\N'),
+                     high, low, close, volume) AS line
+    FROM Price""")
+def _(tables):
+    path = scratch_path(tables.spark, "price-lines")
+    rows = files.conform(_gapped(tables), TABLES["Price"])
+    files.write_tsv(rows, path)
+    lines = tables.spark.read.text(path).withColumnRenamed("value", "line")
+    return lines.filter(F.col("line") != "\t".join(rows.columns))
+
+
+@case("sink_json_rows", sql=_PRICE.format(open=f"CAST({_GAPPED} AS DOUBLE) AS open"))
+def _(tables):
+    path = scratch_path(tables.spark, "price-json")
+    files.write_json_rows(files.conform(_gapped(tables), TABLES["Price"]), path)
+    return _as_double(files.read_json_rows(tables.spark, path, TABLES["Price"].struct))
+
+
+@case("sink_full_refresh", sql=_COUNTS, with_ids=True)
+def _(tables):
+    root = scratch_path(tables.spark, "store")
+    store.full_refresh(tables.spark, tables, root, check=constraints.foreign_keys)
+    store.full_refresh(tables.spark, tables, root)
+    return store.row_counts(store.open_store(tables.spark, root))
+
+
+@case("sink_full_refresh_price", sql=_PRICE.format(open="CAST(open AS DOUBLE) AS open"), with_ids=True)
+def _(tables):
+    root = scratch_path(tables.spark, "store")
+    store.full_refresh(tables.spark, tables, root)
+    return _as_double(store.open_store(tables.spark, root)["Price"])
+
+
+@case("ddl_create", sql=_COUNTS, with_ids=True)
+def _(tables):
+    prefix = f"c{uuid.uuid4().hex[:8]}_"
+    store.create_tables(tables.spark, tables, prefix)
+    return store.row_counts({n: tables.spark.table(f"{prefix}{n}") for n in LOAD_ORDER})
+
+
+@case("ddl_drop", sql=f"SELECT table_name, n_rows, FALSE AS still_there FROM ({_COUNTS}) AS counted", with_ids=True)
+def _(tables):
+    spark = tables.spark
+    prefix = f"d{uuid.uuid4().hex[:8]}_"
+    store.create_tables(spark, tables, prefix)
+    counted = store.row_counts({n: spark.table(f"{prefix}{n}") for n in LOAD_ORDER})
+    store.drop_tables(spark, prefix)
+    left = [n for n in LOAD_ORDER if spark.catalog.tableExists(f"{prefix}{n}")]
+    return counted.withColumn("still_there", F.col("table_name").isin(left) if left else F.lit(False))
+
+
+@case("src_inline_relation", sql=f"""
+    WITH given AS (SELECT * FROM (VALUES ('S00003', 10.0), ('SPY', 5.0), ('ZZZ', 1.0)) AS v(ticker, shares))
+    SELECT CAST(0 AS BIGINT) AS portfolio_id, trade_date,
+           {rounded('SUM(CAST(CAST(close AS DOUBLE) * CAST(shares AS DOUBLE) AS DECIMAL(38,6)))', 2)} AS port_value
+    FROM Price JOIN Security USING (security_id) JOIN given USING (ticker)
+    WHERE trade_date BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY trade_date""")
+def _(tables):
+    held = portfolio.inline_holdings(tables.spark, [("S00003", 10, 150), ("SPY", 5, 300), ("ZZZ", 1, 1)])
+    return portfolio.value_series(tables, held, start=START, end=END)
