@@ -33,20 +33,23 @@ def date_range(start=None, end=None, today=None, env=None) -> tuple[Column, Colu
     env = os.environ if env is None else env
 
     def given(value, variable) -> list[Column]:
-        named = env.get(variable)
-        return [day(v) for v in (value, named) if v is not None and v != ""]
+        return [day(v) for v in (value, env.get(variable) or None) if v is not None]
 
     first = F.coalesce(*given(start, "PRICE_START"), year_before(today, HISTORY_YEARS))
     last = F.coalesce(*given(end, "PRICE_END"), day(today))
     return first, last
 
 
-def long_prices(wide: DataFrame, symbols: list[str], fields: list[str]) -> DataFrame:
-    """One row per (symbol, date) from columns named ``<symbol>_<field>``."""
+def long_prices(wide: DataFrame, symbols: list[str], fields: list[str], keys=("trade_date",)) -> DataFrame:
+    """One row per symbol and key with a close, from columns named ``<symbol>_<field>``.
+
+    Runs inside each row: no shuffle, one pass, whatever the number of rows.
+    """
     cells = [
         F.struct(F.lit(s).alias("symbol"), *[F.col(f"`{s}_{f}`").alias(f) for f in fields]) for s in symbols
     ]
-    return wide.select("trade_date", F.inline(F.array(*cells))).select("symbol", "trade_date", *fields)
+    rows = wide.select(*keys, F.inline(F.array(*cells)))
+    return rows.filter(~is_missing(F.col("close").cast("double"))).select("symbol", *keys, *fields)
 
 
 def _number(column) -> Column:

@@ -31,6 +31,7 @@ BASE_SCHEMAS = {
 
 BASKET_ID = 2_000_000_000
 OPTION_BASE = 1_000_000_000
+WIDE_SLOTS = 8
 
 
 def _long(x) -> Column:
@@ -373,12 +374,14 @@ def _raw_price(t):
 
 @_builds("raw_price_wide")
 def _raw_price_wide(t):
-    def cell(sid, field):
-        return F.max(F.when(F.col("security_id") == sid, F.col(field))).alias(f"S{sid:05d}_{field}")
+    """Every price, eight securities side by side per row."""
 
-    return t["Price"].groupBy("trade_date").agg(
-        cell(0, "close"), cell(0, "volume"), cell(1, "close"), cell(1, "volume")
-    )
+    def cell(slot, field):
+        return F.max(F.when(F.col("security_id") % WIDE_SLOTS == slot, F.col(field))).alias(f"P{slot}_{field}")
+
+    block = F.floor(F.col("security_id") / WIDE_SLOTS).alias("block")
+    cells = [cell(slot, field) for slot in range(WIDE_SLOTS) for field in ("close", "volume")]
+    return t["Price"].groupBy(block, "trade_date").agg(*cells)
 
 
 @_builds("raw_info")

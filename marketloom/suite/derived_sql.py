@@ -101,9 +101,9 @@ RELATIONS: dict[str, str] = {
         WHERE security_id = 0
     """,
     "raw_price_wide": """
-        SELECT trade_date, MAX(CASE WHEN security_id = 0 THEN close END) AS S00000_close, MAX(CASE WHEN security_id = 0 THEN volume END) AS S00000_volume, MAX(CASE WHEN security_id = 1 THEN close END) AS S00001_close, MAX(CASE WHEN security_id = 1 THEN volume END) AS S00001_volume
+        SELECT security_id // 8 AS block, trade_date, MAX(CASE WHEN security_id % 8 = 0 THEN close END) AS P0_close, MAX(CASE WHEN security_id % 8 = 0 THEN volume END) AS P0_volume, MAX(CASE WHEN security_id % 8 = 1 THEN close END) AS P1_close, MAX(CASE WHEN security_id % 8 = 1 THEN volume END) AS P1_volume, MAX(CASE WHEN security_id % 8 = 2 THEN close END) AS P2_close, MAX(CASE WHEN security_id % 8 = 2 THEN volume END) AS P2_volume, MAX(CASE WHEN security_id % 8 = 3 THEN close END) AS P3_close, MAX(CASE WHEN security_id % 8 = 3 THEN volume END) AS P3_volume, MAX(CASE WHEN security_id % 8 = 4 THEN close END) AS P4_close, MAX(CASE WHEN security_id % 8 = 4 THEN volume END) AS P4_volume, MAX(CASE WHEN security_id % 8 = 5 THEN close END) AS P5_close, MAX(CASE WHEN security_id % 8 = 5 THEN volume END) AS P5_volume, MAX(CASE WHEN security_id % 8 = 6 THEN close END) AS P6_close, MAX(CASE WHEN security_id % 8 = 6 THEN volume END) AS P6_volume, MAX(CASE WHEN security_id % 8 = 7 THEN close END) AS P7_close, MAX(CASE WHEN security_id % 8 = 7 THEN volume END) AS P7_volume
         FROM Price
-        GROUP BY trade_date
+        GROUP BY ALL
     """,
     "raw_info": """
         SELECT 'S' || LPAD(CAST(s_suppkey AS STRING), CAST(GREATEST(5, LENGTH(CAST(s_suppkey AS STRING))) AS INT), '0') AS symbol, CASE WHEN s_suppkey % 6 = 5 THEN NULL ELSE s_suppkey * 1000003 END AS market_cap, CASE WHEN s_suppkey % 5 = 4 THEN CAST(0 AS DOUBLE) ELSE CAST(s_suppkey AS DOUBLE) + 0.125 END AS trailing_pe, CASE WHEN s_suppkey % 8 = 7 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) * 0.5 END AS trailing_eps, CAST(s_suppkey % 3 AS DOUBLE) AS beta

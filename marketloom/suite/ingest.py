@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from marketloom.ingest import fixed_values as fixed
 from marketloom.ingest import market, reference
-from marketloom.sources.store import row_counts
 from marketloom.schema import LOAD_ORDER
+from marketloom.sources.derived import WIDE_SLOTS
+from marketloom.sources.store import row_counts
 from marketloom.suite.registry import END, START, case
 
 _MEMBERS = """members AS (
@@ -23,8 +24,6 @@ _INDUSTRIES = """industries AS (
                sub_industry AS industry_name, sector_id
         FROM (SELECT DISTINCT sub_industry, sector FROM members) AS pairs JOIN sectors ON sector = sector_name)"""
 _NUMBERED = "numbered AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY symbol) AS BIGINT) AS id, * FROM members)"
-# The derived constituents never repeat an industry under two sectors for good,
-# so the fixture adds the sector to the name of some members to force the case.
 _CLEAN = f"WITH {_MEMBERS}"
 
 
@@ -132,12 +131,17 @@ def _(tables):
                        F.col("average_cost").cast("double").alias("average_cost"))
 
 
-@case("ing_price_reshape", sql="""
-    SELECT 'S00000' AS symbol, trade_date, CAST(S00000_close AS DOUBLE) AS close, S00000_volume AS volume FROM raw_price_wide
-    UNION ALL SELECT 'S00001', trade_date, CAST(S00001_close AS DOUBLE), S00001_volume FROM raw_price_wide""")
+@case("ing_price_reshape", sql="SELECT security_id, trade_date, CAST(close AS DOUBLE) AS close, volume FROM Price")
 def _(tables):
-    rows = market.long_prices(tables["raw_price_wide"], ["S00000", "S00001"], ["close", "volume"])
-    return rows.withColumn("close", F.col("close").cast("double"))
+    slots = [f"P{i}" for i in range(WIDE_SLOTS)]
+    rows = market.long_prices(tables["raw_price_wide"], slots, ["close", "volume"], keys=("block", "trade_date"))
+    slot = F.substring("symbol", 2, 1).cast("long")
+    return rows.select(
+        (F.col("block") * WIDE_SLOTS + slot).alias("security_id"),
+        "trade_date",
+        F.col("close").cast("double").alias("close"),
+        "volume",
+    )
 
 
 @case("ing_price_clean", sql="""
