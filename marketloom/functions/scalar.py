@@ -10,10 +10,12 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double carries a relative error near 1e-16; an exact decimal tie such as
-# 2.345 may sit a hair below it. Pushing values this far away from zero before
-# rounding makes ties behave as they do in decimal arithmetic.
+# A double carries a relative error near 1e-16, a sum of doubles a few times
+# that, so an exact decimal tie such as 2.345 may sit a hair below itself.
+# Pushing values this little away from zero before rounding makes ties behave as
+# in decimal arithmetic, whatever the order they were summed in.
 TIE_NUDGE = 1e-9
+TIE_NUDGE_RELATIVE = 1e-14
 
 
 def _col(x) -> Column:
@@ -44,7 +46,8 @@ def pct_change(new, old) -> Column:
 def round_half_away(value, digits: int) -> Column:
     """Round a double half away from zero, tolerant of representation error."""
     value = _col(value).cast("double")
-    return F.round(value + F.signum(value) * F.lit(TIE_NUDGE), digits)
+    nudged = value + F.signum(value) * F.lit(TIE_NUDGE) + value * F.lit(TIE_NUDGE_RELATIVE)
+    return F.round(nudged, digits)
 
 
 def year_before(value, years: int = 1) -> Column:

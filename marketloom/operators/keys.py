@@ -57,7 +57,7 @@ def rows_of(rows: DataFrame, keys: DataFrame, key: str = "security_id") -> DataF
     A short key list is inlined, so the predicate reaches the file scan and row
     groups are skipped; a longer one becomes a semi join and stays whole.
     """
-    hits = [r[0] for r in keys.select(key).distinct().limit(INLINE_IDS + 1).collect()]
+    hits = [r[0] for r in keys.select(key).limit(INLINE_IDS + 1).collect()]
     if len(hits) > INLINE_IDS:
         return rows.join(keys.select(key), key, "left_semi")
     return rows.filter(F.col(key).isin(hits)) if hits else rows.filter(F.lit(False))

@@ -25,6 +25,21 @@ def between(column: str, start, end):
     return F.col(column).between(day(start), day(end))
 
 
+def dated(rows: DataFrame, column: str, start=None, end=None) -> DataFrame:
+    """Rows dated within the bounds given.
+
+    Stores split by year carry the year as a column of its own; bounding it too
+    lets whole folders be skipped.
+    """
+    year = f"{column}_year"
+    split = year in rows.columns
+    if start is not None:
+        rows = rows.filter(F.col(column) >= day(start))
+        rows = rows.filter(F.col(year) >= F.year(day(start))) if split else rows
+    rows = rows.filter(F.col(column) <= day(end))
+    return rows.filter(F.col(year) <= F.year(day(end))) if split else rows
+
+
 def listings(tables: Tables, ticker: str) -> DataFrame:
     """Securities listed under a ticker: one per exchange at most."""
     return tables["Security"].filter(F.upper("ticker") == ticker.strip().upper())

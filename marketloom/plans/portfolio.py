@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketloom.functions import leading_number, ratio, round_half_away, same_text
 from marketloom.operators import timeseries as ts
 from marketloom.operators.keys import assign_ids, next_id
-from marketloom.plans.common import DEFAULT_START, Tables, between, trailing_dividends
+from marketloom.plans.common import DEFAULT_START, Tables, dated, trailing_dividends
 
 # Owner marker, defaults and messages of the portfolio operations.
 USER_PREFIX = "u:"
@@ -130,10 +130,7 @@ def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None) -> D
         .join(tables["Sector"].select("sector_id", "sector_name"), "sector_id", "left")
         .select("security_id", "company_name", "sector_name")
     )
-    prices = tables["Price"]
-    if tickers is not None:
-        prices = prices.join(ids.select("security_id"), "security_id", "left_semi")
-    closes = ts.latest_per_key(prices, "security_id", "trade_date", ["close"])
+    closes = ts.latest_per_key(tables["Price"], "security_id", "trade_date", ["close"])
     return (
         ids.join(tables["Security"].select("security_id", "security_type"), "security_id")
         .join(classified, "security_id", "left")
@@ -184,8 +181,8 @@ def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=N
     """Value per portfolio and trading day; a holding without a price that day adds nothing."""
     ids = _ticker_ids(tables, holdings.select("ticker").distinct())
     positions = holdings.join(ids, "ticker").select("portfolio_id", "security_id", "shares")
-    prices = tables["Price"].filter(between("trade_date", start, end)).select("security_id", "trade_date", "close")
-    worth = (F.col("close").cast("double") * F.col("shares")).cast("decimal(38,6)")
+    prices = dated(tables["Price"], "trade_date", start, end).select("security_id", "trade_date", "close")
+    worth = F.col("close").cast("double") * F.col("shares")
     return (
         prices.join(positions, "security_id")
         .groupBy("portfolio_id", "trade_date")

@@ -1,7 +1,9 @@
 """Analyses across a sector; ``sector=None`` leaves the sector open.
 
-Measures are reduced per security before names are attached, so the fact tables
-cross the network narrow and, where an aggregate allows it, already combined.
+Measures are reduced per security, with map-side combine, before they meet the
+members of a sector: what crosses the network is one partial row per security,
+never the fact rows. Only analyses that need the rows in order restrict them to
+the members first; the shuffle on the security that costs is the window's own.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from marketloom.plans.common import (
     DEFAULT_MIN_QUARTERS,
     DEFAULT_START,
     Tables,
-    between,
+    dated,
     stock_returns,
     stocks,
     trailing_dividends,
@@ -60,20 +62,18 @@ def _mean(total, count) -> Column:
 
 
 def _of(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Rows of the member securities; the semi join runs before any aggregation."""
+    """Rows of the member securities, co-located for a window over the security."""
     return rows.join(members.select("security_id"), "security_id", "left_semi")
 
 
 def _latest_snapshots(tables: Tables, members: DataFrame, measures: list[str]) -> DataFrame:
     """Members with the measures of their latest snapshot, whatever those hold."""
-    snaps = _of(tables["Financial_Snapshot"], members)
-    latest = ts.latest_per_key(snaps, "security_id", "snapshot_date", measures)
+    latest = ts.latest_per_key(tables["Financial_Snapshot"], "security_id", "snapshot_date", measures)
     return latest.join(members, "security_id")
 
 
-def _latest_close(tables: Tables, members: DataFrame) -> DataFrame:
-    prices = _of(tables["Price"], members)
-    return ts.latest_per_key(prices, "security_id", "trade_date", ["close"]).drop("trade_date")
+def _latest_close(tables: Tables) -> DataFrame:
+    return ts.latest_per_key(tables["Price"], "security_id", "trade_date", ["close"]).drop("trade_date")
 
 
 def sectors(tables: Tables) -> DataFrame:
@@ -95,7 +95,7 @@ def tickers(tables: Tables) -> DataFrame:
 
 def _sector_returns(tables: Tables, start, end, benchmark) -> DataFrame:
     members = stocks(tables)
-    gains = stock_returns(_of(tables["Price"], members), start, end)
+    gains = stock_returns(tables["Price"], start, end)
     by_sector = (
         gains.join(members, "security_id")
         .groupBy("sector_id", "sector_name")
@@ -214,7 +214,7 @@ def eps_growth_strict(tables: Tables, sector=None) -> DataFrame:
 def top_volatile(tables: Tables, sector=None, start=DEFAULT_START, end=None) -> DataFrame:
     """Ten stocks with the largest annualised deviation of in-range daily returns."""
     members = stocks(tables, sector).select("security_id", "company_name")
-    inside = _of(tables["Price"], members).filter(between("trade_date", start, end))
+    inside = _of(dated(tables["Price"], "trade_date", start, end), members)
     returns = ts.with_daily_return(inside).filter(F.col("ret").isNotNull()).select("security_id", "ret")
     return (
         returns.join(with_ticker(tables, members), "security_id")
@@ -229,18 +229,18 @@ def top_price_stddev(tables: Tables, sector=None, start=DEFAULT_START, end=None)
     """Ten stocks with the largest population deviation of the price level."""
     members = stocks(tables, sector).select("security_id", "company_name")
     spread = (
-        _of(tables["Price"], members)
-        .filter(between("trade_date", start, end))
+        dated(tables["Price"], "trade_date", start, end)
         .groupBy("security_id")
         .agg(
             round_half_away(F.stddev_pop(F.col("close").cast("double")), 2).alias("price_stddev"),
             F.count("trade_date").alias("trading_days"),
         )
+        .join(members, "security_id")
         .orderBy(F.desc("price_stddev"), "security_id")
         .limit(TOP_VOLATILE)
     )
     return (
-        with_ticker(tables, spread.join(members, "security_id"))
+        with_ticker(tables, spread)
         .orderBy(F.desc("price_stddev"), "security_id")
         .select("ticker", "company_name", "price_stddev", "trading_days")
     )
@@ -294,7 +294,7 @@ def _dividend_payers(tables: Tables, members: DataFrame, as_of) -> DataFrame:
     """Members that paid in the past year, with their latest close and yield."""
     paid = trailing_dividends(tables, as_of).filter(F.col("dividends") > 0)
     payers = members.join(paid, "security_id")
-    return payers.join(_latest_close(tables, payers), "security_id").withColumn(
+    return payers.join(_latest_close(tables), "security_id").withColumn(
         "div_yield_pct", round_half_away(ratio("dividends", "close") * F.lit(100.0), 2)
     )
 
@@ -321,7 +321,7 @@ def dividend_yield_detailed(tables: Tables, sector=None, as_of=None) -> DataFram
     members = stocks(tables, sector).select("security_id", "company_name", "industry_name")
     payers = _dividend_payers(tables, members, as_of)
     snaps = ts.latest_per_key(
-        _of(tables["Financial_Snapshot"], members), "security_id", "snapshot_date", ["pe_ratio", "market_cap"]
+        tables["Financial_Snapshot"], "security_id", "snapshot_date", ["pe_ratio", "market_cap"]
     )
     return (
         with_ticker(tables, payers.join(snaps, "security_id"))
@@ -398,10 +398,9 @@ def beta_dispersion_fine(tables: Tables, sector=None) -> DataFrame:
     return _beta_by_industry(tables, sector, 4, "company_count")
 
 
-def _volume_totals(tables: Tables, members: DataFrame, start, end) -> DataFrame:
+def _volume_totals(tables: Tables, start, end) -> DataFrame:
     return (
-        _of(tables["Price"], members)
-        .filter(between("trade_date", start, end))
+        dated(tables["Price"], "trade_date", start, end)
         .groupBy("security_id")
         .agg(
             F.sum("volume").alias("volume"),
@@ -415,7 +414,7 @@ def _volume_totals(tables: Tables, members: DataFrame, start, end) -> DataFrame:
 def volume_leaders(tables: Tables, sector=None, start=DEFAULT_START, end=None) -> DataFrame:
     """Ten highest mean daily volumes with mean close, per ticker and company."""
     members = stocks(tables, sector).select("security_id", "company_name", "industry_name")
-    totals = _volume_totals(tables, members, start, end).join(with_ticker(tables, members), "security_id")
+    totals = _volume_totals(tables, start, end).join(with_ticker(tables, members), "security_id")
     return (
         totals.groupBy("ticker", "company_name", "industry_name")
         .agg(
@@ -431,13 +430,14 @@ def volume_leaders_by_security(tables: Tables, sector=None, start=DEFAULT_START,
     """Ten highest mean daily volumes per security."""
     members = stocks(tables, sector).select("security_id", "company_name", "industry_name")
     leaders = (
-        _volume_totals(tables, members, start, end)
+        _volume_totals(tables, start, end)
         .select("security_id", round_half_away(_mean("volume", "volume_days"), 0).alias("avg_daily_volume"))
+        .join(members, "security_id")
         .orderBy(F.desc("avg_daily_volume"), "security_id")
         .limit(TOP_VOLUME)
     )
     return (
-        with_ticker(tables, leaders.join(members, "security_id"))
+        with_ticker(tables, leaders)
         .orderBy(F.desc("avg_daily_volume"), "security_id")
         .select("ticker", "company_name", "industry_name", "avg_daily_volume")
     )

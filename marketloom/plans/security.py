@@ -13,6 +13,7 @@ from marketloom.plans.common import (
     DEFAULT_TICKER,
     Tables,
     between,
+    dated,
     labelled,
     of_ticker,
     stock_returns,
@@ -25,16 +26,21 @@ ROLLING_DAYS = 30
 EVENT_DAYS = 7
 
 
+def _until(tables: Tables, ticker, end) -> DataFrame:
+    """Prices up to the end of a range: what a look-back that may precede it can reach."""
+    return dated(of_ticker(tables, "Price", ticker), "trade_date", None, end)
+
+
 def close_series(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_START, end=None) -> DataFrame:
     """Closing prices in a date range."""
-    rows = of_ticker(tables, "Price", ticker).filter(between("trade_date", start, end))
+    rows = dated(of_ticker(tables, "Price", ticker), "trade_date", start, end)
     return labelled(tables, rows, ticker, ["trade_date"], ["trade_date", F.col("close").cast("double").alias("close")])
 
 
 def daily_return(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_START, end=None) -> DataFrame:
     """Close and change from the previous trading day, which may precede the range."""
     rows = (
-        ts.with_previous(of_ticker(tables, "Price", ticker), "close", ["security_id"], ["trade_date"], "prev_close")
+        ts.with_previous(_until(tables, ticker, end), "close", ["security_id"], ["trade_date"], "prev_close")
         .filter(F.col("prev_close").isNotNull() & between("trade_date", start, end))
         .withColumn("daily_return_pct", round_half_away(pct_change("close", "prev_close"), 2))
     )
@@ -44,7 +50,7 @@ def daily_return(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_START, end
 
 def rolling_volatility(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_START, end=None) -> DataFrame:
     """Annualised sample deviation over 30 returns, all taken inside the range."""
-    inside = of_ticker(tables, "Price", ticker).filter(between("trade_date", start, end))
+    inside = dated(of_ticker(tables, "Price", ticker), "trade_date", start, end)
     returns = ts.with_daily_return(inside).filter(F.col("ret").isNotNull())
     vol = ts.rolling_rows(F.stddev_samp, "ret", ROLLING_ROWS)
     rows = returns.withColumn("ann_vol_pct", ts.annual_vol_pct(vol))
@@ -54,14 +60,11 @@ def rolling_volatility(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_STAR
 def rolling_volatility_calendar(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_START, end=None) -> DataFrame:
     """Annualised population deviation of the returns dated within 30 days.
 
-    Predecessors may precede the range, so only a bounded run-up to it is read:
-    the frame needs prices of its own days, and their predecessors any distance
-    before, hence no lower bound on the scan but an upper one.
+    Frames and predecessors may precede the range.
     """
-    upto = of_ticker(tables, "Price", ticker).filter(F.col("trade_date") <= day(end))
     vol = ts.rolling_days(F.stddev_pop, "ret", ROLLING_DAYS)
     rows = (
-        ts.with_daily_return(upto)
+        ts.with_daily_return(_until(tables, ticker, end))
         .withColumn("rolling_vol_pct", ts.annual_vol_pct(vol))
         .filter(between("trade_date", start, end))
     )

@@ -67,5 +67,10 @@ def write_json_rows(rows: DataFrame, path: str) -> None:
     rows.write.option("ignoreNullFields", False).mode("errorifexists").json(path)
 
 
+def json_rows(rows: DataFrame) -> DataFrame:
+    """Result rows as one text column of JSON objects, for handing to a caller."""
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+
+
 def read_json_rows(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)

@@ -169,7 +169,7 @@ def with_relations(body: str) -> str:
 def rounded(expr: str, digits: int) -> str:
     """Counterpart of ``functions.round_half_away``; adding 0 turns -0.0 into 0.0."""
     value = f"CAST({expr} AS DOUBLE)"
-    return f"(ROUND({value} + SIGN({value}) * 1e-9, {digits}) + CAST(0 AS DOUBLE))"
+    return f"(ROUND({value} + SIGN({value}) * 1e-9 + {value} * 1e-14, {digits}) + CAST(0 AS DOUBLE))"
 
 
 def pct(new: str, old: str) -> str:

@@ -65,7 +65,7 @@ _VALUED = f"""SELECT h.portfolio_id, h.ticker,
            COALESCE({rounded('div12 * shares', 2)}, 0) AS div_income_12mo"""
 
 _SERIES = f"""SELECT portfolio_id, trade_date,
-           {rounded('SUM(CAST(CAST(close AS DOUBLE) * shares AS DECIMAL(38,6)))', 2)} AS port_value
+           {rounded('SUM(CAST(close AS DOUBLE) * shares)', 2)} AS port_value
     FROM Price JOIN lowest USING (security_id) JOIN {{held}} USING (ticker)
     WHERE trade_date BETWEEN DATE '{START}' AND DATE '{END}' {{only}}
     GROUP BY portfolio_id, trade_date"""

@@ -128,7 +128,7 @@ def _(tables):
 @case("src_inline_relation", sql=f"""
     WITH given AS (SELECT * FROM (VALUES ('S00003', 10.0), ('SPY', 5.0), ('ZZZ', 1.0)) AS v(ticker, shares))
     SELECT CAST(0 AS BIGINT) AS portfolio_id, trade_date,
-           {rounded('SUM(CAST(CAST(close AS DOUBLE) * CAST(shares AS DOUBLE) AS DECIMAL(38,6)))', 2)} AS port_value
+           {rounded('SUM(CAST(close AS DOUBLE) * CAST(shares AS DOUBLE))', 2)} AS port_value
     FROM Price JOIN Security USING (security_id) JOIN given USING (ticker)
     WHERE trade_date BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY trade_date""")
 def _(tables):
