@@ -8,11 +8,12 @@ the members first; the shuffle on the security that costs is the window's own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketloom.functions import ratio, round_half_away, same_text
 from marketloom.operators import timeseries as ts
+from marketloom.operators.stretches import over_stretches
 from marketloom.plans.common import (
     ALL_SECTORS,
     BENCHMARK,
@@ -32,6 +33,8 @@ TOP_YIELD = 15
 TOP_YIELD_DETAILED = 20
 TOP_VOLUME = 10
 GROWTH_FRAME = 4
+# Companies with more stocks than this have their quarters worked in stretches.
+MANY_STOCKS = 10_000
 
 # Lower bounds and labels of the market-cap tiers.
 FOUR_TIERS = (
@@ -162,20 +165,50 @@ def pe_by_industry_min_cap(tables: Tables, sector=None, min_cap=0) -> DataFrame:
     )
 
 
+def _with_previous_eps(rows: DataFrame, window: WindowSpec) -> DataFrame:
+    return rows.withColumn("prev_eps", F.lag("eps").over(window))
+
+
+def _with_rises(rows: DataFrame, window: WindowSpec) -> DataFrame:
+    rise = F.when(F.col("eps") > F.col("prev_eps"), 1).otherwise(0)
+    return rows.withColumn("rises", F.sum(rise).over(window.rowsBetween(1 - GROWTH_FRAME, 0)))
+
+
+def _best_growth(quarters: DataFrame, windowed) -> DataFrame:
+    """Most rises in any frame per company; ``windowed`` applies a function over the company's rows."""
+    lagged = windowed(quarters, 1, _with_previous_eps).filter(F.col("prev_eps").isNotNull())
+    framed = windowed(lagged, GROWTH_FRAME - 1, _with_rises)
+    return framed.groupBy("company_id").agg(F.max("rises").alias("consecutive_qtrs"))
+
+
 def eps_growth_count(tables: Tables, sector=ALL_SECTORS, min_q=DEFAULT_MIN_QUARTERS) -> DataFrame:
     """Companies whose best four-quarter frame holds at least ``min_q`` EPS rises.
 
     A frame has four rows, so no company qualifies for more than four. A missing
     EPS is neither a rise nor, for the next row, a base to rise from.
+
+    The quarters of all stocks of a company form one series. A company with few
+    stocks is one window partition; one with many is worked in stretches.
     """
     quarters = tables["Financial_Snapshot"].join(tables["Stock"], "security_id").select(
         "company_id", "security_id", "snapshot_date", "eps"
     )
-    order = ["snapshot_date", "security_id"]
-    lagged = ts.with_previous(quarters, "eps", ["company_id"], order, "prev_eps").filter(F.col("prev_eps").isNotNull())
-    frame = Window.partitionBy("company_id").orderBy(*order).rowsBetween(1 - GROWTH_FRAME, 0)
-    rises = F.sum(F.when(F.col("eps") > F.col("prev_eps"), 1).otherwise(0)).over(frame)
-    best = lagged.withColumn("rises", rises).groupBy("company_id").agg(F.max("rises").alias("consecutive_qtrs"))
+    by, order = ["company_id"], ["snapshot_date", "security_id"]
+
+    def whole(rows, _, compute):
+        return compute(rows, Window.partitionBy(*by).orderBy(*order))
+
+    def in_stretches(rows, look_back, compute):
+        return over_stretches(rows, by, order, look_back, compute)
+
+    listed = tables["Stock"].groupBy("company_id").agg(F.count("*").alias("n"))
+    many = listed.filter(F.col("n") > MANY_STOCKS).select("company_id")
+    if many.isEmpty():
+        best = _best_growth(quarters, whole)
+    else:
+        few = quarters.join(many, "company_id", "left_anti")
+        rest = quarters.join(many, "company_id", "left_semi")
+        best = _best_growth(few, whole).unionByName(_best_growth(rest, in_stretches))
     companies = stocks(tables).select("company_id", "company_name", "sector_name").distinct()
     if sector and sector.upper() != ALL_SECTORS:
         companies = companies.filter(same_text("sector_name", F.lit(sector)))

@@ -47,8 +47,3 @@ def connect(sf_dir):
     for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
-
-
-@pytest.fixture(scope="session")
-def duck():
-    return connect(SMALL)

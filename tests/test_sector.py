@@ -97,3 +97,37 @@ def test_volume_leaders_and_names(spark):
         ("BBB", "Beta", "Chips", 9.0, 10.0), ("AAA", "Alpha", "Software", 6.0, 15.0)]
     assert rows(sector.tickers(t)) == [
         ("AAA", "Alpha", "stock"), ("BBB", "Beta", "stock"), ("CCC", "Gamma", "stock"), ("SPY", "Basket", "etf")]
+
+
+def test_growth_of_a_company_with_many_stocks_equals_one_window(spark, monkeypatch):
+    import random
+
+    from marketloom.operators import stretches
+
+    rng = random.Random(3)
+    stocks = [(i, 1 if i % 3 else 2) for i in range(1, 16)]
+    companies = [(1, "Many", 1, "US"), (2, "Some", 2, "US")]
+    given = snaps(*[(i, f"2023-{m:02d}-28", None, None, rng.choice([None, 1, 2, 3, 4]))
+                    for i, _ in stocks for m in range(1, 9)])
+    t = market(spark, Stock=stocks, Company=companies, Financial_Snapshot=given)
+    plain = sorted(rows(sector.eps_growth_count(t, min_q=1)))
+    monkeypatch.setattr(sector, "MANY_STOCKS", 7)
+    monkeypatch.setattr(stretches, "STRETCH_ROWS", 5)
+    assert sorted(rows(sector.eps_growth_count(t, min_q=1))) == plain and len(plain) == 2
+
+
+def test_stretches_equal_one_window_per_series(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from marketloom.operators.stretches import over_stretches
+
+    data = spark.range(500).selectExpr("id % 3 AS k", "id AS x", "(id * 7919) % 101 AS v")
+
+    def compute(df, window):
+        return df.withColumn("prev", F.lag("v").over(window)).withColumn("s", F.sum("v").over(window.rowsBetween(-3, 0)))
+
+    whole = compute(data, Window.partitionBy("k").orderBy("x"))
+    for size in (1, 4, 50, 1000):
+        got = over_stretches(data, ["k"], ["x"], 3, compute, stretch_rows=size)
+        assert sorted(rows(got.select(*whole.columns))) == sorted(rows(whole)), size
