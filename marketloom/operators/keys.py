@@ -36,13 +36,12 @@ def assign_ids(df: DataFrame, order: list, name: str, start=1, partitions: int |
     position = F.col("__slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     sizes = {r["p"]: r["n"] for r in numbered.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     offsets, running = [], 0
-    for p in sorted(sizes):
-        offsets += [F.lit(p), F.lit(running)]
-        running += sizes[p]
-    if not offsets:
-        return numbered.select(F.lit(None).cast("long").alias(name), *df.columns)
+    for p in range(max(sizes, default=0) + 1):
+        offsets.append(F.lit(running).cast("long"))
+        running += sizes.get(p, 0)
     base = start if isinstance(start, Column) else F.lit(start)
-    shift = F.element_at(F.create_map(*offsets), part)
+    # A constant array, indexed directly: one lookup per row however many partitions.
+    shift = F.element_at(F.array(*offsets), (part + 1).cast("int"))
     return numbered.select((base + shift + position).cast("long").alias(name), *df.columns)
 
 

@@ -111,6 +111,34 @@ def create_tables(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
     return names
 
 
+def save_tables(
+    spark: SparkSession, tables: Mapping[str, DataFrame], database: str = "default", buckets: int = 200
+) -> list[str]:
+    """Saves the relations as catalog tables, security-keyed ones bucketed by security.
+
+    Windows, aggregations and joins on the security then need no shuffle. A
+    bucket holds whole securities, and a security at most one row per day, so
+    buckets stay even. ``buckets`` should grow with the data.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name in LOAD_ORDER:
+        rows, order = conform(tables[name], TABLES[name]), CLUSTERED.get(name)
+        name = f"{database}.{name.lower()}"
+        if order is None:
+            rows.write.mode("overwrite").saveAsTable(name)
+        else:
+            # One task per bucket keeps it to one sorted file per bucket.
+            rows = rows.repartition(buckets, order[0])
+            rows.write.mode("overwrite").bucketBy(buckets, order[0]).sortBy(*order).saveAsTable(name)
+        names.append(name)
+    return names
+
+
+def saved_tables(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
+    return {name: spark.table(f"{database}.{name.lower()}") for name in LOAD_ORDER}
+
+
 def drop_tables(spark: SparkSession, prefix: str = "") -> list[str]:
     """Unregisters the relations, children first; absent ones are passed over."""
     return [name for name in DROP_ORDER if spark.catalog.dropTempView(f"{prefix}{name}")]

@@ -8,6 +8,7 @@ from marketloom.quality import constraints
 from marketloom.schema import LOAD_ORDER, TABLES
 from marketloom.session import shared_dir
 from marketloom.sources import files, store
+from marketloom.operators import timeseries as ts
 from marketloom.plans import security
 from tests.market import d, market, prices, rows, table
 
@@ -85,6 +86,17 @@ def test_a_date_range_prunes_year_folders(spark, folder):
     assert "EqualTo(security_id,1)" in plan or "In(security_id" in plan
 
 
+def test_bucketed_tables_need_no_shuffle_per_security(spark):
+    store.save_tables(spark, stocked(spark), "bucketed", buckets=3)
+    saved = store.saved_tables(spark, "bucketed")
+    returns = ts.with_daily_return(saved["Price"])
+    assert "Exchange" not in returns._jdf.queryExecution().executedPlan().toString()
+    ends = ts.endpoints_in_range(saved["Price"], "2024-01-01", "2024-12-31")
+    assert "Exchange" not in ends._jdf.queryExecution().executedPlan().toString()
+    assert rows(ends.select("security_id")) == [(1,)]
+    assert rows(security.close_series(saved, "AAA", "2024-01-03", "2024-12-31")) == [(d("2024-01-03"), 11.0)]
+
+
 def test_create_and_drop_tables(spark):
     store.create_tables(spark, prefix="x_")
     assert spark.table("x_price").count() == 0
