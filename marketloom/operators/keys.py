@@ -50,13 +50,23 @@ def next_id(df: DataFrame, column: str) -> Column:
     return df.agg((F.coalesce(F.max(column), F.lit(0)) + 1).cast("long").alias("next")).scalar()
 
 
+def short_list(keys: DataFrame, key: str = "security_id") -> list | None:
+    """The distinct keys when there are few, None when there are more than ``INLINE_IDS``."""
+    hits = [r[0] for r in keys.select(key).limit(INLINE_IDS + 1).collect()]
+    return None if len(hits) > INLINE_IDS else sorted(set(hits))
+
+
+def among(rows: DataFrame, values: list, key: str = "security_id") -> DataFrame:
+    return rows.filter(F.col(key).isin(values) if values else F.lit(False))
+
+
 def rows_of(rows: DataFrame, keys: DataFrame, key: str = "security_id") -> DataFrame:
     """Rows whose key is among ``keys``.
 
     A short key list is inlined, so the predicate reaches the file scan and row
     groups are skipped; a longer one becomes a semi join and stays whole.
     """
-    hits = [r[0] for r in keys.select(key).limit(INLINE_IDS + 1).collect()]
-    if len(hits) > INLINE_IDS:
+    values = short_list(keys, key)
+    if values is None:
         return rows.join(keys.select(key), key, "left_semi")
-    return rows.filter(F.col(key).isin(hits)) if hits else rows.filter(F.lit(False))
+    return among(rows, values, key)

@@ -20,14 +20,14 @@ def _spec(tables: Tables, holdings: str) -> DataFrame:
 def portfolio_holdings(tables: Tables, pid=0, holdings="", as_of=None) -> DataFrame:
     """Valued holdings of a saved portfolio or of a spec, in the order they were given."""
     held = portfolio.resolve_holdings(tables, pid, _spec(tables, holdings))
-    valued = portfolio.value_holdings(tables, held, as_of)
+    valued = portfolio.value_holdings(tables, held, as_of, few=True)
     return valued.join(held.select("ticker", "position"), "ticker").orderBy("position").drop("position", "portfolio_id")
 
 
 def portfolio_series(tables: Tables, pid=0, holdings="", start=DEFAULT_START, end=None) -> DataFrame:
     """Daily value of a saved portfolio or of a spec."""
     held = portfolio.resolve_holdings(tables, pid, _spec(tables, holdings))
-    return portfolio.value_series(tables, held, start, end).orderBy("trade_date").drop("portfolio_id")
+    return portfolio.value_series(tables, held, start, end, few=True).orderBy("trade_date").drop("portfolio_id")
 
 
 ANALYSES: dict[str, Callable[..., DataFrame]] = {

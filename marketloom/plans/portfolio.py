@@ -6,6 +6,7 @@ come from saved portfolios or from specs such as ``AAPL:10:150,MSFT:5:300``.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import leading_number, ratio, round_half_away, same_text
 from marketloom.operators import timeseries as ts
-from marketloom.operators.keys import assign_ids, next_id
+from marketloom.operators.keys import among, assign_ids, next_id, short_list
 from marketloom.plans.common import DEFAULT_START, Tables, dated, trailing_dividends
 
 # Owner marker, defaults and messages of the portfolio operations.
@@ -120,9 +121,25 @@ def _ticker_ids(tables: Tables, tickers: DataFrame | None) -> DataFrame:
     return listed.groupBy("ticker").agg(F.min("security_id").alias("security_id"))
 
 
-def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None) -> DataFrame:
-    """Per ticker: security, company, sector, latest close and a year of dividends per share."""
+def _narrowed(tables: Tables, ids: DataFrame) -> Tables:
+    """Security-keyed tables cut down to a short list of ids, unchanged for a long one."""
+    wanted = short_list(ids)
+    if wanted is None:
+        return tables
+    names = ("Security", "Stock", "Price", "Corporate_Action")
+    return ChainMap({name: among(tables[name], wanted) for name in names}, tables)
+
+
+def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None, few: bool = False) -> DataFrame:
+    """Per ticker: security, company, sector, latest close and a year of dividends per share.
+
+    ``few`` says that the tickers are those of a portfolio or two: their ids are
+    looked up first, so that the price scan reads only what they need.
+    """
     ids = _ticker_ids(tables, tickers)
+    if few:
+        tables = _narrowed(tables, ids)
+        ids = _ticker_ids(tables, tickers)
     classified = (
         tables["Stock"]
         .join(tables["Company"].select("company_id", "company_name", "industry_id"), "company_id", "left")
@@ -148,9 +165,9 @@ def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None) -> D
     )
 
 
-def value_holdings(tables: Tables, holdings: DataFrame, as_of=None) -> DataFrame:
+def value_holdings(tables: Tables, holdings: DataFrame, as_of=None, few: bool = False) -> DataFrame:
     """Market value, gain and dividend income per holding; gaps where there is no price."""
-    ref = reference(tables, holdings.select("ticker").distinct(), as_of)
+    ref = reference(tables, holdings.select("ticker").distinct(), as_of, few)
     known = F.col("security_id").isNotNull()
     fund = F.col("security_type") == "etf"
     rows = (
@@ -177,9 +194,13 @@ def value_holdings(tables: Tables, holdings: DataFrame, as_of=None) -> DataFrame
     )
 
 
-def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=None) -> DataFrame:
+def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=None, few: bool = False) -> DataFrame:
     """Value per portfolio and trading day; a holding without a price that day adds nothing."""
-    ids = _ticker_ids(tables, holdings.select("ticker").distinct())
+    tickers = holdings.select("ticker").distinct()
+    ids = _ticker_ids(tables, tickers)
+    if few:
+        tables = _narrowed(tables, ids)
+        ids = _ticker_ids(tables, tickers)
     positions = holdings.join(ids, "ticker").select("portfolio_id", "security_id", "shares")
     prices = dated(tables["Price"], "trade_date", start, end).select("security_id", "trade_date", "close")
     worth = F.col("close").cast("double") * F.col("shares")

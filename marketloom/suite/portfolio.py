@@ -104,7 +104,7 @@ def _(tables):
 @case("pf_holdings", sql=f"WITH {_REFERENCE}, {_SAVED} {_VALUED} FROM held h LEFT JOIN facts USING (ticker) "
                          f"WHERE h.portfolio_id = {PORTFOLIO}")
 def _(tables):
-    return plan.value_holdings(tables, plan.resolve_holdings(tables, PORTFOLIO), as_of=AS_OF)
+    return plan.value_holdings(tables, plan.resolve_holdings(tables, PORTFOLIO), as_of=AS_OF, few=True)
 
 
 @case("pf_holdings_universe",
@@ -123,7 +123,7 @@ def _(tables):
 @case("pf_series", sql=f"WITH {_REFERENCE}, {_SAVED} "
                        + _SERIES.format(held="held", only=f"AND portfolio_id = {PORTFOLIO}"))
 def _(tables):
-    return plan.value_series(tables, plan.resolve_holdings(tables, PORTFOLIO), start=START, end=END)
+    return plan.value_series(tables, plan.resolve_holdings(tables, PORTFOLIO), start=START, end=END, few=True)
 
 
 @case("pf_series_universe", sql=f"WITH {_REFERENCE}, {_SAVED} " + _SERIES.format(held="held", only=""))
