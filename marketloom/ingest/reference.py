@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.ingest import fixed_values as fixed
@@ -58,7 +58,7 @@ class Listing:
     stock: DataFrame
 
 
-def exchange_of(symbol) -> F.Column:
+def exchange_of(symbol) -> Column:
     return (
         F.when(F.col(symbol).isin(*fixed.SECOND_EXCHANGE_SYMBOLS), fixed.SECOND_EXCHANGE)
         .otherwise(fixed.FIRST_EXCHANGE)
@@ -112,7 +112,7 @@ def append_funds(securities: DataFrame, symbols=None) -> DataFrame:
     return append_securities(securities, rows, "etf", fixed.SECOND_EXCHANGE)
 
 
-def option_symbol(root, expiration, option_type, strike) -> F.Column:
+def option_symbol(root, expiration, option_type, strike) -> Column:
     """Root, expiry as yyyymmdd, C or P, strike in thousandths on eight digits; cut to 20 characters."""
     thousandths = (F.col(strike) * 1000).cast("long").cast("string")
     text = F.concat(
