@@ -15,7 +15,14 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.cap_filters import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_cap_filters": op2_cap_filters,
     "op10_shingle_join": op10_shingle_join,
 }
 
