@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm.common import read_table
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from marketloom.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketloom.llm.shingle_join import jaccard_components
 
@@ -23,6 +31,7 @@ def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cap_filters": op2_cap_filters,
+    "op6_packing": op6_packing,
     "op10_shingle_join": op10_shingle_join,
 }
 
