@@ -9,6 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm.common import read_table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.mixing import mix, taken_words
+
+    return taken_words(mix(read_table(spark, sf_dir, "documents")))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.sharding import shard
+
+    return shard(read_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op9_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.multiset_hash import fingerprint_edits
+
+    return fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,6 +41,9 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+SHARD_BYTES = 1 << 20  # byte limit of a shard of texts
+
+
 def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketloom.llm.cap_filters import near_duplicates
 
@@ -30,9 +51,31 @@ def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_cap_filters": op2_cap_filters,
+    "op3_sharding": op3_sharding,
     "op6_packing": op6_packing,
+    "op9_multiset_hash": op9_multiset_hash,
     "op10_shingle_join": op10_shingle_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_sharding": f"""
+WITH r AS (
+  SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash,
+         coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes FROM documents),
+d AS (SELECT unnest(range(0, 61))::INTEGER AS depth),
+start AS (SELECT greatest(0, ceil(log2(greatest(1, sum(bytes) / {SHARD_BYTES}.0))))::INTEGER AS least FROM r),
+b AS (
+  SELECT depth, hash >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes, min(hash) = max(hash) AS one
+  FROM r, d, start WHERE depth >= least GROUP BY 1, 2),
+f AS (
+  SELECT r.doc_id, r.hash, r.bytes, b.depth, b.prefix, b.shard_bytes,
+         row_number() OVER (PARTITION BY r.doc_id, r.hash, b.depth ORDER BY r.bytes) AS copy,
+         min(b.depth) OVER (PARTITION BY r.hash) AS own
+  FROM r, b WHERE r.hash >> (60 - b.depth) = b.prefix AND (b.shard_bytes <= {SHARD_BYTES} OR b.one))
+SELECT doc_id, hash, bytes, CASE WHEN depth > 0 THEN lpad(format('{{:b}}', prefix), depth, '0') ELSE '' END AS shard,
+       depth, shard_bytes, shard_bytes > {SHARD_BYTES} AS oversized
+FROM f WHERE depth = own
+""",
+}
