@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm.common import read_table
+from marketloom.llm.common import id_residue, read_table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,21 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.language_id import fit, identify
+
+    docs = read_table(spark, sf_dir, "documents")
+    profiles = fit(docs.where(id_residue("doc_id", 3) != 1))
+    held_out = F.coalesce(id_residue("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return identify(docs.select("doc_id", held_out, "text"), profiles).drop("text")
+
+
+def op8_gru_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.gru_model import score
+
+    return score(read_table(spark, sf_dir, "documents"))
+
+
 def op9_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketloom.llm.multiset_hash import fingerprint_edits
 
@@ -55,6 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cap_filters": op2_cap_filters,
     "op3_sharding": op3_sharding,
     "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
+    "op8_gru_model": op8_gru_model,
     "op9_multiset_hash": op9_multiset_hash,
     "op10_shingle_join": op10_shingle_join,
 }
