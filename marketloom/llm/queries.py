@@ -43,6 +43,18 @@ def op9_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.html_text import extract
+
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.url_filter import judge
+
+    return judge(read_table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_cap_filters": op2_cap_filters,
     "op3_sharding": op3_sharding,
+    "op4_html_text": op4_html_text,
+    "op5_url_filter": op5_url_filter,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_gru_model": op8_gru_model,
