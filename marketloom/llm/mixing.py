@@ -26,6 +26,7 @@ ignored.  The result depends only on the rows and the seed.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -212,3 +213,47 @@ def taken_words(mixture: Mixture, key: str = "doc_id") -> DataFrame:
     found = mixture.rows.alias("r").join(of_row.alias("t"), same, "left").select("r.*", F.coalesce("t.taken", F.lit(0)).alias("taken"))
     table = spark.createDataFrame([(k, s.size, s.target) for k, s in enumerate(mixture.sources)], "source_no int, source_size long, target double")
     return found.join(F.broadcast(table), "source_no").select(key, "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken"))
+
+
+def _cut(columns: list[str], at: int):
+    """Replaces column ``at`` (a text) by the words that ``parts`` (the last column: pass, start, length) name."""
+    words = re.compile(rb"[^\x20\x09-\x0D]+")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, parts in zip(batch.column(at), batch.column(len(columns))):
+                parts = sorted((p["pass_no"], p["start"], p["length"]) for p in parts.as_py())
+                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                begins = [m.start() for m in words.finditer(data)]
+                begins = [0, *begins[1:], len(data)]  # a word goes with the white space behind it
+                pieces: list[bytes] = []
+                before = None
+                for turn, start, length in parts:
+                    if before is not None and (turn, start) != before and not pieces[-1][-1:].isspace():
+                        pieces.append(b"\n")
+                    pieces.append(data[begins[start] : begins[start + length]])
+                    before = turn, start + length
+                out.append(b"".join(pieces).decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1 : len(columns)]], names=columns)
+
+    return run
+
+
+def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
+    """``docs`` (``doc_id``, ``text``, ``source``, ``n_chars`` and more) with the texts that the mixture takes of them.
+
+    A document's blocks follow one another as in its text, those of a second pass after those of the first; a document
+    taken once as a whole keeps its text as it is, and one that no slot takes is left out.  ``n_chars`` is set anew.
+    Rows with equal ids and texts get the parts of one of them.
+    """
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    mixture = mix(keyed, seed, ("doc_id", "_text_key"))
+    key = ["doc_id", "_text_key"]
+    taken = mixture.pieces.join(mixture.slots, ["source_no", "block"])
+    parts = taken.groupBy(*key, "place").agg(F.collect_list(F.struct("pass_no", "start", "length")).alias("parts"))
+    parts = parts.groupBy(*key).agg(F.min_by("parts", "place").alias("parts"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._text_key") == F.col("p._text_key"))
+    rows = keyed.alias("d").join(parts.alias("p"), same).select(*(F.col(f"d.`{c}`") for c in docs.columns), "p.parts")
+    out = rows.mapInArrow(_cut(docs.columns, docs.columns.index("text")), docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

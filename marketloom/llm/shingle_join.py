@@ -13,9 +13,13 @@ pair can only link if it meets in the tile of some equal interval.  Documents th
 one candidate family; families are small, each document belongs to one, and an R-tree join runs inside each.
 
 **Large families** are cut into chunks of ``CHUNK`` documents by hash, each joined with a copy of the family's first
-document, which ties the chunks together.  Where a family still has several components, its largest one is met by the
-others, chunk against chunk.  So work is linear for copies of one text however many there are; it is quadratic, over
-the chunk size, only in the documents of one family that don't link with its largest component.
+document, which ties the chunks together.  Where a family still has several components, its sets are rewritten as
+differences ``D`` from one reference set (what most documents of its first chunk hold; any set gives right results).
+``A`` and ``B`` differ by what ``D(A)`` and ``D(B)`` do not share, so a pair links if the two differences are short
+enough together, and then both link with the document of shortest difference, or else the differences share an element.
+Hence one star per family, and tiles of equal elements: documents with their own edits share none, so the work is
+linear however many copies of one text there are.  Tiles with the same members are joined once, in pairs of chunks; that
+is quadratic, over the chunk size, only in documents that share an edit and lie in different components.
 
 Rules: A-Z are lower-cased; words are runs other than the six ASCII white-space characters; a text with fewer words than
 a shingle takes has the whole sequence as its one shingle; a text without words, or null, has an empty set and links
@@ -108,38 +112,38 @@ def _describe(width: int, similarity: Fraction):
 
 
 class Tree:
-    """A packed R-tree over count points: leaves of similar points, and the corners of the nodes above them."""
+    """A packed R-tree over count points: leaves of similar points, and the corners of the nodes above them.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan: int = LEAF):
+    Two sets can link only if ``overlap * scale`` reaches their weights' sum; a node keeps its smallest weight.
+    """
+
+    def __init__(self, points: np.ndarray, weights: np.ndarray, scale: int, fan: int = LEAF):
         spread = np.argsort(-points.var(axis=0), kind="stable")[:2]
-        self.order = np.lexsort((points[:, spread[1]], points[:, spread[0]], sizes // 8))
-        self.levels = []
-        top, low, high = points[self.order], sizes[self.order], sizes[self.order]
+        self.order = np.lexsort((points[:, spread[1]], points[:, spread[0]], points.sum(axis=1) // 8))
+        self.levels, self.fan, self.scale = [], fan, scale
+        top, least = points[self.order], weights[self.order]
         while True:
-            self.levels.append((top, low, high))
+            self.levels.append((top, least))
             if len(top) <= fan:
                 break
             cut = np.arange(0, len(top), fan)
-            top, low, high = np.maximum.reduceat(top, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
-        self.fan = fan
+            top, least = np.maximum.reduceat(top, cut), np.minimum.reduceat(least, cut)
 
-    def near(self, point: np.ndarray, size: int, num: int, den: int) -> np.ndarray:
-        """Points whose summed minima with ``point`` leave a link possible: overlap * (num + den) >= num * (sizes summed)."""
+    def near(self, point: np.ndarray, weight: int) -> np.ndarray:
+        """Points whose summed minima with ``point`` leave a link possible."""
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            top, low, high = self.levels[depth]
-            bound = np.minimum(top[at], point).sum(axis=1)
-            at = at[(bound * (num + den) >= num * (size + low[at])) & (high[at] * den >= num * size)]
+            top, least = self.levels[depth]
+            at = at[np.minimum(top[at], point).sum(axis=1) * self.scale >= weight + least[at]]
             if depth:
                 at = (at[:, None] * self.fan + np.arange(self.fan)).ravel()
                 at = at[at < len(self.levels[depth - 1][0])]
         return self.order[at]
 
 
-def join_sets(ids: list[int], sets: list[np.ndarray], known: list[int], left: np.ndarray, right: np.ndarray, similarity: Fraction) -> list[tuple[int, int]]:
+def join_sets(ids: list, sets: list[np.ndarray], weights: list[int], scale: int, known: list, left: np.ndarray, right: np.ndarray) -> list[tuple]:
     """Links that connect all that link between ``left`` and ``right`` rows, beyond those ``known`` (equal labels) already."""
-    num, den = similarity.numerator, similarity.denominator
-    up = {}
+    up: dict = {}
 
     def root(x):
         while up.setdefault(x, x) != x:
@@ -147,57 +151,87 @@ def join_sets(ids: list[int], sets: list[np.ndarray], known: list[int], left: np
             x = up[x]
         return x
 
-    sizes = np.array([len(s) for s in sets])
+    weights = np.array(weights)
     points = np.stack([np.bincount((s & np.uint64(DIMS - 1)).astype(np.int64), minlength=DIMS) for s in sets])
-    tree = Tree(points[right], sizes[right])
+    tree = Tree(points[right], weights[right], scale)
     found = []
     for i in left:
-        for j in right[tree.near(points[i], sizes[i], num, den)]:
+        for j in right[tree.near(points[i], weights[i])]:
             a, b = root(known[i]), root(known[j])
-            if i == j or a == b:
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if common * den >= num * (sizes[i] + sizes[j] - common):
+            if a != b and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) * scale >= weights[i] + weights[j]:
                 up[max(a, b)] = min(a, b)
                 found.append((ids[i], ids[j]))
     return found
 
 
-def _join(width: int, similarity: Fraction):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _in_groups(work, schema: pa.Schema):
+    """A function over batches sorted by their first two columns that runs ``work`` on each group's rows."""
 
-    def links(rows: list[tuple]) -> list[tuple[int, int]]:
-        rows.sort(key=lambda r: (r[2], r[3]))
-        ids, known = [r[2] for r in rows], [r[4] for r in rows]
-        sets = [shingle_set(r[5], width) for r in rows]
-        side = np.array([r[3] for r in rows])
-        everything = np.arange(len(rows))
-        if side.max() == 0:
-            return join_sets(ids, sets, known, everything, everything, similarity)
-        if not (side == 1).any() or not (side == 2).any():
-            return []
-        return join_sets(ids, sets, known, everything[side == 1], everything[side == 2], similarity)
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[0][:2] != row[:2]:
-                    pairs = links(held)
-                    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
+                    yield batch_of(work(held))
                     held = []
                 held.append(row)
         if held:
-            pairs = links(held)
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
+            yield batch_of(work(held))
 
     return run
 
 
-def _run_groups(rows: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """``rows``: family, part, node, side (0: one set of rows; 1 and 2: the two sides), label and text."""
-    dealt = rows.select("family", "part", "node", "side", "label", "text").repartition("family", "part").sortWithinPartitions("family", "part")
-    return dealt.mapInArrow(_join(width, similarity), "a bigint, b bigint")
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _join_texts(rows: list[tuple], width: int, num: int, den: int) -> list[tuple]:
+    """Rows: family, part, node, text."""
+    rows.sort(key=lambda r: r[2])
+    sets = [shingle_set(r[3], width) for r in rows]
+    ids, all_rows = [r[2] for r in rows], np.arange(len(rows))
+    return join_sets(ids, sets, [num * len(s) for s in sets], num + den, ids, all_rows, all_rows)
+
+
+def _join_differences(rows: list[tuple], num: int, den: int) -> list[tuple]:
+    """Rows: tile, part, chunk, whether the part has two chunks, node, label, weight, difference."""
+    rows.sort(key=lambda r: (r[2], r[4]))
+    chunk, at = np.array([r[2] for r in rows]), np.arange(len(rows))
+    left, right = (at[chunk == chunk[0]], at[chunk != chunk[0]]) if rows[0][3] else (at, at)
+    if not len(right) or len({r[5] for r in rows}) == 1:
+        return []
+    sets = [np.array(r[7], np.int64).view(np.uint64) for r in rows]
+    return join_sets([r[4] for r in rows], sets, [r[6] for r in rows], 2 * (num + den), [r[5] for r in rows], left, right)
+
+
+def _reference(rows: list[tuple], width: int) -> list[tuple]:
+    """Rows: family, 0, text.  The shingles that most of them hold."""
+    all_sets, counts = np.unique(np.concatenate([shingle_set(r[2], width) for r in rows]), return_counts=True)
+    return [(rows[0][0], all_sets[2 * counts > len(rows)].view(np.int64).tolist())]
+
+
+def _differences(width: int, num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 500):
+                part = batch.slice(low, 500)
+                weights, found = [], []
+                for text, reference in zip(part.column(2), part.column(3)):
+                    own = shingle_set(text.as_py(), width)
+                    apart = np.setxor1d(own, reference.values.to_numpy().view(np.uint64), assume_unique=True)
+                    weights.append(len(apart) * (num + den) - len(own) * (den - num))
+                    found.append(apart.view(np.int64))
+                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32), np.concatenate(found or [np.empty(0, np.int64)]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(weights, pa.int64()), lists], names=["family", "node", "weight", "apart"])
+
+    return run
+
+
+def _grouped(rows: DataFrame, work, schema: pa.Schema, ddl: str) -> DataFrame:
+    keys = rows.columns[:2]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_in_groups(work, schema), ddl)
 
 
 def _with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -228,29 +262,44 @@ def jaccard_components(docs: DataFrame, similarity: Fraction = Fraction(9, 10),
 
     # Rows that share an id are one node: every text of a node takes part.
     texts = stored(texts.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"))
-    within = _run_groups(members.withColumn("side", F.lit(0)).withColumn("label", F.col("node")).join(texts, "node"), width, similarity)
+    num, den = similarity.numerator, similarity.denominator
+    chunks = members.select("family", "part", "node").join(texts, "node").select("family", "part", "node", "text")
+    within = _grouped(chunks, lambda rows: _join_texts(rows, width, num, den), LINKS, "a bigint, b bigint")
     found = components(within.union(copies))
 
-    # Families with several chunks and several components: the rest against the largest component, and against itself.
-    large = members.where(F.col("size") > CHUNK).select("family", "node").distinct()
-    labelled = stored(_with_labels(large, found))
-    counts = labelled.groupBy("family", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("family").agg(F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("most"), F.sum("n").alias("size"))
-    main = stored(main.where("most.n < size").select("family", (-F.col("most.l")).alias("main"), F.ceil(F.col("most.n") / CHUNK).alias("km"), F.ceil((F.col("size") - F.col("most.n")) / CHUNK).alias("ku")))
-    if not main.isEmpty():
-        found = components(found.union(_across(labelled, main, texts, width, similarity)))
+    # Families of several chunks that still have several components.
+    large = members.where(F.col("size") > CHUNK)
+    labelled = _with_labels(large.select("family", "node").distinct(), found)
+    open_families = labelled.groupBy("family").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("family")
+    open_families = stored(open_families)
+    if not open_families.isEmpty():
+        large = stored(large.join(open_families, "family", "left_semi"))
+        found = _across(large, texts, found, width, num, den)
     out = rows.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _across(labelled: DataFrame, main: DataFrame, texts: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """Links between the largest component of a large family and its other documents, and among these."""
-    split = labelled.join(main, "family").withColumn("inner", F.col("label") == F.col("main"))
-    count = lambda k: F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1)
-    own = lambda k: F.pmod(F.xxhash64("node"), F.col(k))
-    pairs = lambda i, j: F.struct(i.alias("i"), j.alias("j"))  # noqa: E731  j counts the main chunks first, then the others
-    of_main = split.where("inner").select("family", "node", "label", F.lit(2).alias("side"), F.explode(F.transform(count("ku"), lambda i: pairs(i, own("km")))).alias("part"))
-    as_left = split.where("not inner").select("family", "node", "label", F.lit(1).alias("side"), F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("km") + F.col("ku") - 1), lambda j: pairs(own("ku"), j))).alias("part"))
-    as_right = split.where("not inner").select("family", "node", "label", F.lit(2).alias("side"), F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), own("ku")), lambda i: pairs(i, F.col("km") + own("ku")))).alias("part"))
-    crossing = of_main.union(as_left).union(as_right).withColumn("part", F.xxhash64("part.i", "part.j")).join(texts, "node")
-    return _run_groups(crossing, width, similarity)
+def _across(members: DataFrame, texts: DataFrame, found: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """``found`` with the links between documents of different chunks."""
+    whole = pa.schema([("family", pa.int64()), ("reference", pa.list_(pa.int64()))])
+    first = members.where("part = 0").join(texts, "node").select("family", "part", "text")
+    reference = stored(_grouped(first, lambda rows: _reference(rows, width), whole, "family bigint, reference array<bigint>"))
+    nodes = members.select("family", "node").distinct().join(texts, "node")
+    apart = nodes.join(reference, "family").select("family", "node", "text", "reference")
+    apart = stored(apart.mapInArrow(_differences(width, num, den), "family bigint, node bigint, weight bigint, apart array<bigint>"))
+
+    least = stored(apart.groupBy("family").agg(F.min(F.struct("weight", "node")).alias("least")))
+    short = apart.select("family", "node", "weight").join(least, "family").where("weight + least.weight <= 0 and node <> least.node")
+    found = components(found.union(short.select("node", "least.node")))
+
+    apart = stored(_with_labels(apart, found))
+    elements = apart.select("family", "node", "label", F.explode("apart").alias("element"))
+    tiles = elements.groupBy("family", "element").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+    tiles = tiles.where("low < high").groupBy("family", "n", "members").agg(F.min("element").alias("element"))
+    tiles = stored(tiles.select("family", "element", F.ceil(F.col("n") / CHUNK).alias("chunks")))
+
+    own = elements.join(tiles, ["family", "element"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    own = own.select(F.xxhash64("family", "element").alias("tile"), F.xxhash64(F.least("chunk", "other"), F.greatest("chunk", "other")).alias("part"), "chunk", (F.col("chunk") != F.col("other")).alias("two"), "node")
+    pairs = own.join(apart.select("node", "label", "weight", "apart"), "node").select("tile", "part", "chunk", "two", "node", "label", "weight", "apart")
+    return components(found.union(_grouped(pairs, lambda rows: _join_differences(rows, num, den), LINKS, "a bigint, b bigint")))
