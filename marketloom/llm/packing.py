@@ -4,7 +4,7 @@ A document's token ids are cut into full sequences of ``size`` tokens and one re
 ``WINDOW`` documents: a piece of ``l`` tokens is estimated to cost ``l * LINEAR + l * l * QUADRATIC`` (attention stays
 inside a document), pieces go by descending length to the sequence of the window with the lowest cost that has room, and
 where no sequence has room for a whole piece it is cut to fill the one of lowest cost.  A window has as many sequences as
-its tokens need, so only its last one is padded.
+its tokens need, so its padding is less than one sequence.
 
 A task tokenizes its own part of the input and packs as it reads, so the text is never shuffled and a task that is run
 again gives the same pieces.  Sequence ids are the task's number and a counter.  Memory holds one window of rests.
