@@ -226,12 +226,8 @@ def _price(t):
         F.sum(F.col("qty").cast("long")).alias("volume"),
     )
     basket = (
-        ticks.groupBy("trade_date")
-        .agg(
-            money(F.min("px")).alias("low"),
-            money(F.max("px")).alias("high"),
-            F.sum(F.col("qty").cast("long")).alias("volume"),
-        )
+        daily.groupBy("trade_date")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("volume").alias("volume"))
         .select(
             _long(BASKET_ID).alias("security_id"),
             "trade_date",
@@ -245,6 +241,11 @@ def _price(t):
     return daily.unionByName(basket)
 
 
+def _mean(total: str, scale: int) -> Column:
+    """A mean per line in whole parts of ``scale``: it stays in a narrow column however many lines a quarter has."""
+    return F.expr(f"({total} * {scale}) div n").cast("decimal(10,0)")
+
+
 @_builds("Financial_Snapshot")
 def _snapshot(t):
     sid = F.col("security_id")
@@ -260,23 +261,23 @@ def _snapshot(t):
         .groupBy(sid, F.year("trade_date").alias("y"), F.quarter("trade_date").alias("q"))
         .agg(
             F.max("trade_date").alias("snapshot_date"),
-            F.least(F.sum(F.col("qty").cast("long")), F.lit(1_000_000)).alias("qty"),
-            F.least(F.sum("disc"), F.lit(99_999)).cast("decimal(10,4)").alias("eps"),
+            F.sum(F.col("qty").cast("long")).alias("qty"),
+            (F.sum("disc") * 1_000_000).cast("long").alias("disc"),
             F.count("*").alias("n"),
         )
     )
     pe = (
         F.when(sid % 11 == 10, F.lit(None))
         .when(sid % 13 == 12, F.lit("-1.5").cast("decimal(10,2)"))
-        .otherwise((F.least("n", F.lit(1_000_000)).cast("decimal(10,2)") * F.lit("1.25").cast("decimal(3,2)")).cast("decimal(10,2)"))
+        .otherwise(_mean("qty", 25) * F.lit("0.05").cast("decimal(3,2)"))
     )
     snaps = quarters.select(
         sid,
         "snapshot_date",
         (F.col("qty") * scale).alias("market_cap"),
         pe.cast("decimal(10,2)").alias("pe_ratio"),
-        F.when(F.col("n") % 17 != 0, F.col("eps")).alias("eps"),
-        (F.least("n", F.lit(1000)).cast("decimal(8,2)") * F.lit("0.05").cast("decimal(2,2)")).cast("decimal(6,4)").alias("beta"),
+        F.when(F.col("n") % 17 != 0, (_mean("disc", 1) * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(10,4)")).alias("eps"),
+        (_mean("qty", 200) * F.lit("0.0005").cast("decimal(4,4)")).cast("decimal(6,4)").alias("beta"),
     )
     if t.with_ids:
         return assign_ids(snaps, ["security_id", "snapshot_date"], "snapshot_id")
@@ -288,7 +289,7 @@ def _action(t):
     line = F.col("l_linenumber")
     kind = F.when(line <= 5, "dividend").when(line == 6, "split").otherwise("reverse_split")
     amount = F.when(line <= 5, F.col("disc") * 10).when(line == 6, F.lit(2)).otherwise(F.lit("0.5").cast("decimal(2,1)"))
-    rows = _ticks(t).filter((F.col("l_returnflag") == "R") & (F.col("l_orderkey") % 10 == 0))
+    rows = _ticks(t).filter(F.col("l_returnflag") == "R")
     columns = [
         F.col("security_id"),
         F.col("trade_date").alias("action_date"),
@@ -313,13 +314,13 @@ def _portfolio(t):
 
 @_builds("Holding")
 def _holding(t):
-    lots = t.base("lineitem").filter(F.col("l_linenumber") == 1)
+    lots = t.base("lineitem")
     return (
         t.base("orders")
         .join(lots, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy(F.col("o_custkey").alias("portfolio_id"), F.col("l_suppkey").alias("security_id"))
         .agg(
-            F.least(F.sum(F.col("l_quantity").cast("long")), F.lit(1_000_000_000)).cast("decimal(14,4)").alias("shares"),
+            F.sum(F.col("l_quantity").cast("long")).cast("decimal(14,4)").alias("shares"),
             F.min("l_extendedprice").cast("decimal(12,4)").alias("average_cost"),
         )
     )

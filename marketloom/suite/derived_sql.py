@@ -59,28 +59,27 @@ RELATIONS: dict[str, str] = {
         GROUP BY trade_date
     """,
     "snap": """
-        SELECT security_id, MAX(trade_date) AS snapshot_date, LEAST(CAST(SUM(qty) AS BIGINT), 1000000) * CASE security_id % 5 WHEN 0 THEN 1000000000 WHEN 1 THEN 100000000 WHEN 2 THEN 10000000 WHEN 3 THEN 1000000 ELSE 100000 END AS market_cap, CAST(LEAST(SUM(disc), 99999) AS DECIMAL(10,4)) AS eps, COUNT(*) AS n
+        SELECT security_id, MAX(trade_date) AS snapshot_date, CAST(SUM(qty) AS BIGINT) * CASE security_id % 5 WHEN 0 THEN 1000000000 WHEN 1 THEN 100000000 WHEN 2 THEN 10000000 WHEN 3 THEN 1000000 ELSE 100000 END AS market_cap, CAST(CAST(SUM(disc) * 1000000 AS BIGINT) // COUNT(*) * 0.0001 AS DECIMAL(10,4)) AS eps, CAST(SUM(qty) AS BIGINT) AS qty, COUNT(*) AS n
         FROM ticks
         GROUP BY security_id, EXTRACT(YEAR FROM trade_date), EXTRACT(QUARTER FROM trade_date)
     """,
     "Financial_Snapshot": """
-        SELECT CAST(ROW_NUMBER() OVER (ORDER BY security_id, snapshot_date) AS BIGINT) AS snapshot_id, security_id, snapshot_date, market_cap, CASE WHEN security_id % 11 = 10 THEN NULL WHEN security_id % 13 = 12 THEN CAST(-1.5 AS DECIMAL(10,2)) ELSE CAST(CAST(LEAST(n, 1000000) AS DECIMAL(10,2)) * 1.25 AS DECIMAL(10,2)) END AS pe_ratio, CASE WHEN n % 17 = 0 THEN NULL ELSE eps END AS eps, CAST(CAST(LEAST(n, 1000) AS DECIMAL(8,2)) * 0.05 AS DECIMAL(6,4)) AS beta
+        SELECT CAST(ROW_NUMBER() OVER (ORDER BY security_id, snapshot_date) AS BIGINT) AS snapshot_id, security_id, snapshot_date, market_cap, CASE WHEN security_id % 11 = 10 THEN NULL WHEN security_id % 13 = 12 THEN CAST(-1.5 AS DECIMAL(10,2)) ELSE CAST(qty * 25 // n * 0.05 AS DECIMAL(10,2)) END AS pe_ratio, CASE WHEN n % 17 = 0 THEN NULL ELSE eps END AS eps, CAST(qty * 200 // n * 0.0005 AS DECIMAL(6,4)) AS beta
         FROM snap
     """,
     "Corporate_Action": """
         SELECT CAST(ROW_NUMBER() OVER (ORDER BY security_id, trade_date, l_orderkey, l_linenumber, l_partkey) AS BIGINT) AS action_id, security_id, trade_date AS action_date, CASE WHEN l_linenumber <= 5 THEN 'dividend' WHEN l_linenumber = 6 THEN 'split' ELSE 'reverse_split' END AS action_type, CASE WHEN l_linenumber <= 5 THEN CAST(disc * 10 AS DECIMAL(14,6)) WHEN l_linenumber = 6 THEN CAST(2 AS DECIMAL(14,6)) ELSE CAST(0.5 AS DECIMAL(14,6)) END AS amount
         FROM ticks
-        WHERE l_returnflag = 'R' AND l_orderkey % 10 = 0
+        WHERE l_returnflag = 'R'
     """,
     "Portfolio": """
         SELECT c_custkey AS portfolio_id, c_name AS portfolio_name, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'u:' || CAST(c_custkey % 10 AS STRING) ELSE c_mktsegment END AS owner_name
         FROM customer
     """,
     "Holding": """
-        SELECT o_custkey AS portfolio_id, l_suppkey AS security_id, CAST(LEAST(SUM(CAST(l_quantity AS BIGINT)), 1000000000) AS DECIMAL(14,4)) AS shares, CAST(MIN(l_extendedprice) AS DECIMAL(12,4)) AS average_cost
+        SELECT o_custkey AS portfolio_id, l_suppkey AS security_id, CAST(SUM(CAST(l_quantity AS BIGINT)) AS DECIMAL(14,4)) AS shares, CAST(MIN(l_extendedprice) AS DECIMAL(12,4)) AS average_cost
         FROM orders
         JOIN lineitem ON o_orderkey = l_orderkey
-        WHERE l_linenumber = 1
         GROUP BY o_custkey, l_suppkey
     """,
     "raw_constituents": """
