@@ -9,8 +9,6 @@ from marketloom.session import shared_dir
 
 # monotonically_increasing_id packs (partition, position) with this many low bits.
 _POSITION_BITS = 33
-# Above this many hits a lookup is joined instead of being inlined as literals.
-INLINE_IDS = 1000
 
 
 def assign_ids(df: DataFrame, order: list, name: str, start=1, partitions: int | None = None) -> DataFrame:
@@ -50,23 +48,12 @@ def next_id(df: DataFrame, column: str) -> Column:
     return df.agg((F.coalesce(F.max(column), F.lit(0)) + 1).cast("long").alias("next")).scalar()
 
 
-def short_list(keys: DataFrame, key: str = "security_id") -> list | None:
-    """The distinct keys when there are few, None when there are more than ``INLINE_IDS``."""
-    hits = [r[0] for r in keys.select(key).limit(INLINE_IDS + 1).collect()]
-    return None if len(hits) > INLINE_IDS else sorted(set(hits))
-
-
-def among(rows: DataFrame, values: list, key: str = "security_id") -> DataFrame:
-    return rows.filter(F.col(key).isin(values) if values else F.lit(False))
-
-
 def rows_of(rows: DataFrame, keys: DataFrame, key: str = "security_id") -> DataFrame:
-    """Rows whose key is among ``keys``.
+    """Rows whose key is among ``keys``, which may be few or many.
 
-    A short key list is inlined, so the predicate reaches the file scan and row
-    groups are skipped; a longer one becomes a semi join and stays whole.
+    A semi join picks the rows; the smallest and largest key, as scalar
+    subqueries, reach the file scan before it, so row groups are skipped.
     """
-    values = short_list(keys, key)
-    if values is None:
-        return rows.join(keys.select(key), key, "left_semi")
-    return among(rows, values, key)
+    keys = keys.select(key)
+    low, high = keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()
+    return rows.filter(F.col(key).between(low, high)).join(keys, key, "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import leading_number, ratio, round_half_away, same_text
 from marketloom.operators import timeseries as ts
-from marketloom.operators.keys import among, assign_ids, next_id, short_list
+from marketloom.operators.keys import assign_ids, next_id, rows_of
 from marketloom.plans.common import DEFAULT_START, Tables, dated, trailing_dividends
 
 # Owner marker, defaults and messages of the portfolio operations.
@@ -122,19 +122,16 @@ def _ticker_ids(tables: Tables, tickers: DataFrame | None) -> DataFrame:
 
 
 def _narrowed(tables: Tables, ids: DataFrame) -> Tables:
-    """Security-keyed tables cut down to a short list of ids, unchanged for a long one."""
-    wanted = short_list(ids)
-    if wanted is None:
-        return tables
+    """Security-keyed tables cut down to some ids."""
     names = ("Security", "Stock", "Price", "Corporate_Action")
-    return ChainMap({name: among(tables[name], wanted) for name in names}, tables)
+    return ChainMap({name: rows_of(tables[name], ids) for name in names}, tables)
 
 
 def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None, few: bool = False) -> DataFrame:
     """Per ticker: security, company, sector, latest close and a year of dividends per share.
 
-    ``few`` says that the tickers are those of a portfolio or two: their ids are
-    looked up first, so that the price scan reads only what they need.
+    ``few`` says that the tickers are those of a portfolio or two: the tables are
+    cut down to their ids before anything else. The result is the same without.
     """
     ids = _ticker_ids(tables, tickers)
     if few:

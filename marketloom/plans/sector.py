@@ -33,8 +33,6 @@ TOP_YIELD = 15
 TOP_YIELD_DETAILED = 20
 TOP_VOLUME = 10
 GROWTH_FRAME = 4
-# Companies with more stocks than this have their quarters worked in stretches.
-MANY_STOCKS = 10_000
 
 # Lower bounds and labels of the market-cap tiers.
 FOUR_TIERS = (
@@ -187,28 +185,18 @@ def eps_growth_count(tables: Tables, sector=ALL_SECTORS, min_q=DEFAULT_MIN_QUART
     A frame has four rows, so no company qualifies for more than four. A missing
     EPS is neither a rise nor, for the next row, a base to rise from.
 
-    The quarters of all stocks of a company form one series. A company with few
-    stocks is one window partition; one with many is worked in stretches.
+    The quarters of all stocks of a company form one series, worked in stretches
+    of limited length.
     """
     quarters = tables["Financial_Snapshot"].join(tables["Stock"], "security_id").select(
         "company_id", "security_id", "snapshot_date", "eps"
     )
     by, order = ["company_id"], ["snapshot_date", "security_id"]
 
-    def whole(rows, _, compute):
-        return compute(rows, Window.partitionBy(*by).orderBy(*order))
-
     def in_stretches(rows, look_back, compute):
         return over_stretches(rows, by, order, look_back, compute)
 
-    listed = tables["Stock"].groupBy("company_id").agg(F.count("*").alias("n"))
-    many = listed.filter(F.col("n") > MANY_STOCKS).select("company_id")
-    if many.isEmpty():
-        best = _best_growth(quarters, whole)
-    else:
-        few = quarters.join(many, "company_id", "left_anti")
-        rest = quarters.join(many, "company_id", "left_semi")
-        best = _best_growth(few, whole).unionByName(_best_growth(rest, in_stretches))
+    best = _best_growth(quarters, in_stretches)
     companies = stocks(tables).select("company_id", "company_name", "sector_name").distinct()
     if sector and sector.upper() != ALL_SECTORS:
         companies = companies.filter(same_text("sector_name", F.lit(sector)))

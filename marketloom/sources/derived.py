@@ -29,8 +29,9 @@ BASE_SCHEMAS = {
                 "l_linestatus string, l_shipdate timestamp_ntz",
 }
 
-BASKET_ID = 2_000_000_000
-OPTION_BASE = 1_000_000_000
+# Stocks keep the suppliers' keys, so funds and options lie below zero: no number of keys makes them meet.
+BASKET_ID = -1
+OPTION_BASE = -10
 WIDE_SLOTS = 8
 
 
@@ -144,7 +145,7 @@ def _stock(t):
 def _etf(t):
     return _inline(
         t.spark,
-        [(BASKET_ID, "Market Basket", "0.0945"), (BASKET_ID + 1, "Promo Basket", "0.2")],
+        [(BASKET_ID, "Market Basket", "0.0945"), (BASKET_ID - 1, "Promo Basket", "0.2")],
         "security_id long, fund_name string, expense_ratio decimal(6,4)",
     )
 
@@ -158,7 +159,7 @@ def _option(t):
     )
     return t.base("part").select(
         F.col("p_partkey").alias("option_id"),
-        (F.lit(OPTION_BASE) + F.col("p_partkey")).alias("security_id"),
+        (F.lit(OPTION_BASE) - F.col("p_partkey")).alias("security_id"),
         (F.col("p_partkey") % n_suppliers).alias("underlying_id"),
         expiry.cast("date").alias("expiration_date"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("strike_price"),
@@ -229,7 +230,8 @@ def _price(t):
         daily.groupBy("trade_date")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("volume").alias("volume"))
         .select(
-            _long(BASKET_ID).alias("security_id"),
+            # Made from a column, so that joins keep it as a key.
+            (F.col("volume") * 0 + BASKET_ID).alias("security_id"),
             "trade_date",
             F.col("low").alias("open"),
             "high",
@@ -357,7 +359,7 @@ def _raw_constituents(t):
 def _raw_price(t):
     price = t["Price"]
     volume = F.col("volume")
-    known = price.filter(F.col("security_id") < BASKET_ID).select(
+    known = price.filter(F.col("security_id") != BASKET_ID).select(
         _ticker("security_id").alias("symbol"),
         "trade_date",
         "open",
@@ -378,7 +380,7 @@ def _raw_price_wide(t):
     """Every price, eight securities side by side per row."""
 
     def cell(slot, field):
-        return F.max(F.when(F.col("security_id") % WIDE_SLOTS == slot, F.col(field))).alias(f"P{slot}_{field}")
+        return F.max(F.when(F.pmod("security_id", F.lit(WIDE_SLOTS)) == slot, F.col(field))).alias(f"P{slot}_{field}")
 
     block = F.floor(F.col("security_id") / WIDE_SLOTS).alias("block")
     cells = [cell(slot, field) for slot in range(WIDE_SLOTS) for field in ("close", "volume")]

@@ -27,11 +27,11 @@ RELATIONS: dict[str, str] = {
         FROM supplier
     """,
     "ETF": """
-        SELECT CAST(2000000000 AS BIGINT) AS security_id, 'Market Basket' AS fund_name, CAST(0.0945 AS DECIMAL(6,4)) AS expense_ratio
-        UNION ALL SELECT CAST(2000000001 AS BIGINT), 'Promo Basket', CAST(0.2 AS DECIMAL(6,4))
+        SELECT CAST(-1 AS BIGINT) AS security_id, 'Market Basket' AS fund_name, CAST(0.0945 AS DECIMAL(6,4)) AS expense_ratio
+        UNION ALL SELECT CAST(-2 AS BIGINT), 'Promo Basket', CAST(0.2 AS DECIMAL(6,4))
     """,
     "Option_Contract": """
-        SELECT p_partkey AS option_id, 1000000000 + p_partkey AS security_id, p_partkey % (SELECT COUNT(*) FROM supplier) AS underlying_id, CAST(CASE p_size % 4 WHEN 0 THEN '2001-03-16' WHEN 1 THEN '2001-06-15' WHEN 2 THEN '2001-12-21' ELSE '2002-06-21' END AS DATE) AS expiration_date, CAST(p_retailprice AS DECIMAL(12,2)) AS strike_price, CASE WHEN p_type IN ('PROMO','SMALL','LARGE') THEN 'call' ELSE 'put' END AS option_type, CAST(p_size / 100.0 AS DECIMAL(8,4)) AS implied_volatility, CAST(p_partkey * 7 % 1000 AS INT) AS open_interest
+        SELECT p_partkey AS option_id, -10 - p_partkey AS security_id, p_partkey % (SELECT COUNT(*) FROM supplier) AS underlying_id, CAST(CASE p_size % 4 WHEN 0 THEN '2001-03-16' WHEN 1 THEN '2001-06-15' WHEN 2 THEN '2001-12-21' ELSE '2002-06-21' END AS DATE) AS expiration_date, CAST(p_retailprice AS DECIMAL(12,2)) AS strike_price, CASE WHEN p_type IN ('PROMO','SMALL','LARGE') THEN 'call' ELSE 'put' END AS option_type, CAST(p_size / 100.0 AS DECIMAL(8,4)) AS implied_volatility, CAST(p_partkey * 7 % 1000 AS INT) AS open_interest
         FROM part
     """,
     "Security": """
@@ -54,7 +54,7 @@ RELATIONS: dict[str, str] = {
         SELECT security_id, trade_date, MAX(CASE WHEN rn_a = 1 THEN px END) AS open, MAX(px) AS high, MIN(px) AS low, MAX(CASE WHEN rn_d = 1 THEN px END) AS close, CAST(SUM(qty) AS BIGINT) AS volume
         FROM ranked
         GROUP BY security_id, trade_date
-        UNION ALL SELECT CAST(2000000000 AS BIGINT), trade_date, MIN(px), MAX(px), MIN(px), MAX(px), CAST(SUM(qty) AS BIGINT)
+        UNION ALL SELECT CAST(-1 AS BIGINT), trade_date, MIN(px), MAX(px), MIN(px), MAX(px), CAST(SUM(qty) AS BIGINT)
         FROM ticks
         GROUP BY trade_date
     """,
@@ -94,13 +94,13 @@ RELATIONS: dict[str, str] = {
     "raw_price": """
         SELECT 'S' || LPAD(CAST(security_id AS STRING), CAST(GREATEST(5, LENGTH(CAST(security_id AS STRING))) AS INT), '0') AS symbol, trade_date, open, high, low, CASE WHEN volume % 23 = 0 THEN NULL ELSE close END AS close, CASE WHEN volume % 19 = 0 THEN NULL ELSE CAST(volume AS DOUBLE) END AS volume
         FROM Price
-        WHERE security_id < 2000000000
+        WHERE security_id <> -1
         UNION ALL SELECT 'UNKNOWN', trade_date, open, high, low, close, CAST(volume AS DOUBLE)
         FROM Price
         WHERE security_id = 0
     """,
     "raw_price_wide": """
-        SELECT security_id // 8 AS block, trade_date, MAX(CASE WHEN security_id % 8 = 0 THEN close END) AS P0_close, MAX(CASE WHEN security_id % 8 = 0 THEN volume END) AS P0_volume, MAX(CASE WHEN security_id % 8 = 1 THEN close END) AS P1_close, MAX(CASE WHEN security_id % 8 = 1 THEN volume END) AS P1_volume, MAX(CASE WHEN security_id % 8 = 2 THEN close END) AS P2_close, MAX(CASE WHEN security_id % 8 = 2 THEN volume END) AS P2_volume, MAX(CASE WHEN security_id % 8 = 3 THEN close END) AS P3_close, MAX(CASE WHEN security_id % 8 = 3 THEN volume END) AS P3_volume, MAX(CASE WHEN security_id % 8 = 4 THEN close END) AS P4_close, MAX(CASE WHEN security_id % 8 = 4 THEN volume END) AS P4_volume, MAX(CASE WHEN security_id % 8 = 5 THEN close END) AS P5_close, MAX(CASE WHEN security_id % 8 = 5 THEN volume END) AS P5_volume, MAX(CASE WHEN security_id % 8 = 6 THEN close END) AS P6_close, MAX(CASE WHEN security_id % 8 = 6 THEN volume END) AS P6_volume, MAX(CASE WHEN security_id % 8 = 7 THEN close END) AS P7_close, MAX(CASE WHEN security_id % 8 = 7 THEN volume END) AS P7_volume
+        SELECT CAST(FLOOR(security_id / 8.0) AS BIGINT) AS block, trade_date, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 0 THEN close END) AS P0_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 0 THEN volume END) AS P0_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 1 THEN close END) AS P1_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 1 THEN volume END) AS P1_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 2 THEN close END) AS P2_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 2 THEN volume END) AS P2_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 3 THEN close END) AS P3_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 3 THEN volume END) AS P3_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 4 THEN close END) AS P4_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 4 THEN volume END) AS P4_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 5 THEN close END) AS P5_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 5 THEN volume END) AS P5_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 6 THEN close END) AS P6_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 6 THEN volume END) AS P6_volume, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 7 THEN close END) AS P7_close, MAX(CASE WHEN (security_id % 8 + 8) % 8 = 7 THEN volume END) AS P7_volume
         FROM Price
         GROUP BY ALL
     """,
@@ -168,7 +168,7 @@ def with_relations(body: str) -> str:
 def rounded(expr: str, digits: int) -> str:
     """Counterpart of ``functions.round_half_away``; adding 0 turns -0.0 into 0.0."""
     value = f"CAST({expr} AS DOUBLE)"
-    return f"(ROUND({value} + SIGN({value}) * 1e-9 + {value} * 1e-14, {digits}) + CAST(0 AS DOUBLE))"
+    return f"(ROUND({value} + SIGN({value}) * 1e-9 + {value} * 4e-16, {digits}) + CAST(0 AS DOUBLE))"
 
 
 def pct(new: str, old: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.functions import leading_number, pct_change, ratio, round_half_away, year_before
 from marketloom.operators import relational as rel
 from marketloom.operators import timeseries as ts
+from marketloom.operators.keys import next_id
 from marketloom.plans import common
 from marketloom.suite.derived_sql import pct, rounded
 from marketloom.suite.registry import END, SECTOR, START, TICKER, case
@@ -310,12 +311,12 @@ def _(t):
 
 @case("dml_upsert", sql="""
     SELECT portfolio_id, portfolio_name || ' (renamed)' AS portfolio_name, owner_name FROM Portfolio WHERE owner_name LIKE 'u:%'
-    UNION ALL SELECT 1000000 + portfolio_id, portfolio_name, owner_name FROM Portfolio WHERE owner_name LIKE 'u:%'
+    UNION ALL SELECT (SELECT MAX(portfolio_id) + 1 FROM Portfolio) + portfolio_id, portfolio_name, owner_name FROM Portfolio WHERE owner_name LIKE 'u:%'
     UNION ALL SELECT portfolio_id, portfolio_name, owner_name FROM Portfolio WHERE owner_name NOT LIKE 'u:%'""")
 def _(t):
     owned = t["Portfolio"].filter(F.col("owner_name").startswith("u:"))
     renamed = owned.withColumn("portfolio_name", F.concat("portfolio_name", F.lit(" (renamed)")))
-    added = owned.withColumn("portfolio_id", F.col("portfolio_id") + 1_000_000)
+    added = owned.withColumn("portfolio_id", next_id(t["Portfolio"], "portfolio_id") + F.col("portfolio_id"))
     return rel.upsert(t["Portfolio"], renamed.unionByName(added), ["portfolio_id"])
 
 

@@ -6,6 +6,7 @@ from collections import ChainMap
 
 from pyspark.sql import functions as F
 
+from marketloom.operators.keys import next_id
 from marketloom.quality import changes, constraints
 from marketloom.schema import LOAD_ORDER, TABLES, dependencies
 from marketloom.suite.registry import case
@@ -63,10 +64,10 @@ def _(tables):
 
 
 _TWINS = """SELECT * FROM Security
-    UNION ALL SELECT security_id + 5000000000, ticker, exchange_id, currency, security_type
+    UNION ALL SELECT security_id + (SELECT MAX(security_id) + 1 FROM Security), ticker, exchange_id, currency, security_type
     FROM Security WHERE security_type = 'stock'"""
 _TWIN_SNAPS = """SELECT * FROM Financial_Snapshot
-    UNION ALL SELECT snapshot_id + 5000000000, security_id, snapshot_date, market_cap, pe_ratio, eps, beta
+    UNION ALL SELECT snapshot_id + (SELECT MAX(snapshot_id) + 1 FROM Financial_Snapshot), security_id, snapshot_date, market_cap, pe_ratio, eps, beta
     FROM Financial_Snapshot WHERE pe_ratio IS NULL"""
 
 
@@ -85,7 +86,7 @@ def _unique_check(**faulty):
 @case("dq_unique", sql=_unique_check(Security=_TWINS, Financial_Snapshot=_TWIN_SNAPS))
 def _(tables):
     twins = tables["Security"].filter(F.col("security_type") == "stock").withColumn(
-        "security_id", F.col("security_id") + 5_000_000_000
+        "security_id", F.col("security_id") + next_id(tables["Security"], "security_id")
     )
     snaps = tables["Financial_Snapshot"]
     return constraints.unique_sets(_with(
@@ -329,7 +330,7 @@ def _(tables):
 
 
 @case("dq_update_cascade", sql="""
-    WITH renames AS (SELECT security_id AS old, security_id + 7000000000 AS new FROM Security WHERE security_type <> 'option')
+    WITH renames AS (SELECT security_id AS old, security_id + (SELECT MAX(security_id) + 3 FROM Security) AS new FROM Security WHERE security_type <> 'option')
     SELECT 'Price' AS table_name, COALESCE(new, security_id) AS security_id, COUNT(*) AS n_rows
     FROM Price LEFT JOIN renames ON old = security_id GROUP BY ALL
     UNION ALL SELECT 'Security', COALESCE(new, security_id), COUNT(*)
@@ -338,7 +339,7 @@ def _(tables):
     FROM Holding LEFT JOIN renames ON old = security_id GROUP BY ALL""")
 def _(tables):
     renames = tables["Security"].filter(F.col("security_type") != "option").select(
-        F.col("security_id").alias("old"), (F.col("security_id") + 7_000_000_000).alias("new")
+        F.col("security_id").alias("old"), (F.col("security_id") + next_id(tables["Security"], "security_id") + 2).alias("new")
     )
     changed = changes.update_cascade(tables, "Security", renames)
     report = None

@@ -111,7 +111,6 @@ def test_growth_of_a_company_with_many_stocks_equals_one_window(spark, monkeypat
                     for i, _ in stocks for m in range(1, 9)])
     t = market(spark, Stock=stocks, Company=companies, Financial_Snapshot=given)
     plain = sorted(rows(sector.eps_growth_count(t, min_q=1)))
-    monkeypatch.setattr(sector, "MANY_STOCKS", 7)
     monkeypatch.setattr(stretches, "STRETCH_ROWS", 5)
     assert sorted(rows(sector.eps_growth_count(t, min_q=1))) == plain and len(plain) == 2
 
