@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.functions import day, non_zero, year_before
 from marketloom.functions.scalar import is_missing
 from marketloom.ingest import fixed_values as fixed
+from marketloom.ingest.reference import ids_by_ticker
 from marketloom.operators import timeseries as ts
 from marketloom.operators.keys import assign_ids
 
@@ -59,7 +60,7 @@ def _number(column) -> Column:
 
 def clean_prices(raw: DataFrame, securities: DataFrame) -> DataFrame:
     """Prices of known securities: no missing close, four digits, whole volume with 0 for missing."""
-    ids = securities.select(F.col("ticker").alias("symbol"), "security_id")
+    ids = ids_by_ticker(securities).withColumnRenamed("ticker", "symbol")
     return (
         raw.filter(~is_missing(F.col("close").cast("double")))
         .join(ids, "symbol")

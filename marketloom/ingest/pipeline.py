@@ -40,13 +40,15 @@ def build_tables(
         .withColumn("strike", F.col("strike").cast("decimal(12,2)"))
         .withColumn("ticker", reference.option_symbol("underlying", "expiration_date", "option_type", "strike"))
     )
-    securities = reference.append_securities(
+    added = reference.added_securities(
         with_funds, targets.select("position", "ticker"), "option", fixed.OPTION_EXCHANGE
     )
-    option_ids = securities.filter(F.col("security_type") == "option").select("ticker", "security_id")
+    securities = with_funds.unionByName(added.drop("position"))
+    # Tickers are cut to their length, so two contracts may share one: join on the position.
+    option_ids = added.select("position", "security_id")
     underlying_ids = with_funds.select(F.col("ticker").alias("underlying"), F.col("security_id").alias("underlying_id"))
     quoted = market.nearest_strikes(targets.join(underlying_ids, "underlying", "left"), raw["chain"])
-    options = quoted.join(option_ids, "ticker").select(
+    options = quoted.join(option_ids, "position").select(
         (F.col("position") + 1).alias("option_id"), "security_id", "expiration_date",
         F.col("strike").alias("strike_price"), "option_type", "implied_volatility", "open_interest",
     )

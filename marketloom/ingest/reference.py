@@ -92,17 +92,27 @@ def listing_tables(constituents: DataFrame, industries: DataFrame) -> Listing:
     return Listing(company, security, stock)
 
 
-def append_securities(securities: DataFrame, added: DataFrame, kind: str, exchange: int) -> DataFrame:
-    """Appends (position, ticker) rows as securities; ids continue after the largest one."""
+def added_securities(securities: DataFrame, added: DataFrame, kind: str, exchange: int) -> DataFrame:
+    """(position, ticker) rows as securities with their position; ids continue after the largest one."""
     last = next_id(securities, "security_id")
-    fresh = added.select(
+    return added.select(
         (last + F.col("position")).cast("long").alias("security_id"),
         "ticker",
         F.lit(exchange).cast("long").alias("exchange_id"),
         F.lit(DEFAULT_CURRENCY).alias("currency"),
         F.lit(kind).alias("security_type"),
+        "position",
     )
-    return securities.unionByName(fresh)
+
+
+def append_securities(securities: DataFrame, added: DataFrame, kind: str, exchange: int) -> DataFrame:
+    """Appends (position, ticker) rows as securities."""
+    return securities.unionByName(added_securities(securities, added, kind, exchange).drop("position"))
+
+
+def ids_by_ticker(securities: DataFrame) -> DataFrame:
+    """(ticker, security_id), the lowest id where several exchanges list a ticker."""
+    return securities.groupBy("ticker").agg(F.min("security_id").alias("security_id"))
 
 
 def append_funds(securities: DataFrame, symbols=None) -> DataFrame:
@@ -126,6 +136,6 @@ def option_symbol(root, expiration, option_type, strike) -> Column:
 
 def resolve_holdings(holdings: DataFrame, securities: DataFrame) -> DataFrame:
     """Holdings named by ticker under their security id; unknown tickers are dropped."""
-    return holdings.join(securities.select("ticker", "security_id"), "ticker").select(
+    return holdings.join(ids_by_ticker(securities), "ticker").select(
         "portfolio_id", "security_id", "shares", "average_cost"
     )

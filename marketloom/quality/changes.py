@@ -27,8 +27,12 @@ def _key(parent: str) -> str:
 
 
 def delete_cascade(tables: Tables, parent: str, keys: DataFrame) -> dict[str, DataFrame]:
-    """The tables touched by deleting ``keys`` of ``parent``, dependents included."""
-    gone = keys.select(F.col(keys.columns[0]).alias("gone")).distinct()
+    """The tables touched by deleting ``keys`` of ``parent``, dependents included.
+
+    Keys that restricting children still use are not deleted.
+    """
+    allowed, _ = delete_restrict(tables, parent, keys)
+    gone = allowed.select(F.col(_key(parent)).alias("gone"))
     changed = {parent: tables[parent].join(gone, F.col(_key(parent)) == F.col("gone"), "left_anti")}
     for table, ref in children(parent):
         if ref.on_delete == "cascade":

@@ -185,14 +185,6 @@ def functional_dependencies(tables: Tables, only=None) -> DataFrame:
     return _union(found)
 
 
-def with_defaults(rows: DataFrame, table: str) -> DataFrame:
-    """Fills declared defaults for columns the rows lack; a given NULL stays NULL."""
-    for c in TABLES[table].cols:
-        if c.default is not None and c.name not in rows.columns:
-            rows = rows.withColumn(c.name, F.lit(c.default).cast(c.type))
-    return rows
-
-
 def all_violations(tables: Tables) -> DataFrame:
     """Every check over every table, as one report."""
     return _union([

@@ -12,11 +12,29 @@ NULL_MARKER = "\\N"
 CONSTITUENT_COLUMNS = ("symbol", "security", "sector", "sub_industry")
 
 _TSV = {"sep": "\t", "header": True, "nullValue": NULL_MARKER, "escape": '"', "dateFormat": "yyyy-MM-dd"}
+# A value that does not fit its type, and a header that does not name the fields, fail the load.
+_STRICT = {"mode": "FAILFAST", "enforceSchema": False}
+
+
+def with_defaults(rows: DataFrame, table: str) -> DataFrame:
+    """Fills declared defaults for columns the rows lack; a given NULL stays NULL."""
+    for c in TABLES[table].cols:
+        if c.default is not None and c.name not in rows.columns:
+            rows = rows.withColumn(c.name, F.lit(c.default).cast(c.type))
+    return rows
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:
-    """Columns of a table in declared order and type; absent nullable ones become NULL."""
+    """Columns of a table in declared order and type.
+
+    An absent column gets its declared default, or NULL if it may be missing; a
+    required column without a default must be there.
+    """
+    rows = with_defaults(rows, table.name)
     present = set(rows.columns)
+    absent = [c.name for c in table.cols if c.name not in present and (c.required or c.name in table.key)]
+    if absent:
+        raise ValueError(f"{table.name} lacks {', '.join(absent)}")
     return rows.select(*[
         (F.col(c.name) if c.name in present else F.lit(None)).cast(c.type).alias(c.name) for c in table.cols
     ])
@@ -29,11 +47,12 @@ def read_tsv(
 
     ``schema`` is a table name or a struct; ``columns`` names the fields in file
     order when it differs. The marker ``\\N`` reads as NULL, an empty field as
-    empty text. ``quoted=False`` takes quote characters literally.
+    empty text. ``quoted=False`` takes quote characters literally. A value of
+    another type, or a header that names other fields, fails the load.
     """
     struct = TABLES[schema].struct if isinstance(schema, str) else schema
     order = columns or struct.fieldNames()
-    reader = spark.read.options(**_TSV).schema(type(struct)([struct[c] for c in order]))
+    reader = spark.read.options(**_TSV, **_STRICT).schema(type(struct)([struct[c] for c in order]))
     if not quoted:
         reader = reader.option("quote", "")
     return reader.csv(path).select(*struct.fieldNames())
@@ -45,9 +64,17 @@ def write_tsv(rows: DataFrame, path: str) -> None:
 
 
 def read_constituents(spark: SparkSession, path: str) -> DataFrame:
-    """Index members from CSV with a header and quoted commas."""
-    schema = ", ".join(f"{c} string" for c in CONSTITUENT_COLUMNS)
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    """Index members from CSV files with a header and quoted commas, columns found by name.
+
+    ``ordinal`` orders the rows by file and place in the file.
+    """
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    at = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return rows.select(*CONSTITUENT_COLUMNS, at.alias("ordinal"))
 
 
 def write_constituents(rows: DataFrame, path: str) -> None:

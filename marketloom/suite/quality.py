@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.keys import next_id
 from marketloom.quality import changes, constraints
 from marketloom.schema import LOAD_ORDER, TABLES, dependencies
+from marketloom.sources import files
 from marketloom.suite.registry import case
 
 
@@ -276,7 +277,7 @@ def _(tables):
     report = None
     for name, column in (("Company", "country"), ("Security", "currency"),
                          ("Option_Contract", "open_interest"), ("Price", "volume")):
-        rows = constraints.with_defaults(tables[name].drop(column), name).select(
+        rows = files.with_defaults(tables[name].drop(column), name).select(
             F.lit(name).alias("table_name"),
             constraints.key_text(TABLES[name].key).alias("key"),
             F.col(column).cast("string").alias("filled"),
@@ -305,15 +306,15 @@ _AFTER = ["Security", "Stock", "ETF", "Option_Contract", "Holding", "Price", "Fi
 
 
 @case("dq_delete_cascade", sql=_all(
-    f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {n} WHERE security_id NOT IN ({_DELETED})" for n in _AFTER
-))
+    f"SELECT '{n}' AS table_name, {_key_sql(TABLES[n].key)} AS key FROM {n} WHERE security_id NOT IN ({_DELETED})" for n in _AFTER
+), with_ids=True)
 def _(tables):
     security = tables["Security"]
     gone = security.filter((F.col("security_type") == "option") | F.col("ticker").endswith("7")).select("security_id")
     left = changes.delete_cascade(tables, "Security", gone)
     report = None
     for name in _AFTER:
-        line = left[name].agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        line = left[name].select(F.lit(name).alias("table_name"), constraints.key_text(TABLES[name].key).alias("key"))
         report = line if report is None else report.unionByName(line)
     return report
 
@@ -331,19 +332,16 @@ def _(tables):
 
 @case("dq_update_cascade", sql="""
     WITH renames AS (SELECT security_id AS old, security_id + (SELECT MAX(security_id) + 3 FROM Security) AS new FROM Security WHERE security_type <> 'option')
-    SELECT 'Price' AS table_name, COALESCE(new, security_id) AS security_id, COUNT(*) AS n_rows
-    FROM Price LEFT JOIN renames ON old = security_id GROUP BY ALL
-    UNION ALL SELECT 'Security', COALESCE(new, security_id), COUNT(*)
-    FROM Security LEFT JOIN renames ON old = security_id GROUP BY ALL
-    UNION ALL SELECT 'Holding', COALESCE(new, security_id), COUNT(*)
-    FROM Holding LEFT JOIN renames ON old = security_id GROUP BY ALL""")
+    """ + _all(
+    f"SELECT '{n}' AS table_name, COALESCE(new, security_id) AS security_id, COUNT(*) AS n_rows "
+    f"FROM {n} LEFT JOIN renames ON old = security_id GROUP BY ALL" for n in _AFTER))
 def _(tables):
     renames = tables["Security"].filter(F.col("security_type") != "option").select(
         F.col("security_id").alias("old"), (F.col("security_id") + next_id(tables["Security"], "security_id") + 2).alias("new")
     )
     changed = changes.update_cascade(tables, "Security", renames)
     report = None
-    for name in ("Price", "Security", "Holding"):
+    for name in _AFTER:
         line = changed[name].groupBy("security_id").agg(F.count("*").alias("n_rows")).select(
             F.lit(name).alias("table_name"), "security_id", "n_rows"
         )

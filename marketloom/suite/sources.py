@@ -64,7 +64,7 @@ def _(tables):
     rows.select(*files.CONSTITUENT_COLUMNS).write.option("header", True).option("escape", '"').option(
         "quoteAll", True
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return files.read_constituents(tables.spark, path)
+    return files.read_constituents(tables.spark, path).drop("ordinal")
 
 
 @case("src_fallback", sql="SELECT symbol, security, sector, sub_industry FROM raw_constituents")

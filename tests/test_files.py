@@ -32,7 +32,34 @@ def test_tsv_with_another_column_order_and_literal_quotes(spark, folder):
 def test_constituents_csv_with_quoted_commas(spark, folder):
     with open(f"{folder}/c.csv", "w") as f:
         f.write('symbol,security,sector,sub_industry\nAAA,Alpha,Tech,"Hardware, Storage"\n')
-    assert rows(files.read_constituents(spark, f"{folder}/c.csv")) == [("AAA", "Alpha", "Tech", "Hardware, Storage")]
+    got = files.read_constituents(spark, f"{folder}/c.csv")
+    assert rows(got.drop("ordinal")) == [("AAA", "Alpha", "Tech", "Hardware, Storage")]
+
+
+def test_constituents_of_several_files_in_order_and_by_name(spark, folder):
+    from marketloom.ingest import reference
+
+    with open(f"{folder}/a.csv", "w") as f:
+        f.write("sector,symbol,security,sub_industry\nTech,AAA,First,Soft\nTech,BBB,Beta,Soft\nTech,BBB,Later,Soft\n")
+    with open(f"{folder}/b.csv", "w") as f:
+        f.write("sector,symbol,security,sub_industry\nFin,AAA,Second,Ins\n")
+    clean = reference.clean_constituents(files.read_constituents(spark, folder))
+    assert sorted(rows(clean)) == [("AAA", "First", "Tech", "Soft"), ("BBB", "Beta", "Tech", "Soft")]
+
+
+@pytest.mark.parametrize("text", ["sector_id\tsector_name\nabc\tTech\n", "sector_name\tsector_id\nTech\t1\n"])
+def test_values_and_headers_that_do_not_fit_fail(spark, folder, text):
+    with open(f"{folder}/t.tsv", "w") as f:
+        f.write(text)
+    with pytest.raises(Exception, match="(?i)malformed|header"):
+        files.read_tsv(spark, f"{folder}/t.tsv", "Sector").collect()
+
+
+def test_conform_fills_defaults_and_misses_required_columns(spark):
+    given = spark.createDataFrame([(1, "Alpha", 2)], "company_id long, company_name string, industry_id long")
+    assert rows(files.conform(given, TABLES["Company"])) == [(1, "Alpha", 2, "US")]
+    with pytest.raises(ValueError, match="company_name"):
+        files.conform(given.drop("company_name"), TABLES["Company"])
 
 
 def test_first_available(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from marketloom.quality import changes, constraints
+from marketloom.sources import files
 from tests.market import d, market, prices, rows, table
 
 
@@ -57,8 +58,8 @@ def test_subtypes_and_dependencies(spark):
 
 def test_defaults_fill_only_absent_columns(spark):
     given = spark.createDataFrame([(1, None)], "company_id long, country string")
-    assert rows(constraints.with_defaults(given, "Company")) == [(1, None)]
-    assert rows(constraints.with_defaults(given.drop("country"), "Company")) == [(1, "US")]
+    assert rows(files.with_defaults(given, "Company")) == [(1, None)]
+    assert rows(files.with_defaults(given.drop("country"), "Company")) == [(1, "US")]
 
 
 def test_ids_continue_in_order(spark):
@@ -91,3 +92,13 @@ def test_deletes_and_renames_follow_the_references(spark):
     moved = changes.update_cascade(t, "Security", spark.createDataFrame([(1, 100)], "old long, new long"))
     assert sorted(rows(moved["Price"].select("security_id", "trade_date"))) == [(2, d("2024-01-02")), (100, d("2024-01-02"))]
     assert sorted(rows(moved["Stock"])) == [(2, 2), (3, 3), (100, 1)]
+
+
+def test_delete_keeps_rows_that_restricting_children_use(spark):
+    from marketloom.quality import changes
+    from tests.market import market, rows
+
+    t = market(spark)
+    every = t["Sector"].select("sector_id")
+    left = changes.delete_cascade(t, "Sector", every)
+    assert sorted(rows(left["Sector"])) == sorted(rows(t["Sector"].join(t["Industry"].select("sector_id").distinct(), "sector_id", "left_semi")))
