@@ -208,7 +208,8 @@ def taken_words(mixture: Mixture, key: str = "doc_id") -> DataFrame:
     """Per row: key, size, source_size, target, and the words that the mixture takes of it."""
     spark = mixture.rows.sparkSession
     times = mixture.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    of_row = mixture.pieces.join(times, ["source_no", "block"]).groupBy(key, "source_no", "place", "size").agg(F.sum(F.col("length") * F.col("times")).alias("taken"))
+    # A small plan may draw many slots: sizes are not known beforehand, so neither side is broadcast.
+    of_row = mixture.pieces.join(times.hint("merge"), ["source_no", "block"]).groupBy(key, "source_no", "place", "size").agg(F.sum(F.col("length") * F.col("times")).alias("taken"))
     same = F.col("r.source_no").eqNullSafe(F.col("t.source_no")) & (F.col("r.place") == F.col("t.place")) & (F.col("r.size") == F.col("t.size"))
     found = mixture.rows.alias("r").join(of_row.alias("t"), same, "left").select("r.*", F.coalesce("t.taken", F.lit(0)).alias("taken"))
     table = spark.createDataFrame([(k, s.size, s.target) for k, s in enumerate(mixture.sources)], "source_no int, source_size long, target double")
@@ -250,7 +251,7 @@ def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     keyed = docs.withColumn("_text_key", F.xxhash64("text"))
     mixture = mix(keyed, seed, ("doc_id", "_text_key"))
     key = ["doc_id", "_text_key"]
-    taken = mixture.pieces.join(mixture.slots, ["source_no", "block"])
+    taken = mixture.pieces.join(mixture.slots.hint("merge"), ["source_no", "block"])
     parts = taken.groupBy(*key, "place").agg(F.collect_list(F.struct("pass_no", "start", "length")).alias("parts"))
     parts = parts.groupBy(*key).agg(F.min_by("parts", "place").alias("parts"))
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._text_key") == F.col("p._text_key"))
