@@ -30,6 +30,29 @@ def portfolio_series(tables: Tables, pid=0, holdings="", start=DEFAULT_START, en
     return portfolio.value_series(tables, held, start, end, few=True).orderBy("trade_date").drop("portfolio_id")
 
 
+def _request(tables: Tables, owner: str, name: str, holdings: str, pid: int) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession
+    return spark.range(1).select(
+        F.lit(0).cast("long").alias("request_id"), F.lit(owner).alias("owner"), F.lit(name).alias("name"),
+        F.lit(holdings).alias("holdings"), F.lit(pid).cast("long").alias("portfolio_id"),
+    )
+
+
+def save_portfolio(tables: Tables, owner="", portfolio_name="", holdings="", pid=0) -> DataFrame:
+    """What saving would do: the portfolio and its holdings, or the reason why not.
+
+    ``portfolio.save_portfolios`` gives the tables to commit.
+    """
+    request = _request(tables, owner, portfolio_name, holdings, pid)
+    done = portfolio.save_portfolios(tables, request).report.withColumn("error", F.lit(None).cast("string"))
+    return done.unionByName(portfolio.save_errors(tables, request), allowMissingColumns=True).drop("request_id")
+
+
+def delete_portfolio(tables: Tables, owner="", pid=0) -> DataFrame:
+    """What deleting would do; ``portfolio.delete_portfolios`` gives the tables to commit."""
+    return portfolio.delete_portfolios(tables, _request(tables, owner, "", "", pid)).report.drop("request_id")
+
+
 ANALYSES: dict[str, Callable[..., DataFrame]] = {
     "sectors": sector.sectors,
     "tickers": sector.tickers,
@@ -66,6 +89,8 @@ ANALYSES: dict[str, Callable[..., DataFrame]] = {
     "portfolios": portfolio.list_portfolios,
     "pf_holdings": portfolio_holdings,
     "pf_series": portfolio_series,
+    "pf_save": save_portfolio,
+    "pf_delete": delete_portfolio,
 }
 
 
@@ -89,6 +114,7 @@ def run(name: str, tables: Tables, **given) -> DataFrame:
         "owner": str(given.get("owner", "")),
         "pid": int(given.get("pid", 0)),
         "holdings": given.get("holdings", ""),
+        "portfolio_name": given.get("portfolio_name", ""),
     }
     if analysis is sector.eps_growth_count:
         params["sector"] = params["sector"] or ALL_SECTORS

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,59 +47,84 @@ def _write(rows: DataFrame, name: str, path: str) -> None:
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("version long, path string").json(f"{root}/versions")
+    return spark.read.schema("version long, tables map<string,string>").json(f"{root}/versions")
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Number of the last committed load, 0 before the first."""
+def _latest(spark: SparkSession, root: str):
+    """The last committed version with the folder of each table, None before the first."""
     try:
-        return _versions(spark, root).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return _versions(spark, root).orderBy(F.desc("version")).first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return None
         raise
 
 
-def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, check=None) -> int:
-    """Replaces the content of the store and returns the new version.
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the last committed version, 0 before the first."""
+    latest = _latest(spark, root)
+    return latest["version"] if latest else 0
+
+
+def _commit(spark: SparkSession, root: str, version: int, folders: Mapping[str, str]) -> int:
+    """Records a version. Its file may not exist yet, so of two writers one fails."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions/{version:09d}.json")
+    try:
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False)
+    except Py4JJavaError as error:
+        raise ValueError(f"version {version} was committed by another writer") from error
+    out.write(bytearray(json.dumps({"version": version, "tables": dict(folders)}).encode()))
+    out.close()
+    return version
+
 
-    All tables are written next to the current load. Only when every one is
-    complete, and ``check`` (if given) finds no violating row in the new load, is
-    the version recorded; readers see the previous load until then, also after a
-    failure half-way.
+def commit_tables(
+    spark: SparkSession, changed: Mapping[str, DataFrame], root: str, check=None, based_on: int | None = None
+) -> int:
+    """Replaces some tables of the store and returns the new version; the files of the others stay.
+
+    The new tables are written next to the current ones. Only when every one is
+    complete, and ``check`` (if given) finds no violating row, is the version
+    recorded; readers see the previous one until then, also after a failure
+    half-way. ``based_on`` names the version that the changes were made from: the
+    commit fails if another one has come in between.
     """
-    version = current_version(spark, root) + 1
-    # A failed attempt may have left part of this version behind.
+    latest = _latest(spark, root)
+    current = latest["version"] if latest else 0
+    version = (current if based_on is None else based_on) + 1
     attempt = spark.range(1).select(F.expr("uuid()")).first()[0]
-    path = f"{root}/load-{version:06d}-{attempt}"
-    for name in LOAD_ORDER:
-        _write(tables[name], name, f"{path}/{name}")
+    folders = dict(latest["tables"]) if latest else {}
+    for name, rows in changed.items():
+        folders[name] = f"{root}/load-{version:06d}-{attempt}/{name}"
+        _write(rows, name, folders[name])
     if check is not None:
-        bad = check(_open(spark, path))
-        if not bad.isEmpty():
-            raise ValueError(f"load {version} rejected, current load stays: {bad.first().asDict()}")
-    spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(path).alias("path")).coalesce(
-        1
-    ).write.mode("append").json(f"{root}/versions")
-    return version
+        bad = check(_open(spark, folders)).first()
+        if bad is not None:
+            raise ValueError(f"load {version} rejected, current load stays: {bad.asDict()}")
+    return _commit(spark, root, version, folders)
+
+
+def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, check=None) -> int:
+    """Replaces the content of the store as a whole and returns the new version."""
+    return commit_tables(spark, {name: tables[name] for name in LOAD_ORDER}, root, check)
 
 
-def _open(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def _open(spark: SparkSession, folders: Mapping[str, str]) -> dict[str, DataFrame]:
     found = {}
     for name in LOAD_ORDER:
         struct = TABLES[name].struct
         if name in YEARLY:
             struct = struct.add(year_column(YEARLY[name]), INT)
-        found[name] = spark.read.schema(struct).parquet(f"{path}/{name}")
+        found[name] = spark.read.schema(struct).parquet(folders[name])
     return found
 
 
 def open_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Tables of the last committed load."""
-    latest = _versions(spark, root).orderBy(F.desc("version")).first()
+    """Tables of the last committed version."""
+    latest = _latest(spark, root)
     if latest is None:
         raise ValueError(f"nothing loaded under {root}")
-    return _open(spark, latest["path"])
+    return _open(spark, latest["tables"])
 
 
 def create_tables(spark: SparkSession, tables: Mapping[str, DataFrame] | None = None, prefix: str = "") -> list[str]:
@@ -144,6 +171,12 @@ def drop_tables(spark: SparkSession, prefix: str = "") -> list[str]:
     return [name for name in DROP_ORDER if spark.catalog.dropTempView(f"{prefix}{name}")]
 
 
+def drop_saved_tables(spark: SparkSession, database: str = "default") -> None:
+    """Drops the catalog tables of ``save_tables``, children first; absent ones are passed over."""
+    for name in DROP_ORDER:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name.lower()}")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table as one report."""
     report = None

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.plans import portfolio as plan
+from marketloom.session import scratch_path
+from marketloom.sources import store
 from marketloom.suite.derived_sql import rounded
 from marketloom.suite.registry import AS_OF, END, OWNER, PORTFOLIO, START, case
 
@@ -180,10 +182,28 @@ _HOLDING_COLUMNS = ("CAST({p} AS BIGINT) AS portfolio_id, security_id, CAST(shar
                     "CAST(average_cost AS DOUBLE) AS average_cost")
 
 
-@case("pf_save_holdings", sql=f"""WITH {_SAVING}
+_SAVED_HOLDINGS = f"""WITH {_SAVING}
     SELECT {_HOLDING_COLUMNS.format(p='portfolio_id')} FROM Holding
     WHERE portfolio_id NOT IN (SELECT asked_id FROM accepted WHERE asked_id > 0)
-    UNION ALL SELECT {_HOLDING_COLUMNS.format(p='portfolio_id')} FROM stored""")
+    UNION ALL SELECT {_HOLDING_COLUMNS.format(p='portfolio_id')} FROM stored"""
+
+
+def _stored(tables, change):
+    """Holdings read back after committing a change of portfolios to a store of the tables."""
+    root = scratch_path(tables.spark, "store")
+    store.full_refresh(tables.spark, tables, root)
+    current = store.open_store(tables.spark, root)
+    saved = change(current, tables["pf_save_request"])
+    store.commit_tables(tables.spark, {"Portfolio": saved.portfolio, "Holding": saved.holding}, root, based_on=1)
+    return _as_double(store.open_store(tables.spark, root)["Holding"])
+
+
+@case("pf_save_stored", sql=_SAVED_HOLDINGS, with_ids=True)
+def _(tables):
+    return _stored(tables, plan.save_portfolios)
+
+
+@case("pf_save_holdings", sql=_SAVED_HOLDINGS)
 def _(tables):
     return _as_double(plan.save_portfolios(tables, tables["pf_save_request"]).holding)
 
@@ -214,9 +234,17 @@ def _(tables):
     return plan.delete_portfolios(tables, tables["pf_save_request"]).portfolio
 
 
-@case("pf_delete_holdings", sql=f"""WITH {_DELETING}
+_LEFT_HOLDINGS = f"""WITH {_DELETING}
     SELECT {_HOLDING_COLUMNS.format(p='portfolio_id')} FROM Holding
-    WHERE portfolio_id NOT IN (SELECT portfolio_id FROM hits)""")
+    WHERE portfolio_id NOT IN (SELECT portfolio_id FROM hits)"""
+
+
+@case("pf_delete_stored", sql=_LEFT_HOLDINGS, with_ids=True)
+def _(tables):
+    return _stored(tables, plan.delete_portfolios)
+
+
+@case("pf_delete_holdings", sql=_LEFT_HOLDINGS)
 def _(tables):
     return _as_double(plan.delete_portfolios(tables, tables["pf_save_request"]).holding)
 

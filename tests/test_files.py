@@ -136,3 +136,39 @@ def test_create_and_drop_tables(spark):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert dt.date(2024, 1, 1) == d("2024-01-01")
+
+
+def test_a_change_of_portfolios_leaves_other_files_alone(spark, folder):
+    t = stocked(spark)
+    store.full_refresh(spark, t, folder)
+    before = sorted(store.open_store(spark, folder)["Price"].inputFiles())
+    changed = {"Portfolio": t["Portfolio"], "Holding": t["Holding"].limit(1)}
+    assert store.commit_tables(spark, changed, folder, based_on=1) == 2
+    after = store.open_store(spark, folder)
+    assert sorted(after["Price"].inputFiles()) == before and after["Holding"].count() == 1
+
+
+def test_two_writers_cannot_take_one_version(spark, folder):
+    t = stocked(spark)
+    store.full_refresh(spark, t, folder)
+    store.commit_tables(spark, {"Holding": t["Holding"].limit(1)}, folder, based_on=1)
+    with pytest.raises(ValueError, match="another writer"):
+        store.commit_tables(spark, {"Holding": t["Holding"].limit(0)}, folder, based_on=1)
+    assert store.open_store(spark, folder)["Holding"].count() == 1
+
+
+def test_saved_tables_can_be_dropped(spark):
+    store.save_tables(spark, stocked(spark), "gone", buckets=2)
+    store.drop_saved_tables(spark, "gone")
+    store.drop_saved_tables(spark, "gone")
+    assert not spark.catalog.tableExists("gone.price")
+
+
+def test_saving_and_deleting_by_name(spark):
+    from marketloom.plans import catalog
+
+    t = stocked(spark)
+    assert rows(catalog.run("pf_save", t, owner="nobody", portfolio_name="x", holdings="AAA:1:2").select("error")) == [("invalid owner",)]
+    saved = catalog.run("pf_save", t, owner="u:9", portfolio_name="x", holdings="AAA:1:2").collect()
+    assert [(r.saved, r.error) for r in saved] == [(1, None)]
+    assert rows(catalog.run("pf_delete", t, owner="u:9", pid=12345).select("deleted")) == [(0,)]
