@@ -191,6 +191,10 @@ def value_holdings(tables: Tables, holdings: DataFrame, as_of=None, few: bool =
     )
 
 
+#: Positions of one security that are joined with its prices in one slot, about.
+SLOT_POSITIONS = 10_000
+
+
 def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=None, few: bool = False) -> DataFrame:
     """Value per portfolio and trading day; a holding without a price that day adds nothing."""
     tickers = holdings.select("ticker").distinct()
@@ -201,8 +205,14 @@ def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=N
     positions = holdings.join(ids, "ticker").select("portfolio_id", "security_id", "shares")
     prices = dated(tables["Price"], "trade_date", start, end).select("security_id", "trade_date", "close")
     worth = F.col("close").cast("double") * F.col("shares")
+    # A security may be in most portfolios: its positions are split into slots,
+    # and its prices, one a day, are repeated for each.
+    held = positions.groupBy("security_id").agg(F.ceil(F.count("*") / SLOT_POSITIONS).alias("slots"))
+    slots = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1))
+    prices = prices.join(held, "security_id").select("security_id", "trade_date", "close", slots.alias("slot"))
+    positions = positions.join(held, "security_id").withColumn("slot", F.pmod(F.xxhash64("portfolio_id"), "slots"))
     return (
-        prices.join(positions, "security_id")
+        prices.join(positions.drop("slots"), ["security_id", "slot"])
         .groupBy("portfolio_id", "trade_date")
         .agg(round_half_away(F.sum(worth), 2).alias("port_value"))
     )

@@ -115,3 +115,11 @@ def test_inline_holdings_join_like_any_relation(spark):
     t = market(spark, Price=prices(spark, (1, "2024-01-02", 10)))
     held = portfolio.inline_holdings(spark, [("aaa", 2, 1)])
     assert rows(portfolio.value_series(t, held, "2024-01-01", "2024-12-31")) == [(0, d("2024-01-02"), 20.0)]
+
+
+def test_a_security_in_all_portfolios_is_split(spark, monkeypatch):
+    monkeypatch.setattr(portfolio, "SLOT_POSITIONS", 10)
+    t = market(spark, Price=prices(spark, *[(1, f"2024-01-{d:02d}", 10 + d) for d in range(1, 29)]))
+    held = spark.createDataFrame([(i, "AAA", 1.0 + i) for i in range(400)], "portfolio_id long, ticker string, shares double")
+    got = portfolio.value_series(t, held, "2024-01-01", "2024-12-31")
+    assert sorted(rows(got)) == sorted((i, d(f"2024-01-{k:02d}"), (10.0 + k) * (1 + i)) for i in range(400) for k in range(1, 29))
