@@ -359,20 +359,20 @@ def _raw_constituents(t):
 def _raw_price(t):
     price = t["Price"]
     volume = F.col("volume")
-    known = price.filter(F.col("security_id") != BASKET_ID).select(
+    fields = ("open", "high", "low")
+    known = F.struct(
         _ticker("security_id").alias("symbol"),
         "trade_date",
-        "open",
-        "high",
-        "low",
+        *fields,
         F.when(volume % 23 != 0, F.col("close")).alias("close"),
         F.when(volume % 19 != 0, volume.cast("double")).alias("volume"),
     )
-    stray = price.filter(F.col("security_id") == 0).select(
-        F.lit("UNKNOWN").alias("symbol"), "trade_date", "open", "high", "low", "close",
-        volume.cast("double").alias("volume"),
+    stray = F.struct(
+        F.lit("UNKNOWN").alias("symbol"), "trade_date", *fields, "close", volume.cast("double").alias("volume")
     )
-    return known.unionByName(stray)
+    # One pass over the prices: those of the first security are listed a second time.
+    both = F.when(F.col("security_id") == 0, F.array(known, stray)).otherwise(F.array(known))
+    return price.filter(F.col("security_id") != BASKET_ID).select(F.inline(both))
 
 
 @_builds("raw_price_wide")
