@@ -17,9 +17,12 @@ document, which ties the chunks together.  Where a family still has several comp
 differences ``D`` from one reference set (what most documents of its first chunk hold; any set gives right results).
 ``A`` and ``B`` differ by what ``D(A)`` and ``D(B)`` do not share, so a pair links if the two differences are short
 enough together, and then both link with the document of shortest difference, or else the differences share an element.
-Hence one star per family, and tiles of equal elements: documents with their own edits share none, so the work is
-linear however many copies of one text there are.  Tiles with the same members are joined once, in pairs of chunks; that
-is quadratic, over the chunk size, only in documents that share an edit and lie in different components.
+Hence one star per family, and a prefix filter for the rest: elements are
+ordered by how many documents of the family have them, and if the overlap of ``D(A)`` and ``D(B)`` must be ``o``, they share
+one of their first ``|D| - o + 1`` elements.  ``o`` follows from both differences' lengths, so prefixes are taken per class
+of the partner's length.  Documents with their own edits share no such element, so the work is linear however many
+copies of one text there are.  Tiles with the same members are joined once, in pairs of chunks; that is quadratic, over
+the chunk size, only in documents that share rare edits and lie in different components.
 
 Rules: A-Z are lower-cased; words are runs other than the six ASCII white-space characters; a text with fewer words than
 a shingle takes has the whole sequence as its one shingle; a text without words, or null, has an empty set and links
@@ -45,8 +48,9 @@ from marketloom.llm.graph import components
 DIMS = 32  # groups whose counts are the coordinates of a point
 LEAF = 8  # points of an R-tree leaf
 CHUNK = 96  # documents of a family that are joined at once
-RATIO = Fraction(3, 2)  # between the sizes at which the number of intervals changes
-SPARE = 2  # intervals beyond d + 1, so that as many nearly empty ones may be left out
+RATIO = Fraction(5, 4)  # between the sizes at which the number of intervals changes
+SPARE = Fraction(1, 10)  # intervals beyond d + 1, by d: so many nearly empty ones may be left out
+WEAK = 2  # shingles of a nearly empty interval, at most
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -81,7 +85,7 @@ def signatures(s: np.ndarray, similarity: Fraction) -> np.ndarray:
         d = int(hi * (1 - similarity) / similarity)
         if not d:
             continue  # such sets link only when equal
-        spare = SPARE if hi >= 64 else 0
+        spare = int(d * SPARE) + 2 if hi >= 64 else 0
         m = d + 1 + spare
         group = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         starts = np.searchsorted(group, np.arange(m, dtype=np.uint64))
@@ -89,8 +93,8 @@ def signatures(s: np.ndarray, similarity: Fraction) -> np.ndarray:
         total = np.concatenate(([np.uint64(0)], np.cumsum(mixed(s ^ np.uint64(0xA24BAED4963EE407)))))
         value = total[starts + counts] - total[starts]
         value = mixed(mixed(value) + np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 40))
-        full = counts >= 2
-        # A pair has SPARE + 1 equal intervals.  Whoever has no more nearly empty ones than SPARE can leave those out.
+        full = counts > WEAK
+        # A pair has spare + 1 equal intervals.  Whoever has no more nearly empty ones than spare can leave those out.
         out.append(value[full] if m - full.sum() <= spare else value)
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -294,12 +298,58 @@ def _across(members: DataFrame, texts: DataFrame, found: DataFrame, width: int,
 
     apart = stored(_with_labels(apart, found))
     elements = apart.select("family", "node", "label", F.explode("apart").alias("element"))
-    tiles = elements.groupBy("family", "element").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
-    tiles = tiles.where("low < high").groupBy("family", "n", "members").agg(F.min("element").alias("element"))
-    tiles = stored(tiles.select("family", "element", F.ceil(F.col("n") / CHUNK).alias("chunks")))
-
-    own = elements.join(tiles, ["family", "element"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    live = elements.groupBy("family", "element").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    live = stored(live.where("low < high").select("family", "element", "n"))
+    ordered = elements.join(live, ["family", "element"]).groupBy("family", "node").agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("live"))
+    shingles = (F.size("apart") * (num + den) - F.col("weight")) / (den - num)
+    steps = apart.groupBy("family").agg((F.greatest(F.lit(1), F.floor(F.min(shingles) * (den - num) / (num + den) / 4)) * 2 * (num + den)).alias("step"))
+    prefixed = apart.select("family", "node", "label", "weight", F.size("apart").alias("length")).join(ordered, ["family", "node"]).join(stored(steps), "family")
+    prefixed = prefixed.select("family", "node", "label", "weight", "length", "step", F.col("live.element").alias("live"))
+    elements = stored(prefixed.mapInArrow(_prefixes(num, den), "family bigint, node bigint, label bigint, element bigint, low bigint, high bigint"))
+
+    key = ["family", "element", "low", "high"]
+    tiles = elements.groupBy(*key).agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"), F.min("label").alias("first"), F.max("label").alias("last"))
+    tiles = tiles.where("first < last").groupBy("family", "n", "members").agg(F.min(F.struct("element", "low", "high")).alias("t"))
+    tiles = stored(tiles.select("family", "t.*", F.ceil(F.col("n") / CHUNK).alias("chunks")))
+
+    own = elements.join(tiles, key).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    own = own.select(F.xxhash64("family", "element").alias("tile"), F.xxhash64(F.least("chunk", "other"), F.greatest("chunk", "other")).alias("part"), "chunk", (F.col("chunk") != F.col("other")).alias("two"), "node")
+    own = own.select(F.xxhash64(*key).alias("tile"), F.xxhash64(F.least("chunk", "other"), F.greatest("chunk", "other")).alias("part"), "chunk", (F.col("chunk") != F.col("other")).alias("two"), "node")
     pairs = own.join(apart.select("node", "label", "weight", "apart"), "node").select("tile", "part", "chunk", "two", "node", "label", "weight", "apart")
     return components(found.union(_grouped(pairs, lambda rows: _join_differences(rows, num, den), LINKS, "a bigint, b bigint")))
+
+
+def prefix_lengths(weight: int, length: int, step: int, num: int, den: int) -> list[tuple[int, int]]:
+    """For each class of partner weights with which a link needs common elements: the class, and how many of the first
+    elements are to be looked at.  A class ``c`` has the weights from ``c * step`` on; a link needs an overlap of the two
+    weights' sum by ``2 * (num + den)``, which neither difference may be too short for."""
+    scale = 2 * (num + den)
+    shingles = (length * (num + den) - weight) // (den - num)
+    longest = shingles * den // num  # shingles of a partner, at most
+    out = []
+    c = min(-weight // step, (weight - 2 * (den - num) * longest) // step) - 2
+    while weight + c * step <= scale * length:
+        overlap = max(1, -(-(weight + c * step) // scale))
+        partner = ((c + 1) * step + (den - num) * longest) // (num + den)
+        if weight + (c + 1) * step > 0 and overlap <= min(length, partner):
+            out.append((c, length - overlap + 1))
+        c += 1
+    return out
+
+
+def _prefixes(num: int, den: int):
+    """Rows: family, node, label, weight, length, step, and the elements that others share, rarest first."""
+    names = ["family", "node", "label", "element", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 200):
+                out = []
+                for family, node, label, weight, length, step, live in zip(*(c.to_pylist() for c in batch.slice(low, 200).columns), strict=True):
+                    own = weight // step
+                    for c, first in prefix_lengths(weight, length, step, num, den):
+                        # Elements that nobody else has come first in the order.
+                        out += [(family, node, label, e, min(own, c), max(own, c)) for e in live[: max(0, first - (length - len(live)))]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
+
+    return run
