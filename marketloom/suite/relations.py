@@ -46,4 +46,30 @@ def _register(name):
 
 
 for _name in _PLAIN:
-    _register(_name)
+    if _name not in ("Exchange", "ETF"):
+        _register(_name)
+
+
+# The constant relations are shown with what the given tables hold for them.
+@case("table_exchange", sql=f"""
+    SELECT e.*, CAST(COALESCE(n, 0) AS BIGINT) AS n_securities FROM ({_sql('Exchange')}) AS e
+    LEFT JOIN (SELECT exchange_id, COUNT(*) AS n FROM Security GROUP BY exchange_id) AS s ON s.exchange_id = e.exchange_id""")
+def _(tables):
+    listed = tables["Security"].groupBy("exchange_id").agg(F.count("*").alias("n"))
+    columns = [F.col(c) for c in _PLAIN["Exchange"].split()]
+    return tables["Exchange"].join(listed, "exchange_id", "left").select(
+        *columns, F.coalesce("n", F.lit(0)).cast("long").alias("n_securities")
+    )
+
+
+@case("table_etf", sql=f"""
+    SELECT f.*, ticker, CAST(COALESCE(n, 0) AS BIGINT) AS n_prices FROM ({_sql('ETF')}) AS f
+    JOIN Security ON Security.security_id = f.security_id
+    LEFT JOIN (SELECT security_id, COUNT(*) AS n FROM Price GROUP BY security_id) AS p ON p.security_id = f.security_id""")
+def _(tables):
+    priced = tables["Price"].groupBy("security_id").agg(F.count("*").alias("n"))
+    rows = tables["ETF"].join(tables["Security"].select("security_id", "ticker"), "security_id").join(priced, "security_id", "left")
+    return rows.select(
+        "security_id", "fund_name", F.col("expense_ratio").cast("double").alias("expense_ratio"), "ticker",
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_prices"),
+    )
