@@ -9,9 +9,10 @@ Vectors that share a direction are compared exactly, in double precision.
 the same at every size.  The threshold comes from simulated random pairs at exactly the similarity asked for: all but
 ``MISS`` of them share a direction.  A rotation makes that hold for any data; pairs above the similarity meet more often.
 
-Equal vectors are one class with a count and are never paired up.  A direction's members are cut into chunks of
-``CHUNK`` by hash and compared chunk against chunk; a linked pair is counted in the smallest direction it shares, so
-neither pairs nor repeated finds leave the task: it returns a count and one edge per member.
+Equal vectors are one class with a count and are never paired up.  A direction's members are compared in double
+precision, in pairs of chunks of ``CHUNK`` by hash, and give one edge per member.  All links lie within the components of
+these edges, and each vector in one component, so links are counted there, again chunk against chunk: no pair leaves a
+task or is counted twice.  Vectors travel as 32-bit numbers where those are exact.
 
 Rules: null, zero, empty and non-finite vectors, and those with null components, link with nothing; neither do vectors
 of different lengths.  Of rows that share an id but not the vector, the one with the smallest hash is compared, the
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import stored
 from marketloom.llm.graph import components
 
-SPREAD = 16  # directions per distinct vector
-MISS = 0.002  # simulated pairs at the threshold that share no direction
-TRIALS = 2000  # simulated pairs
+SPREAD = 64  # directions per distinct vector
+MISS = 0.02  # simulated pairs at the threshold that share no direction
+TRIALS = 1000  # simulated pairs
 CHUNK = 256  # members of a direction that are compared at once
 
 
@@ -113,46 +114,61 @@ def _directions(codes: dict[int, Code]):
     return run
 
 
-def compare(rows: list[tuple], direction: int, across: bool, similarity: float) -> list[tuple[int, int, int]]:
-    """Node, links to add, and smallest node reached, for the members of one group.
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as bytes: 32-bit numbers if they are exact, else 64-bit."""
+    for batch in batches:
+        out = []
+        for value in batch.column(1):
+            v = np.array(value.as_py(), float)
+            with np.errstate(over="ignore"):
+                short = v.astype(np.float32)
+            out.append((b"s" + short.tobytes()) if (short == v).all() else b"d" + v.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], names=["node", "copies", "vector"])
+
 
-    ``rows``: node, copies, chunk, directions and vector; ``across``: only pairs of two chunks count.
-    """
-    node = np.array([r[0] for r in rows])
-    copies = np.array([r[1] for r in rows])
-    chunk = np.array([r[2] for r in rows])
-    x = np.array([r[4] for r in rows], dtype=float)
+def _unpacked(data: list[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(d, np.float32 if d[:1] == b"s" else np.float64, offset=1).astype(float) for d in data])
+
+
+def linked_pairs(rows: list[tuple], across: bool, similarity: float) -> np.ndarray:
+    """Which rows (node, copies, chunk, vector) link; ``across``: only pairs of two chunks count."""
+    x = _unpacked([r[3] for r in rows])
     norm = np.linalg.norm(x, axis=1)
     linked = (x @ x.T) / np.outer(norm, norm) >= similarity
     np.fill_diagonal(linked, False)
     if across:
+        chunk = np.array([r[2] for r in rows])
         linked &= chunk[:, None] != chunk[None, :]
-    if not linked.any():
-        return []
-    earlier = [[f for f in r[3] if f < direction] for r in rows]
-    names = {f: k for k, f in enumerate(sorted({f for fs in earlier for f in fs}))}
-    member = np.zeros((len(rows), len(names)), np.float32)
-    for k, fs in enumerate(earlier):
-        member[k, [names[f] for f in fs]] = 1
-    owned = linked & (member @ member.T == 0)
-    links = owned @ copies
-    label, before = node.copy(), None
+    return linked
+
+
+def roots(rows: list[tuple], across: bool, similarity: float) -> list[tuple[int, int]]:
+    """Per row with a link its node and the smallest node reached."""
+    linked = linked_pairs(rows, across, similarity)
+    label, before = np.array([r[0] for r in rows]), None
     while before is None or (label != before).any():
         before = label
         label = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
-    keep = linked.any(axis=1)
-    return list(zip(node[keep].tolist(), links[keep].tolist(), label[keep].tolist(), strict=True))
+    return [(r[0], int(m)) for r, m, some in zip(rows, label, linked.any(axis=1), strict=True) if some]
+
 
+def counts(rows: list[tuple], across: bool, similarity: float) -> list[tuple[int, int]]:
+    """Per row with a link its node and how many vectors it links with."""
+    linked = linked_pairs(rows, across, similarity)
+    found = linked @ np.array([r[1] for r in rows])
+    return [(r[0], int(n)) for r, n in zip(rows, found, strict=True) if n]
 
-def _compare_all(similarity: float):
-    schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+def _in_groups(rows: DataFrame, work, similarity: float, name: str) -> DataFrame:
+    """``work`` on each group: ``rows`` are group, i, j, node, copies, chunk, vector, in pairs of chunks i and j."""
+    schema = pa.schema([("node", pa.int64()), (name, pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def result():
-            found = compare([r[3:] for r in held], held[0][0], held[0][1] != held[0][2], similarity) if len(held) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], schema=schema)
+            found = work([r[3:] for r in held], held[0][1] != held[0][2], similarity) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -163,7 +179,17 @@ def _compare_all(similarity: float):
         if held:
             yield result()
 
-    return run
+    keys = rows.columns[:3]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, f"node bigint, `{name}` bigint")
+
+
+def _in_chunks(members: DataFrame, group: str, payload: DataFrame) -> DataFrame:
+    """Members (group, node) of groups of two and more, once for every pair of chunks that theirs is in."""
+    sizes = stored(members.groupBy(group).agg(F.count("*").alias("n")).where("n > 1").select(group, F.ceil(F.col("n") / CHUNK).alias("chunks")))
+    rows = members.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    rows = rows.select(group, F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "chunk")
+    return rows.join(payload, "node").select(group, "i", "j", "node", "copies", "chunk", "vector")
 
 
 def near_duplicates(vectors: DataFrame, similarity: float = 0.95) -> DataFrame:
@@ -177,22 +203,16 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.95) -> DataFrame:
 
     # One code per vector length; lengths are few.
     codes = {d: Code(d, n, similarity) for d, n in classes.groupBy("dim").count().collect()}
-    firsts = usable.join(classes.select("print", F.col("node").alias("vec_id")), ["print", "vec_id"], "left_semi").select("vec_id", "embedding")
+    kept = classes.select("print", F.col("node").alias("vec_id"), "copies")
+    firsts = usable.join(kept, ["print", "vec_id"]).select("vec_id", "embedding", "copies")
     firsts = stored(firsts.dropDuplicates(["vec_id"]))
-    found = stored(firsts.mapInArrow(_directions(codes), "node bigint, found array<bigint>"))
-    rows = found.select("node", F.explode("found").alias("direction"))
-    shared = stored(rows.groupBy("direction").agg(F.count("*").alias("n")).where("n > 1").select("direction", F.ceil(F.col("n") / CHUNK).alias("chunks")))
-
-    rows = rows.join(shared, "direction").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("other")
-    rows = rows.select("direction", "node", "chunk", other)
-    rows = rows.select("direction", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "chunk")
-    payload = firsts.select(F.col("vec_id").alias("node"), "embedding").join(classes.select("node", "copies"), "node").join(found, "node")
-    groups = rows.join(payload, "node").select("direction", "i", "j", "node", "copies", "chunk", "found", "embedding")
-    dealt = groups.repartition("direction", "i", "j").sortWithinPartitions("direction", "i", "j")
-    links = stored(dealt.mapInArrow(_compare_all(similarity), "node bigint, links bigint, root bigint"))
-
-    reached = components(links.select("node", "root"))
+    payload = stored(firsts.mapInArrow(_packed, "node bigint, copies bigint, vector binary"))
+    found = stored(firsts.select("vec_id", "embedding").mapInArrow(_directions(codes), "node bigint, found array<bigint>"))
+    members = found.select(F.explode("found").alias("direction"), "node")
+    reached = components(_in_groups(_in_chunks(members, "direction", payload), roots, similarity, "root"))
+
+    members = reached.union(reached.select(F.col("component").alias("node"), "component").distinct()).select("component", "node")
+    links = _in_groups(_in_chunks(stored(members), "component", payload), counts, similarity, "links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     of_class = classes.join(counted, "node", "left").join(reached, "node", "left")
     of_class = stored(of_class.select("print", "node", F.coalesce("component", "node").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
