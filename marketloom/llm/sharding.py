@@ -79,7 +79,8 @@ def shard(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text")
     free = F.lit(width) - F.col("depth")
     ranges = F.expr(f"sequence(shiftleft(prefix, {width} - depth), shiftleft(prefix + 1, {width} - depth) - 1)")
     shallow = directory.where(free >= 0).withColumn("fine", F.explode(ranges))
-    at = rows.withColumn("fine", _prefix("hash", width, BITS)).join(shallow, "fine").drop("fine")
+    # Written out, the directory is much larger than its file, which Spark would judge it by: it isn't broadcast.
+    at = rows.withColumn("fine", _prefix("hash", width, BITS)).join(shallow.hint("merge"), "fine").drop("fine")
     for depth in sorted(r[0] for r in directory.where(free < 0).select("depth").distinct().collect()):
         deep = directory.where(F.col("depth") == depth)
         at = at.unionByName(rows.withColumn("prefix", _prefix("hash", depth, BITS)).join(deep, "prefix"))
