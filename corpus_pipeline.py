@@ -6,6 +6,8 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from marketloom.llm.shingle_join import jaccard_components
 #: Below this score a text is like no learned language: its frequent n-grams are hardly in any profile.
 LEAST_SCORE = 0.25
 
+#: Texts link from this Jaccard similarity of their shingles of so many words on; op10's query has values of its own.
+SIMILARITY, WIDTH = Fraction(4, 5), 5
+
 
 def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and texts like no learned language, go.
@@ -37,7 +42,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows with a null id stay; of several rows with one id the one whose other columns come first stays.
     """
-    linked = jaccard_components(docs)
+    linked = jaccard_components(docs, SIMILARITY, WIDTH)
     gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
     rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = linked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -7,7 +7,7 @@ import public_tokenizers
 import corpus_pipeline as cp
 from marketloom.llm.common import stored
 from marketloom.llm.packing import Encoder
-from tests.llm.rows import documents, frame
+from tests.llm.rows import documents, frame, words
 from tests.llm.test_shingle_join import brute, copies
 
 
@@ -31,6 +31,17 @@ def test_one_of_each_group_stays(spark):
     assert {r.doc_id for r in kept} == want and len(kept) == len(want) < 30
 
 
+def test_near_copies_between_the_thresholds_go(spark):
+    """Pairs of at least 0.8 on five words, but below 0.9 on three: new text appended, and isolated edits."""
+    appended, scattered, far = (words(k, n, 4000) for k, n in ((31, 100), (32, 400), (33, 400)))
+    edited = lambda text, n: [f"e{k}" if k % (400 // n) == 9 else w for k, w in enumerate(text)]
+    texts = [appended, appended + words(34, 15, 4000), scattered, edited(scattered, 8), far, edited(far, 16)]
+    rows = [(k, " ".join(t), "en", "a") for k, t in enumerate(texts)]
+    assert [c for _, _, c in brute([r[:2] for r in rows])] == [0, 1, 2, 3, 4, 5]
+    assert [c for _, _, c in brute([r[:2] for r in rows], 80, 100, 5)] == [0, 0, 2, 2, 4, 5]
+    assert {r.doc_id for r in cp.one_of_each_group(spark, documents(spark, rows), "").collect()} == {0, 2, 4, 5}
+
+
 def test_repeated_ids_and_nulls(spark):
     kept = cp.one_of_each_group(spark, frame(spark), "")
     assert kept.columns == frame(spark).columns
