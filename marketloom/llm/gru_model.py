@@ -8,8 +8,10 @@ enters as one "other" token.  The output is factored into ``CLASSES`` classes of
 step takes two short softmaxes.  An "other" token is then worth its add-one share among the other words, so the model
 is a distribution over all words.  Output biases start at the counts, hence an untrained network is a unigram model.
 Training is truncated backpropagation (Adam) over windows of ``WINDOW`` tokens with the state carried from window to
-window, on a sample of about ``TRAIN_DOCS`` training texts, ``TRAIN_TOKENS`` tokens of each at most; it runs on the
-driver, in a time that doesn't depend on the corpus.
+window through each whole text, and takes every training text.  The texts are dealt to ``ROUNDS`` rounds, and within a
+round to groups of about ``GROUP_TOKENS`` tokens; a task trains the weights on a group, and the next round starts from
+the groups' average, weighted by tokens.  A group of few tokens is passed through until it has had its part of ``STEPS``
+updates.  The driver holds the weights, and sums of them from about the square root of the number of groups.
 
 **Scoring.** Whole texts are scored side by side, sorted by length, window after window with the state carried on.
 
@@ -23,8 +25,9 @@ are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,16 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import id_residue, stored, utf8
+from marketloom.llm.common import id_residue, mixed, stored, utf8
 
 VOCABULARY = 1024
 CLASSES = 32
 HIDDEN = 24
 WINDOW = 32  # tokens of a truncated window
-STREAMS = 64  # texts that are trained side by side
-TRAIN_DOCS = 1500
-TRAIN_TOKENS = 400
-STEPS = 500  # updates
+STREAMS = 128  # texts that are trained side by side
+ROUNDS = 4  # of training, each on its own part of the texts
+GROUP_TOKENS = 1 << 20  # tokens that a task trains on in a round, about
+STEPS = 500  # updates of a group in all rounds, at least
 FREQUENT = 1 << 17
 BATCH = 2048  # texts that are scored side by side
 END, OTHER = 0, 1
@@ -81,21 +84,28 @@ class Network:
         n = np.tanh(x[:, 2 * h :] + r * s[:, 2 * h :])
         return n + z * (state - n), (tokens, state, r, z, n, s[:, 2 * h :])
 
-    def train(self, streams: np.ndarray, steps: int = STEPS) -> None:
-        """``streams``: one long row of tokens each, -1 where a text begins (the state is cleared there)."""
-        if not streams.size or streams.shape[1] < 2:
+    def train(self, streams: Sequence[np.ndarray], steps: int = STEPS, *, done: float = 0.0, share: float = 1.0) -> None:
+        """``streams``: one row of tokens each, -1 where a text begins (the state is cleared there).  ``done`` and ``share``:
+        the parts of the whole training that lie before these steps and in them; the rate falls over the whole."""
+        streams = sorted(streams, key=len, reverse=True)
+        if not streams or len(streams[0]) < 2:
             return
         w, state = self.w, np.zeros((len(streams), HIDDEN), np.float32)
+        lengths = np.array([len(s) for s in streams])
         first = {k: np.zeros_like(a) for k, a in w.items()}
         second = {k: np.zeros_like(a) for k, a in w.items()}
         at = 0
         for k in range(1, steps + 1):
-            if at + 1 >= streams.shape[1]:
-                at, state = 0, np.zeros_like(state)
-            part = streams[:, at : at + WINDOW + 1]
+            if at + 1 >= lengths[0]:
+                at, state = 0, np.zeros((len(streams), HIDDEN), np.float32)
+            live = int((lengths > at + 1).sum())  # the longer streams come first
+            part = np.full((live, min(WINDOW + 1, lengths[0] - at)), -1)
+            for row, stream in zip(part, streams):
+                piece = stream[at : at + WINDOW + 1]
+                row[: len(piece)] = piece
             at += WINDOW
-            state, grads = self._gradients(part, state)
-            rate = 0.01 * min(1.0, k / 50) * (1 - 0.9 * k / steps)
+            state, grads = self._gradients(part, state[:live])
+            rate = 0.01 * min(1.0, k / 50) * (1 - 0.9 * (done + share * k / steps)) * live / len(streams)
             for name, g in grads.items():
                 np.clip(g, -1, 1, out=g)
                 first[name] += 0.1 * (g - first[name])
@@ -121,16 +131,21 @@ class Network:
         pc = _softmax(flat @ w["c"] + w["cb"])
         pc[rows, group] -= 1
         pc *= scale
-        own = w["t"][group]
-        pt = _softmax(np.einsum("nwh,nh->nw", own, flat) + w["tb"][group])
-        pt[rows, inner] -= 1
-        pt *= scale
         grads = {k: np.zeros_like(a) for k, a in w.items()}
         grads["c"], grads["cb"] = flat.T @ pc, pc.sum(axis=0)
-        np.add.at(grads["t"], group, pt[:, :, None] * flat[:, None, :])
-        np.add.at(grads["tb"], group, pt)
-        back = (pc @ w["c"].T + np.einsum("nwh,nw->nh", own, pt)).reshape(len(inputs), -1, h)
-        later = np.zeros_like(state)
+        back = pc @ w["c"].T
+        order = np.argsort(group, kind="stable")
+        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        for k in range(CLASSES):
+            at = order[edges[k] : edges[k + 1]]
+            if len(at):
+                pt = _softmax(flat[at] @ w["t"][k].T + w["tb"][k])
+                pt[rows[: len(at)], inner[at]] -= 1
+                pt *= scale[at]
+                grads["t"][k], grads["tb"][k] = pt.T @ flat[at], pt.sum(axis=0)
+                back[at] += pt @ w["t"][k]
+        back = back.reshape(len(inputs), -1, h)
+        later, entered = np.zeros_like(state), []
         for t in range(len(inputs) - 1, -1, -1):
             tokens, before, r, z, n, s = kept[t]
             d = back[t] + later
@@ -138,10 +153,14 @@ class Network:
             dz = d * (before - n) * z * (1 - z)
             dr = dn * s * r * (1 - r)
             gates = np.concatenate((dr, dz, dn), axis=1)
-            np.add.at(grads["x"], tokens, gates)
+            entered.append(gates.copy())
             gates[:, 2 * h :] *= r
             grads["u"] += before.T @ gates
             later = np.where(inputs[t][:, None] < 0, np.float32(0), d * z + gates @ w["u"].T)
+        tokens, gates = np.maximum(inputs[::-1].ravel(), 0), np.concatenate(entered)
+        order = np.argsort(tokens, kind="stable")
+        begins = np.flatnonzero(np.diff(tokens[order], prepend=-1))
+        grads["x"][tokens[order[begins]]] = np.add.reduceat(gates[order], begins, axis=0)
         return state, grads
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -256,27 +275,106 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> Frequent:
     return Frequent(words, n, tokens)
 
 
+def streams_of(texts: list[np.ndarray]) -> list[np.ndarray]:
+    """At most ``STREAMS`` rows of whole texts (tokens), about equally long: -1, the text's tokens and the end, for each text."""
+    rows: list[list[np.ndarray]] = [[] for _ in range(min(STREAMS, len(texts)))]
+    heap = [(0, k) for k in range(len(rows))]
+    for text in sorted(texts, key=len, reverse=True):
+        size, k = heapq.heappop(heap)
+        rows[k] += [np.array([-1]), text, np.array([END])]
+        heapq.heappush(heap, (size + len(text) + 2, k))
+    rng = np.random.default_rng(8)
+    out = []
+    for row in rows:  # long texts and short ones in any order
+        places = rng.permutation(len(row) // 3)
+        out.append(np.concatenate([part for p in places for part in row[3 * p : 3 * p + 3]]).astype(np.int16))
+    return out
+
+
+def _tokenized(frequent: Frequent, groups: int, seed: int):
+    """Per text its number, round, group and tokens."""
+    names = ["number", "round", "group", "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        for batch in batches:
+            tokens = [frequent.look_up(word_hashes(t.as_py()))[1].astype(np.int16).tobytes() for t in batch.column(0)]
+            own = np.arange(number, number + len(batch))
+            number += len(batch)
+            draw = mixed(own.astype(np.uint64) + np.uint64(seed + 1) * np.uint64(0x9E3779B97F4A7C15))
+            columns = [own, (draw % np.uint64(ROUNDS)).astype(np.int32), ((draw >> np.uint64(8)) % np.uint64(groups)).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(tokens, pa.binary())], names=names)
+
+    return run, "number bigint, round int, group int, tokens binary"
+
+
+WEIGHTS = pa.schema([("group", pa.int32()), ("n", pa.int64()), ("weights", pa.binary())])
+
+
+def _trained(weights: dict[str, np.ndarray], turn: int, least: int):
+    """Rows: group, number, tokens, in order.  Per group its tokens and their number times the weights trained on them."""
+
+    def result(group: int, texts: list[np.ndarray]) -> pa.RecordBatch:
+        network = Network(np.zeros(VOCABULARY))
+        network.w = {k: a.copy() for k, a in weights.items()}
+        streams = streams_of(texts)
+        once = -(-(max(map(len, streams)) - 1) // WINDOW)
+        network.train(streams, max(once, least), done=turn / ROUNDS, share=1 / ROUNDS)
+        n = sum(map(len, texts)) + len(texts)
+        flat = np.concatenate([a.ravel() for a in network.w.values()]).astype(float) * n
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([group], [n], [flat.tobytes()]), WEIGHTS, strict=True)], schema=WEIGHTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, texts = None, []
+        for batch in batches:
+            for group, data in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if texts and group != last:
+                    yield result(last, texts)
+                    texts = []
+                last = group
+                texts.append(np.frombuffer(data.as_py(), np.int16))
+        if texts:
+            yield result(last, texts)
+
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    group, total, flat = None, 0, 0.0
+    for batch in batches:
+        for first, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            group, total, flat = first if group is None else group, total + n, flat + np.frombuffer(data.as_py(), float)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([group], [total], [flat.tobytes()]), WEIGHTS, strict=True)], schema=WEIGHTS)
+
+
 def fit(training: DataFrame, counts: DataFrame, frequent: Frequent, total: int, ends: int, seed: int = 8) -> Network:
-    """A network trained on a sample of ``training`` (``doc_id``, ``text`` as bytes)."""
+    """A network trained on ``training`` (``doc_id``, ``text`` as bytes)."""
     tokens = np.zeros(VOCABULARY, np.int64)
     np.add.at(tokens, frequent.tokens, frequent.counts)
     tokens[END] = ends
     tokens[OTHER] = total - tokens.sum() + tokens[OTHER]
     network = Network(tokens, seed)
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [frequent.look_up(word_hashes(t.as_py())[:TRAIN_TOKENS])[1].tolist() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["draw", "tokens"])
-
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000))
-    part = int(min(1.0, TRAIN_DOCS / max(1, ends)) * 1_000_000)
-    texts = training.select(draw.alias("draw"), "text").where(F.col("draw") < part)
-    rows = sorted((r["draw"], r["tokens"]) for r in texts.mapInArrow(sample, "draw bigint, tokens array<int>").collect())
-    flat = np.array([x for _, t in rows for x in (-1, *t, END)], np.int64)
-    if len(flat):
-        width = -(-len(flat) // STREAMS)
-        network.train(np.append(flat, np.full(width * STREAMS - len(flat), -1)).reshape(STREAMS, width))
+    if not ends:
+        return network
+
+    groups = max(1, round(total / (ROUNDS * GROUP_TOKENS)))
+    sums = max(1, math.isqrt(groups))
+    run, schema = _tokenized(frequent, groups, seed)
+    texts = stored(training.select("text").mapInArrow(run, schema))
+    ddl = "group int, n bigint, weights binary"
+    for turn in range(ROUNDS):
+        own = texts.where(F.col("round") == turn).select("group", "number", "tokens")
+        own = own.repartition(groups, "group").sortWithinPartitions("group", "number")
+        trained = own.mapInArrow(_trained(network.w, turn, -(-STEPS // ROUNDS)), ddl)
+        trained = trained.repartition(sums, F.col("group") % sums).sortWithinPartitions("group").mapInArrow(_summed, ddl)
+        rows = sorted(map(tuple, trained.collect()))
+        n, at = sum(r[1] for r in rows), 0
+        if n:
+            flat = sum(np.frombuffer(r[2], float) for r in rows) / n
+            for name, a in network.w.items():
+                network.w[name] = flat[at : at + a.size].reshape(a.shape).astype(np.float32)
+                at += a.size
     return network
 
 

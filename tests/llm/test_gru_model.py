@@ -121,3 +121,25 @@ def test_training_beats_counts():
     before = net.log10(texts).mean()
     net.train(streams, 80)
     assert net.log10(texts).mean() > before + 10
+
+
+def test_streams_hold_whole_texts():
+    """Each text stands in one stream, to its last token, and is followed by the end there only."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(2, 900, n) for n in (3000, 1, 0, *rng.integers(0, 900, 200))]
+    flat = np.concatenate(gm.streams_of(texts))
+    found = np.split(flat, np.flatnonzero(flat == -1))[1:]
+    assert len(found) == len(texts) and (flat == gm.END).sum() == len(texts)
+    assert sorted(f[1:-1].tolist() for f in found) == sorted(t.tolist() for t in texts)
+
+
+@pytest.mark.parametrize("group_tokens", [1 << 20, 20_000])
+def test_what_follows_word_400_is_learned(spark, monkeypatch, group_tokens):
+    """Late words come in a fixed order, so a network that has seen them scores them far better than their counts."""
+    monkeypatch.setattr(gm, "GROUP_TOKENS", group_tokens)  # the small one trains several groups a round
+    rng = np.random.default_rng(6)
+    late = [f"late{k % 20}" for k in range(800)]
+    rows = [(k, " ".join([f"w{x}" for x in rng.integers(0, 20, 400)] + late)) for k in range(300)]
+    out = gm.score(documents(spark, rows)).collect()
+    gain = np.mean([r.score - r.base_score for r in out])
+    assert gain > 0.3 * 800
