@@ -1,11 +1,14 @@
 """Document fingerprints by a homomorphic multiset hash.
 
-A text is a multiset of paragraphs: its lines, and a long line in parts that end at words chosen by their content.  Each
-paragraph is hashed to a wide vector, and the fingerprint is the sum of the vectors:
+A text is a multiset of paragraphs: its lines, and a long line in parts that end at words chosen by their content.  A
+word of more than ``LONG`` bytes is cut the same way at bytes, and a stretch where the content gives no cut, such as one
+word or character repeated, at even distances from its beginning.  Each paragraph is hashed to a wide vector, and the
+fingerprint is the sum of the vectors:
 
 * ``EQUAL`` lanes of 64 random bits, modulo 2 ** 64: equal sums mean equal multisets, whatever the order;
-* ``SIGNS`` lanes of plus or minus one, modulo 2 ** 16: the squares of the difference of two sums estimate how many
-  paragraphs the texts do not share;
+* ``LANES`` lanes of Cauchy variates in units of 1 / ``UNIT``, modulo 2 ** 32: a sum of such variates is spread as one of
+  them times the summed absolute weights, so the median of the difference of two sums estimates how many paragraphs the
+  texts do not share, repeats counted;
 * one lane that counts paragraphs, modulo 2 ** 32.
 
 Inserting or deleting a paragraph adds or subtracts its vector, so a fingerprint is kept up without the rest of the text
@@ -22,6 +25,7 @@ paragraphs; rows with a null id come last, ties go by the text's hash; other col
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,54 +37,100 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.common import mixed
 
-EQUAL, SIGNS = 4, 128  # lanes
+EQUAL, LANES = 4, 128  # lanes
+UNIT = 64  # of a Cauchy lane: 1 is so many
 CUT = 8  # words of a part of a long line, on average
+LONG = 128  # bytes of a word that is not cut, at most
+CUT_BYTES = 32  # of a part of a longer one, on average
+STRETCH = 4  # times those averages without a cut by content, and the stretch is cut evenly
+AT_ONCE = 2048  # paragraphs whose vectors are held
 PER_RANGE = 256  # rows of a range, about
 RANGES = 20_000  # most ranges; their rows are read in a stream, so a range may be of any size
 
-WIDTH = EQUAL * 8 + SIGNS * 2 + 4  # bytes
+WIDTH = EQUAL * 8 + LANES * 4 + 4  # bytes
+
+
+def _of_word(word: bytes) -> list[bytes]:
+    """Parts of a long word."""
+    x = np.frombuffer(word, np.uint8).astype(np.uint64)
+    last = x[3:] + (x[2:-1] << np.uint64(8)) + (x[1:-2] << np.uint64(16)) + (x[:-3] << np.uint64(24))
+    ends = np.flatnonzero(mixed(last) % np.uint64(CUT_BYTES) == 0) + 4
+    out, low = [], 0
+    for end in [*ends.tolist(), len(word)]:
+        step = end - low if end - low <= STRETCH * CUT_BYTES else CUT_BYTES
+        out += [word[k : min(k + step, end)] for k in range(low, end, max(1, step))]
+        low = end
+    return out
 
 
 def paragraphs(text: str) -> list[bytes]:
     """Lines, long ones in parts; every character but white space between words is in one of them."""
     out = []
+
+    def close(run: list[bytes]):
+        step = len(run) if len(run) <= STRETCH * CUT else CUT
+        out.extend(b" ".join(run[k : k + step]) for k in range(0, len(run), max(1, step)))
+
     for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
         words = line.split(b" ")
-        if len(words) <= CUT:
+        if len(words) <= CUT and len(line) <= LONG:
             out.append(line)
             continue
         low = 0
         for k, word in enumerate(words, 1):
-            if len(word) and (word[0] * 7 + word[-1] * 31 + len(word)) % CUT == 0:
-                out.append(b" ".join(words[low:k]))
+            if len(word) > LONG:
+                close(words[low : k - 1])
+                out += _of_word(word)
                 low = k
-        if low < len(words):
-            out.append(b" ".join(words[low:]))
+            elif len(words) > CUT and len(word) and (word[0] * 7 + word[-1] * 31 + len(word)) % CUT == 0:
+                close(words[low:k])
+                low = k
+        close(words[low:])
     return out if text else []
 
 
-def vectors(parts: list[bytes]) -> np.ndarray:
-    """One row of ``EQUAL + 2`` 64-bit values per paragraph: the equality lanes, then the bits of the signs."""
+#: Cauchy variates, in units, by 16 random bits; the outermost ones are drawn anew, as there is no largest one.
+_CAUCHY = np.rint(UNIT * np.tan(np.pi * ((np.arange(1 << 16) + 0.5) / (1 << 16) - 0.5))).astype(np.int32)
+_OUTERMOST = (1 << 16) - 1
+
+
+def vectors(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """One row per paragraph: the 64-bit equality lanes, and the Cauchy lanes."""
     base = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
     other = np.fromiter((xxhash.xxh3_64_intdigest(p, seed=1) for p in parts), np.uint64, len(parts))
-    lanes = np.arange(1, EQUAL + SIGNS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed(mixed(base[:, None] + lanes) ^ other[:, None])
+    lanes = np.arange(1, EQUAL + LANES // 4 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    wide = mixed(base[:, None] + lanes)
+    wide[:, :EQUAL] = mixed(wide[:, :EQUAL] ^ other[:, None])
+    bits = np.ascontiguousarray(wide[:, EQUAL:] ^ other[:, None]).view(np.uint16).reshape(len(parts), LANES)
+    values = _CAUCHY[bits]
+    row, lane = np.nonzero((bits == 0) | (bits == _OUTERMOST))
+    if len(row):
+        more = mixed(base[row] ^ mixed(other[row] + lane.astype(np.uint64)))
+        size = np.minimum(UNIT * (1 << 16) / np.pi / (((more >> np.uint64(11)) + np.uint64(1)) / 2.0**53), 2.0**31 - 1)
+        values[row, lane] = np.where(bits[row, lane] == 0, -size, size).astype(np.int32)
+    return wide[:, :EQUAL], values
 
 
 def fingerprint(text: str) -> bytes:
     parts = paragraphs(text)
-    if not parts:
-        return bytes(WIDTH)
-    wide = vectors(parts)
-    signs = np.unpackbits(np.ascontiguousarray(wide[:, EQUAL:]).view(np.uint8).reshape(len(parts), -1), axis=1)
-    total = 2 * signs.sum(axis=0, dtype=np.int64) - len(parts)
-    return wide[:, :EQUAL].sum(axis=0, dtype=np.uint64).tobytes() + total.astype("<i2", casting="unsafe").tobytes() + np.array([len(parts)], "<u4").tobytes()
+    often = Counter(parts)
+    distinct, times = list(often), np.fromiter(often.values(), np.int64, len(often))
+    equal, lanes = np.zeros(EQUAL, np.uint64), np.zeros(LANES, np.int64)
+    for low in range(0, len(distinct), AT_ONCE):
+        some, n = distinct[low : low + AT_ONCE], times[low : low + AT_ONCE]
+        wide, values = vectors(some)
+        equal += (wide * n.astype(np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+        lanes += values.sum(axis=0, dtype=np.int64)
+        again = np.flatnonzero(n > 1)
+        if len(again):
+            lanes += ((n[again] - 1)[:, None] * values[again]).sum(axis=0)
+    return equal.tobytes() + lanes.astype("<u4", casting="unsafe").tobytes() + np.array([len(parts)], "<u4").tobytes()
 
 
 def add(one: bytes, other: bytes, sign: int = 1) -> bytes:
     """The fingerprint of two multisets together, or (``sign`` -1) of the first without the second."""
     out = []
-    for kind, low, high in (("<u8", 0, EQUAL * 8), ("<u2", EQUAL * 8, WIDTH - 4), ("<u4", WIDTH - 4, WIDTH)):
+    for kind, low, high in (("<u8", 0, EQUAL * 8), ("<u4", EQUAL * 8, WIDTH - 4), ("<u4", WIDTH - 4, WIDTH)):
         a, b = np.frombuffer(one[low:high], kind), np.frombuffer(other[low:high], kind)
         out.append((a + b if sign > 0 else a - b).tobytes())
     return b"".join(out)
@@ -90,10 +140,10 @@ def likeness(one: bytes, other: bytes) -> float:
     """Estimated share of paragraphs in common, of both texts' paragraphs: 1 for equal multisets."""
     if one == other:
         return 1.0
-    a, b = (np.frombuffer(x[EQUAL * 8 : WIDTH - 4], "<u2") for x in (one, other))
-    apart = (a - b).astype("<i2").astype(float)
+    a, b = (np.frombuffer(x[EQUAL * 8 : WIDTH - 4], "<u4") for x in (one, other))
+    apart = np.median(np.abs((a - b).astype("<i4").astype(float))) / UNIT
     count = sum(int.from_bytes(x[-4:], "little") for x in (one, other))
-    return float(min(1.0, max(0.0, 1 - (apart**2).mean() / max(1, count))))
+    return float(min(1.0, max(0.0, 1 - apart / max(1, count))))
 
 
 def edited(text: str, following: str) -> str:

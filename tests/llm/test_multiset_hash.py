@@ -44,6 +44,41 @@ def test_long_lines_are_cut_by_content():
     assert len(set(parts) & set(moved)) >= len(parts) - 2
 
 
+@pytest.mark.parametrize(
+    "whole, part",
+    [
+        ("word " * 4000, "word " * 2000),
+        ("one line of a few words\n" * 64, "one line of a few words\n" * 32),
+        ("x" * 20_000, "x" * 10_000),
+        ("日本語" * 3000, "日本語" * 1500),
+        ("".join(words(7, 4000)), "".join(words(7, 4000))[:5700]),
+    ],
+)
+def test_likeness_of_repeats_and_of_lines_without_blanks(whole, part):
+    """Half of a text shares two thirds of both texts' paragraphs, however often one of them is repeated."""
+    assert len(mh.paragraphs(whole)) >= 60
+    assert mh.likeness(mh.fingerprint(whole), mh.fingerprint(part)) == pytest.approx(2 / 3, abs=0.17)
+
+
+def test_long_words_are_cut_by_content():
+    word = "".join(words(8, 2000))
+    parts = mh.paragraphs(word)
+    assert b"".join(parts).decode() == word and max(map(len, parts)) <= mh.STRETCH * mh.CUT_BYTES
+    assert len(set(parts) & set(mh.paragraphs("new" + word))) >= len(set(parts)) - 5
+
+
+def test_parts_that_share_paragraphs_are_summed():
+    part = text_of(2, 9) + "\n" + text_of(2, 9)
+    assert mh.add(mh.fingerprint(part), mh.fingerprint(text_of(2, 9))) == mh.fingerprint(part + "\n" + text_of(2, 9))
+
+
+def test_likeness_of_many_paragraphs():
+    """The lanes have no largest value that sums of many would show."""
+    lines = [str(k) for k in range(200_000)]
+    got = mh.likeness(mh.fingerprint("\n".join(lines)), mh.fingerprint("\n".join(lines[:100_000] + [f"e{k}" for k in lines[100_000:]])))
+    assert got == pytest.approx(0.5, abs=0.2)
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
     out = []
