@@ -15,8 +15,9 @@ these edges, and each vector in one component, so links are counted there, again
 task or is counted twice.  Vectors travel as 32-bit numbers where those are exact.
 
 Rules: null, zero, empty and non-finite vectors, and those with null components, link with nothing; neither do vectors
-of different lengths.  Of rows that share an id but not the vector, the one with the smallest hash is compared, the
-others link with nothing.  Rows with a null id have no links, a null component, and are kept.  Other columns are ignored.
+of different lengths.  Classes are told apart by a 64-bit hash of the vector, not by ids, so rows that share an id but not
+the vector each have the links of their own vector; a component is named by its smallest id.  Rows with a null id have no
+links, a null component, and are kept.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -197,25 +198,25 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.95) -> DataFrame:
     source = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     prints = stored(source.mapInArrow(_prints, "vec_id bigint, embedding array<double>, dim int, print binary"))
     usable = prints.where("print is not null and vec_id is not null")
-    classes = usable.groupBy("print").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.min("dim").alias("dim"))
-    classes = classes.groupBy("node").agg(F.min(F.struct("print", "copies", "dim")).alias("c")).select("node", "c.*")
-    classes = stored(classes)
+    classes = usable.groupBy("print").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("dim").alias("dim"))
+    classes = stored(classes.withColumn("node", F.xxhash64("print")))
 
     # One code per vector length; lengths are few.
     codes = {d: Code(d, n, similarity) for d, n in classes.groupBy("dim").count().collect()}
-    kept = classes.select("print", F.col("node").alias("vec_id"), "copies")
-    firsts = usable.join(kept, ["print", "vec_id"]).select("vec_id", "embedding", "copies")
-    firsts = stored(firsts.dropDuplicates(["vec_id"]))
+    kept = classes.select("print", F.col("least").alias("vec_id"), "node", "copies")
+    firsts = usable.join(kept, ["print", "vec_id"]).select("node", "embedding", "copies")
+    firsts = stored(firsts.dropDuplicates(["node"]))
     payload = stored(firsts.mapInArrow(_packed, "node bigint, copies bigint, vector binary"))
-    found = stored(firsts.select("vec_id", "embedding").mapInArrow(_directions(codes), "node bigint, found array<bigint>"))
+    found = stored(firsts.select("node", "embedding").mapInArrow(_directions(codes), "node bigint, found array<bigint>"))
     members = found.select(F.explode("found").alias("direction"), "node")
     reached = components(_in_groups(_in_chunks(members, "direction", payload), roots, similarity, "root"))
 
-    members = reached.union(reached.select(F.col("component").alias("node"), "component").distinct()).select("component", "node")
-    links = _in_groups(_in_chunks(stored(members), "component", payload), counts, similarity, "links")
+    members = stored(reached.union(reached.select(F.col("component").alias("node"), "component").distinct()).select("component", "node"))
+    links = _in_groups(_in_chunks(members, "component", payload), counts, similarity, "links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
-    of_class = classes.join(counted, "node", "left").join(reached, "node", "left")
-    of_class = stored(of_class.select("print", "node", F.coalesce("component", "node").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    names = members.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = classes.join(counted, "node", "left").join(members.join(names, "component"), "node", "left")
+    of_class = stored(of_class.select("print", F.coalesce("component_id", "least").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = prints.select("vec_id", "print").join(of_class, "print", "left")
     linked = F.col("component_id").isNotNull() & F.col("vec_id").isNotNull()
     component = F.when(linked, F.col("component_id")).otherwise(F.col("vec_id"))

@@ -56,6 +56,15 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, out), key=repr) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, True)]
 
 
+def test_vectors_that_share_their_smallest_id(spark):
+    """No class is lost: each vector that id 1 holds keeps its copies and near copies."""
+    vectors = [[1, 0, 0], [0, 1, 0], [0, 0, 1]]
+    rows = [(1, v) for v in vectors] + [(10 * k + j, v) for k, v in enumerate(vectors, 1) for j in (1, 2)] + [(50, [0, 1, 0.01])]
+    out = sorted(map(tuple, cf.near_duplicates(table(spark, rows)).collect()))
+    links = {11: 2, 12: 2, 21: 3, 22: 3, 31: 2, 32: 2, 50: 3}
+    assert out == [(1, 2, 1, True), (1, 2, 1, True), (1, 3, 1, True)] + [(i, n, 1, False) for i, n in links.items()]
+
+
 def test_empty_table(spark):
     assert cf.near_duplicates(table(spark, [])).collect() == []
 
