@@ -62,7 +62,7 @@ def as_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The pieces of the sequences that the documents' tokens are packed into."""
     import public_tokenizers
 
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

@@ -60,7 +60,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from marketloom.llm.packing import pack
 
-    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:

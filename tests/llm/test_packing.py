@@ -31,6 +31,19 @@ def test_ids_are_the_tokenizers(plain):
         assert encode(text).tolist() == plain(text), repr(text)
 
 
+def test_added_tokens_in_a_text_have_their_ids(spark):
+    """As ``tokenizers`` with its own settings, in the encoder and in the rows."""
+    tokenizer = Tokenizer.from_file(PATH)
+    encode, r = packing.Encoder(PATH, added=True), random.Random(4)
+    stock = [" ", "\n", "a", "it's", "12", "日本", "<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "x"]
+    texts = ["see <|endoftext|> here", "<|endoftext|>"] + ["".join(r.choice(stock) for _ in range(r.randrange(20))) for _ in range(500)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [encode(t).tolist() for t in texts] == want and want[0] == [3826, 220, 50256, 994]
+    docs = spark.createDataFrame(list(enumerate(texts[:20])), "doc_id long, text string")
+    rows = packing.pack(docs, PATH, added=True).collect()
+    assert {x.doc_id: x.doc_tokens for x in rows} == {k: len(ids) + 1 for k, ids in enumerate(want[:20])}
+
+
 def test_balance_leaves_less_than_one_sequence_empty():
     r = random.Random(3)
     lengths = [r.randrange(1, 1024) for _ in range(500)] + [0, 5]
