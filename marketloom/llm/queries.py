@@ -78,6 +78,12 @@ def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.permuterm import corpus_words, spelling_groups
+
+    return spelling_groups(corpus_words(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_cap_filters": op2_cap_filters,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_gru_model": op8_gru_model,
     "op9_multiset_hash": op9_multiset_hash,
     "op10_shingle_join": op10_shingle_join,
+    "op11_permuterm": op11_permuterm,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -109,5 +116,52 @@ f AS (
 SELECT doc_id, hash, bytes, CASE WHEN depth > 0 THEN lpad(format('{{:b}}', prefix), depth, '0') ELSE '' END AS shard,
        depth, shard_bytes, shard_bytes > {SHARD_BYTES} AS oversized
 FROM f WHERE depth = own
+""",
+    # crc32 is linear: the exclusive or, over the bytes, of what a byte gives when so many bytes follow it.
+    "op11_permuterm": """
+WITH RECURSIVE bits AS (
+  SELECT b::BIGINT AS b, b::BIGINT AS r, 0 AS step FROM range(256) AS t(b)
+  UNION ALL SELECT b, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, step + 1 FROM bits WHERE step < 8),
+lookup AS (SELECT b, r FROM bits WHERE step = 8),
+runs AS (
+  SELECT id, run, hex(encode(id || ':' || run)) AS h, count(*) AS c
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+        FROM documents) AS u
+  WHERE length(run) >= 6 GROUP BY 1, 2, 3),
+longest AS (SELECT max(length(h) // 2) AS n FROM runs),
+follow AS (
+  SELECT 0::BIGINT AS k, b, r FROM lookup
+  UNION ALL SELECT k + 1, f.b, xor(f.r >> 8, l.r) FROM follow f JOIN lookup l ON l.b = f.r & 255, longest WHERE k + 1 < longest.n),
+start AS (
+  SELECT 0::BIGINT AS k, 4294967295::BIGINT AS r
+  UNION ALL SELECT k + 1, xor(s.r >> 8, l.r) FROM start s JOIN lookup l ON l.b = s.r & 255, longest WHERE k < longest.n),
+bytes AS (
+  SELECT id, run, c, length(h) // 2 AS n, i, CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT) AS b
+  FROM (SELECT *, unnest(range(0, length(h) // 2)) AS i FROM runs) AS u),
+hashed AS (
+  SELECT id, run, any_value(c) AS c, xor(xor(bit_xor(f.r), any_value(s.r)), 4294967295) AS h
+  FROM bytes JOIN follow f ON f.b = bytes.b AND f.k = n - 1 - i JOIN start s ON s.k = n GROUP BY id, run),
+vocabulary AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT c, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT)) ELSE run END AS word
+        FROM hashed) AS w
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+places AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM vocabulary),
+holes AS (SELECT word, n, substr(word, 1, i) || '*' || substr(word, i + 2) AS k, substr(word, 1, i) || substr(word, i + 2) AS less FROM places),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.k = b.k AND a.word <> b.word
+  UNION SELECT h.word, v.word, v.n FROM holes h JOIN vocabulary v ON h.less = v.word
+  UNION SELECT v.word, h.word, h.n FROM holes h JOIN vocabulary v ON h.less = v.word),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n
+  FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+listed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS place, 0 AS step FROM listed
+  UNION ALL SELECT w.word, r.form, step + 1 FROM walk w JOIN listed r ON r.word = w.place WHERE r.form IS NOT NULL)
+SELECT listed.*, place AS root FROM listed JOIN (SELECT word, place FROM walk QUALIFY row_number() OVER (PARTITION BY word ORDER BY step DESC) = 1) AS e USING (word)
 """,
 }
