@@ -84,6 +84,13 @@ def op11_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(corpus_words(read_table(spark, sf_dir, "documents")))
 
 
+def op12_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketloom.llm.lempel_ziv import remove_repeats
+
+    kept = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_cap_filters": op2_cap_filters,
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multiset_hash": op9_multiset_hash,
     "op10_shingle_join": op10_shingle_join,
     "op11_permuterm": op11_permuterm,
+    "op12_lempel_ziv": op12_lempel_ziv,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -163,5 +171,16 @@ walk AS (
   SELECT word, word AS place, 0 AS step FROM listed
   UNION ALL SELECT w.word, r.form, step + 1 FROM walk w JOIN listed r ON r.word = w.place WHERE r.form IS NOT NULL)
 SELECT listed.*, place AS root FROM listed JOIN (SELECT word, place FROM walk QUALIFY row_number() OVER (PARTITION BY word ORDER BY step DESC) = 1) AS e USING (word)
+""",
+    "op12_lempel_ziv": r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT r, len(ws) AS n, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM texts),
+windows AS (
+  SELECT r, i, n, md5(string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) AS h FROM words),
+again AS (SELECT h FROM windows WHERE i + 34 <= n GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM windows SEMI JOIN again USING (h) WHERE i + 34 <= n),
+left_over AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN left_over USING (r)
 """,
 }
