@@ -2,45 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.session import shared_dir
+# Ranges are cut at every SAMPLED-th key of a sample; so many ranges at most.
+_SAMPLED = 16
+_MOST_RANGES = 4096
 
-# monotonically_increasing_id packs (partition, position) with this many low bits.
-_POSITION_BITS = 33
+
+def _bounds(keys: DataFrame, ranges: int) -> Column:
+    """Cut points of a column ``__key``, as a scalar subquery: a sorted array of at most ``ranges`` keys.
+
+    The sample holds the keys of smallest hash, so it follows from the data alone:
+    every evaluation gives the same bounds, however the rows are partitioned.
+    """
+    sample = keys.orderBy(F.xxhash64("__key"), "__key").limit(_SAMPLED * ranges)
+    keys = sample.agg(F.sort_array(F.collect_list("__key")).alias("keys"))
+    return keys.select(F.filter("keys", lambda _, i: i % _SAMPLED == _SAMPLED - 1).alias("bounds")).scalar()
+
+
+def _range_of(bounds: Column, key: Column) -> Column:
+    """Number of bounds up to the key, by binary search."""
+    steps = F.array(*[F.lit(_MOST_RANGES >> k) for k in range(_MOST_RANGES.bit_length())])
+
+    def step(at, size):
+        further = (at + size <= F.size(bounds)) & (F.get(bounds, at + size - 1) <= key)
+        return F.when(further, at + size).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def assign_ids(df: DataFrame, order: list, name: str, start=1, partitions: int | None = None) -> DataFrame:
     """Dense ids in the given order, without gathering the rows into one task.
 
-    Rows are range-partitioned on the order, numbered inside each partition and
-    shifted by the sizes of the partitions before it. The numbered rows are
-    checkpointed first: range bounds are sampled, so both passes must see the
-    same ones, also after an executor is lost. Only one count per partition
-    reaches the driver. ``order`` must be unique for the ids to be stable.
+    The order is cut into ranges at bounds taken from a sample. Rows are numbered
+    inside their range and shifted by the sizes of the ranges before it, which
+    are a small table joined to them. Which range a row belongs to follows from
+    the data alone, so nothing has to be kept between the passes, and no job runs
+    before the result is asked for. ``order`` must be unique for the ids to be
+    stable.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = F.monotonically_increasing_id()
-    numbered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__slot", packed)
-        .checkpoint(eager=True)
+    ranges = min(_MOST_RANGES, 2 * (partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    keyed = df.withColumn("__key", F.struct(*order))
+    placed = keyed.withColumn("__bounds", _bounds(keyed.select("__key"), ranges))
+    placed = placed.withColumn("__range", _range_of(F.col("__bounds"), F.col("__key"))).drop("__bounds")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("__range")
+        .agg(F.count("*").alias("__n"))
+        .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     )
-    part = F.shiftrightunsigned("__slot", _POSITION_BITS)
-    position = F.col("__slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    sizes = {r["p"]: r["n"] for r in numbered.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
-    offsets, running = [], 0
-    for p in range(max(sizes, default=0) + 1):
-        offsets.append(F.lit(running).cast("long"))
-        running += sizes.get(p, 0)
+    within = F.row_number().over(Window.partitionBy("__range").orderBy("__key")).alias("__within")
+    numbered = placed.select("*", within).join(offsets, "__range")
     base = start if isinstance(start, Column) else F.lit(start)
-    # A constant array, indexed directly: one lookup per row however many partitions.
-    shift = F.element_at(F.array(*offsets), (part + 1).cast("int"))
-    return numbered.select((base + shift + position).cast("long").alias(name), *df.columns)
+    return numbered.select((base + F.col("__before") + F.col("__within") - 1).cast("long").alias(name), *df.columns)
 
 
 def next_id(df: DataFrame, column: str) -> Column:

@@ -235,8 +235,8 @@ def _dependency_check(**faulty):
     for t in TABLES.values():
         for left, right in dependencies(t):
             parts.append(f"SELECT '{t.name}' AS table_name, '{','.join(left)} -> {','.join(right)}' AS rule, "
-                         f"{_key_sql(left)} AS key, COUNT(*) AS n_rows "
-                         f"FROM (SELECT DISTINCT {', '.join(left + right)} FROM {source[t.name]}) AS pairs "
+                         f"{_key_sql(left)} AS key, CAST(SUM(n) AS BIGINT) AS n_rows "
+                         f"FROM (SELECT {', '.join(left + right)}, COUNT(*) AS n FROM {source[t.name]} GROUP BY ALL) AS pairs "
                          f"GROUP BY {', '.join(left)} HAVING COUNT(*) > 1")
     return prefix + _all(parts)
 

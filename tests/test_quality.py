@@ -79,6 +79,78 @@ def test_dense_ids_over_many_partitions(spark):
     assert got.filter("id = v + 9").count() == 5000
 
 
+def test_ids_need_no_job_and_no_copy_of_the_rows(spark):
+    from marketloom.operators import keys
+
+    data = spark.createDataFrame([(f"s{i % 97:03d}", None if i % 5 == 0 else i, i) for i in range(3000)], "a string, b long, c long")
+    spark.sparkContext.setJobGroup("ids", "ids")
+    got = keys.assign_ids(data, ["a", "b", "c"], "id", partitions=40)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ids")
+    spark.sparkContext.setJobGroup("", "")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan.replace("Scan ExistingRDD[a", "")
+    found = sorted(map(tuple, got.collect()))
+    wanted = sorted(((a, b, c) for a, b, c in map(tuple, data.collect())), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert found == [(i, *r) for i, r in enumerate(wanted, 1)]
+
+
+def test_rows_of_one_leading_value_are_spread_over_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import keys
+
+    data = spark.range(20000).select(F.lit("same").alias("a"), F.col("id").alias("b"))
+    keyed = data.withColumn("k", F.struct("a", "b"))
+    bounds = keys._bounds(keyed.select(F.col("k").alias("__key")), 64)
+    placed = keyed.withColumn("bounds", bounds).select(keys._range_of(F.col("bounds"), F.col("k")).alias("r"))
+    sizes = [r["count"] for r in placed.groupBy("r").count().collect()]
+    assert len(sizes) >= 64 and max(sizes) < 20000 / 64 * 2.5
+
+
+def faulty(spark):
+    """Tables that break every kind of rule, some rows several rules at once."""
+    t = dict(full(spark))
+    industry = t["Industry"]
+    t["Industry"] = industry.unionByName(industry.withColumn("sector_id", industry.sector_id + 50))
+    t["Price"] = t["Price"].unionByName(t["Price"].selectExpr(
+        "security_id", "cast(null as date) as trade_date", "open", "high", "low", "cast(null as decimal(12,4)) as close", "-volume - 1 as volume"))
+    t["Security"] = t["Security"].unionByName(t["Security"].selectExpr(
+        "security_id + 900 as security_id", "ticker", "exchange_id", "repeat('x', 11) as currency", "'bond' as security_type"))
+    return t
+
+
+def test_all_checks_together_find_what_each_finds(spark):
+    t = faulty(spark)
+    checks = (constraints.primary_keys, constraints.unique_sets, constraints.foreign_keys, constraints.value_checks, constraints.not_null,
+              constraints.value_sets, constraints.text_lengths, constraints.subtype_agreement, constraints.functional_dependencies)
+    single = [sorted(map(tuple, check(t).collect())) for check in checks]
+    assert all(single[:7]) and single[8]
+    assert sorted(map(tuple, constraints.all_violations(t).collect())) == sorted(r for found in single for r in found)
+
+
+def test_dependencies_take_one_exchange_per_key_set(spark):
+    t = market(spark)
+    found = constraints.functional_dependencies(t, only=["Price"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+    both = constraints.functional_dependencies(t, only=["Financial_Snapshot"])._jdf.queryExecution().executedPlan().toString()
+    assert both.count("Exchange ") == 2
+
+
+def test_row_rules_scan_a_table_once(spark, folder):
+    t = dict(full(spark))
+    t["Price"].write.parquet(f"{folder}/p")
+    t["Price"] = spark.read.parquet(f"{folder}/p")
+    plan = constraints.all_violations(t, only=["Price"])._jdf.queryExecution().executedPlan().toString()
+    # Row rules, the key set and the reference: one scan each.
+    assert plan.count("FileScan parquet") == 3
+
+
+def test_a_missing_value_is_a_value_of_a_dependent(spark):
+    t = {"Stock": spark.createDataFrame([(1, 1), (1, None), (2, None), (2, None), (3, 5), (3, 5)], "security_id long, company_id long")}
+    assert rows(constraints.functional_dependencies(t)) == [("Stock", "security_id -> company_id", "1", 2)]
+
+
 def test_deletes_and_renames_follow_the_references(spark):
     t = full(spark)
     gone = spark.createDataFrame([(1,)], "security_id long")
