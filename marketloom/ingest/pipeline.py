@@ -3,24 +3,117 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.ingest import fixed_values as fixed
 from marketloom.ingest import market, reference
+from marketloom.quality import constraints
 from marketloom.schema import TABLES
+from marketloom.sources import files, store
 from marketloom.sources.files import conform
 
+CONSTITUENTS = "constituents"
+# Landed files besides the list of members: tab-separated, one folder each, with these columns.
+LAYOUTS = {
+    "prices": "symbol string, trade_date date, open double, high double, low double, close double, volume double",
+    "fund_info": "symbol string, long_name string, short_name string, expense_a double, expense_b double",
+    "chain": "underlying string, expiration_date date, option_type string, strike decimal(12,2), "
+             "implied_volatility double, open_interest int",
+    "info": "symbol string, market_cap long, trailing_pe double, trailing_eps double, beta double",
+    "actions": "symbol string, action_date date, kind string, value double",
+}
+
+
+@dataclass(frozen=True)
+class Curated:
+    """What is chosen rather than delivered: funds, contracts to follow, and portfolios.
+
+    ``funds``: position, symbol, name_fallback, expense_fallback. ``options``:
+    position, underlying, expiration_date, strike, option_type, iv_fallback,
+    oi_fallback. Positions count from 0 and give the order of the ids.
+    ``holdings`` names securities by ticker.
+    """
+
+    funds: DataFrame
+    options: DataFrame
+    portfolios: DataFrame
+    holdings: DataFrame
+
+    @classmethod
+    def standard(cls, spark: SparkSession) -> Curated:
+        options = spark.createDataFrame(
+            [(i, *o) for i, o in enumerate(fixed.OPTIONS)],
+            "position long, underlying string, expiration string, strike double, option_type string, "
+            "iv_fallback double, oi_fallback int",
+        )
+        return cls(
+            funds=spark.createDataFrame(
+                [(i, *f) for i, f in enumerate(fixed.FUNDS)],
+                "position long, symbol string, name_fallback string, expense_fallback double",
+            ),
+            options=options.withColumn("expiration_date", F.to_date("expiration")).withColumn(
+                "strike", F.col("strike").cast("decimal(12,2)")
+            ),
+            portfolios=spark.createDataFrame(
+                list(fixed.PORTFOLIOS), "portfolio_id long, portfolio_name string, owner_name string"
+            ),
+            holdings=spark.createDataFrame(
+                [(p, t, float(s), c) for p, t, s, c in fixed.HOLDINGS],
+                "portfolio_id long, ticker string, shares double, average_cost double",
+            ),
+        )
+
+
+def land(raw: Mapping[str, DataFrame], root: str) -> None:
+    """Writes raw data as the files that ``landed`` reads; members in the order of their ``ordinal``."""
+    files.write_constituents(raw[CONSTITUENTS].orderBy("ordinal"), f"{root}/{CONSTITUENTS}")
+    for name, layout in LAYOUTS.items():
+        rows = raw[name]
+        columns = [c.strip().rsplit(" ", 1) for c in layout.replace("(12,2)", "(12;2)").split(",")]
+        files.write_tsv(rows.select(*[F.col(c).cast(t.replace(";", ",")) for c, t in columns]), f"{root}/{name}")
+
+
+def landed(spark: SparkSession, root: str, fallback: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The landed files as typed rows; ``fallback`` stands in for an empty list of members."""
+    members = files.read_constituents(spark, f"{root}/{CONSTITUENTS}")
+    raw = {CONSTITUENTS: members if fallback is None else files.first_available(members, fallback)}
+    for name, layout in LAYOUTS.items():
+        raw[name] = files.read_tsv(spark, f"{root}/{name}", spark.createDataFrame([], layout).schema)
+    return raw
+
+
+def load(spark: SparkSession, landing: str, root: str, curated: Curated | None = None, **params) -> int:
+    """Landed files to a new version of the store: read, cleaned, numbered, checked against every rule, committed."""
+    built = build_tables(landed(spark, landing), curated, **params)
+    return store.full_refresh(spark, built, root, check=constraints.all_violations)
+
+
+def refresh(spark: SparkSession, landing: str, root: str, today, curated: Curated | None = None, **params) -> list[int] | int:
+    """The run of a day: everything on a Sunday or into an empty store, only the prices of the landed days else.
+
+    A daily run takes the ids of the current load, and rewrites the years it has
+    prices of; it returns these years, a full run its version.
+    """
+    mode = spark.range(1).select(market.run_mode(F.lit(today).cast("date"))).first()[0]
+    if mode == market.FULL or not store.current_version(spark, root):
+        return load(spark, landing, root, curated, mode=mode, today=today, **params)
+    tables = store.open_store(spark, root)
+    first, last = market.date_range(params.get("start"), params.get("end"), today)
+    days = landed(spark, landing)["prices"].filter(F.col("trade_date").between(first, last))
+    return store.load_days(spark, root, market.clean_prices(days, tables["Security"]))
+
 
 def build_tables(
-    raw: Mapping[str, DataFrame], *, mode: str = market.DAILY, start=None, end=None, today=None,
-    max_symbols: int | None = None,
+    raw: Mapping[str, DataFrame], curated: Curated | None = None, *, mode: str = market.DAILY, start=None, end=None,
+    today=None, max_symbols: int | None = None,
 ) -> dict[str, DataFrame]:
     """Builds every table from ``constituents``, ``prices``, ``fund_info``, ``chain``, ``info`` and ``actions``.
 
-    The curated parts (exchanges, funds, options, sample portfolios) are small
-    constants; all sizes that follow the market are joins and aggregations.
+    Sizes that follow the market are joins and aggregations; the curated lists
+    are small, and constants unless given.
     """
     spark = raw["constituents"].sparkSession
     first, last = market.date_range(start, end, today)
@@ -28,17 +121,12 @@ def build_tables(
     sectors = reference.sector_table(members)
     industries = reference.industry_table(members, sectors)
     listing = reference.listing_tables(members, industries)
-    with_funds = reference.append_funds(listing.security)
+    curated = curated or Curated.standard(spark)
+    funds = curated.funds.select("position", F.col("symbol").alias("ticker"))
+    with_funds = reference.append_securities(listing.security, funds, "etf", fixed.SECOND_EXCHANGE)
 
-    targets = (
-        spark.createDataFrame(
-            [(i, *o) for i, o in enumerate(fixed.OPTIONS)],
-            "position long, underlying string, expiration string, strike double, option_type string, "
-            "iv_fallback double, oi_fallback int",
-        )
-        .withColumn("expiration_date", F.to_date("expiration"))
-        .withColumn("strike", F.col("strike").cast("decimal(12,2)"))
-        .withColumn("ticker", reference.option_symbol("underlying", "expiration_date", "option_type", "strike"))
+    targets = curated.options.withColumn(
+        "ticker", reference.option_symbol("underlying", "expiration_date", "option_type", "strike")
     )
     added = reference.added_securities(
         with_funds, targets.select("position", "ticker"), "option", fixed.OPTION_EXCHANGE
@@ -47,22 +135,17 @@ def build_tables(
     # Tickers are cut to their length, so two contracts may share one: join on the position.
     option_ids = added.select("position", "security_id")
     underlying_ids = with_funds.select(F.col("ticker").alias("underlying"), F.col("security_id").alias("underlying_id"))
-    quoted = market.nearest_strikes(targets.join(underlying_ids, "underlying", "left"), raw["chain"])
+    chain = raw["chain"]
+    if "underlying" in chain.columns:
+        chain = chain.join(underlying_ids, "underlying")
+    quoted = market.nearest_strikes(targets.join(underlying_ids, "underlying", "left"), chain)
     options = quoted.join(option_ids, "position").select(
         (F.col("position") + 1).alias("option_id"), "security_id", "expiration_date",
         F.col("strike").alias("strike_price"), "option_type", "implied_volatility", "open_interest",
     )
 
-    funds = spark.createDataFrame(
-        list(fixed.FUNDS), "symbol string, name_fallback string, expense_fallback double"
-    )
     fund_ids = with_funds.filter(F.col("security_type") == "etf").select(F.col("ticker").alias("symbol"), "security_id")
-    etfs = market.fund_metadata(funds, raw["fund_info"]).join(fund_ids, "symbol")
-
-    holdings = spark.createDataFrame(
-        [(p, t, float(s), c) for p, t, s, c in fixed.HOLDINGS],
-        "portfolio_id long, ticker string, shares double, average_cost double",
-    )
+    etfs = market.fund_metadata(curated.funds, raw["fund_info"]).join(fund_ids, "symbol")
     scope = market.fundamentals_scope(members, mode)
     built = {
         "Sector": sectors,
@@ -75,10 +158,8 @@ def build_tables(
         "Stock": listing.stock,
         "ETF": etfs,
         "Option_Contract": options,
-        "Portfolio": spark.createDataFrame(
-            list(fixed.PORTFOLIOS), "portfolio_id long, portfolio_name string, owner_name string"
-        ),
-        "Holding": reference.resolve_holdings(holdings, with_funds),
+        "Portfolio": curated.portfolios,
+        "Holding": reference.resolve_holdings(curated.holdings, with_funds),
         "Price": market.clean_prices(raw["prices"].filter(F.col("trade_date").between(first, last)), with_funds),
         "Financial_Snapshot": market.snapshot_table(
             market.clean_snapshots(scope, raw["info"], listing.security, last)

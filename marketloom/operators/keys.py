@@ -69,6 +69,25 @@ def rows_of(rows: DataFrame, keys: DataFrame, key: str = "security_id") -> DataF
     A semi join picks the rows; the smallest and largest key, as scalar
     subqueries, reach the file scan before it, so row groups are skipped.
     """
+    return range_of(rows, keys, key).join(keys.select(key), key, "left_semi")
+
+
+def range_of(rows: DataFrame, keys: DataFrame, key: str = "security_id") -> DataFrame:
+    """Rows between the smallest and the largest key, for a join on the key that follows."""
     keys = keys.select(key)
-    low, high = keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()
-    return rows.filter(F.col(key).between(low, high)).join(keys, key, "left_semi")
+    return rows.filter(F.col(key).between(keys.agg(F.min(key)).scalar(), keys.agg(F.max(key)).scalar()))
+
+
+#: Parts that the rows of a key are dealt into before a join with unique rows.
+SLOTS = 16
+
+
+def join_dealt(rows: DataFrame, unique: DataFrame, key: str, deal_by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row per key of ``unique``, however many rows a key has.
+
+    The rows of a key are dealt into slots by another column, and the unique row
+    is repeated for each slot.
+    """
+    slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("__slot")
+    dealt = rows.withColumn("__slot", F.pmod(F.xxhash64(deal_by), F.lit(SLOTS)).cast("int"))
+    return dealt.join(unique.select("*", slots), [key, "__slot"], how).drop("__slot")

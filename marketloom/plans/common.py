@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import day, pct_change, same_text, year_before
@@ -40,9 +40,14 @@ def dated(rows: DataFrame, column: str, start=None, end=None) -> DataFrame:
     return rows.filter(F.col(year) <= F.year(day(end))) if split else rows
 
 
+def ticker_key(securities: DataFrame) -> Column:
+    """The upper-case ticker. The store holds it as a column, which a comparison reaches in the file scan."""
+    return F.col("ticker_key") if "ticker_key" in securities.columns else F.upper("ticker")
+
+
 def listings(tables: Tables, ticker: str) -> DataFrame:
     """Securities listed under a ticker: one per exchange at most."""
-    return tables["Security"].filter(F.upper("ticker") == ticker.strip().upper())
+    return tables["Security"].filter(ticker_key(tables["Security"]) == ticker.strip().upper())
 
 
 def of_ticker(tables: Tables, name: str, ticker: str | None) -> DataFrame:

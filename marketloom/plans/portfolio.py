@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import leading_number, ratio, round_half_away, same_text
 from marketloom.operators import timeseries as ts
-from marketloom.operators.keys import assign_ids, next_id, rows_of
-from marketloom.plans.common import DEFAULT_START, Tables, dated, trailing_dividends
+from marketloom.operators.keys import assign_ids, join_dealt, next_id, range_of, rows_of
+from marketloom.plans.common import DEFAULT_START, Tables, dated, ticker_key, trailing_dividends
 
 # Owner marker, defaults and messages of the portfolio operations.
 USER_PREFIX = "u:"
@@ -98,7 +98,7 @@ def saved_holdings(tables: Tables, portfolio_id: int | None = None, owner: str |
             ~_is_user(F.col("owner_name")) | same_text("owner_name", F.lit(owner.strip(_BLANKS)))
         )
         rows = rows.join(visible.select("portfolio_id"), "portfolio_id", "left_semi")
-    named = rows.join(tables["Security"].select("security_id", F.upper("ticker").alias("ticker")), "security_id")
+    named = rows.join(tables["Security"].select("security_id", ticker_key(tables["Security"]).alias("ticker")), "security_id")
     return named.groupBy("portfolio_id", "ticker").agg(
         F.max_by(F.col("shares").cast("double"), "security_id").alias("shares"),
         F.max_by(F.col("average_cost").cast("double"), "security_id").alias("cost"),
@@ -114,29 +114,23 @@ def resolve_holdings(tables: Tables, portfolio_id: int = 0, specs: DataFrame | N
 
 
 def _ticker_ids(tables: Tables, tickers: DataFrame | None) -> DataFrame:
-    """(ticker, security_id), the lowest id where several exchanges list a ticker."""
-    listed = tables["Security"].select(F.upper("ticker").alias("ticker"), "security_id")
+    """(ticker, security_id, security_type), of the lowest id where several exchanges list a ticker."""
+    listed = tables["Security"].select(ticker_key(tables["Security"]).alias("ticker"), "security_id", "security_type")
     if tickers is not None:
         listed = listed.join(tickers.select("ticker"), "ticker", "left_semi")
-    return listed.groupBy("ticker").agg(F.min("security_id").alias("security_id"))
-
-
-def _narrowed(tables: Tables, ids: DataFrame) -> Tables:
-    """Security-keyed tables cut down to some ids."""
-    names = ("Security", "Stock", "Price", "Corporate_Action")
-    return ChainMap({name: rows_of(tables[name], ids) for name in names}, tables)
+    lowest = listed.groupBy("ticker").agg(F.min(F.struct("security_id", "security_type")).alias("lowest"))
+    return lowest.select("ticker", "lowest.*")
 
 
 def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None, few: bool = False) -> DataFrame:
     """Per ticker: security, company, sector, latest close and a year of dividends per share.
 
-    ``few`` says that the tickers are those of a portfolio or two: the tables are
+    ``few`` says that the tickers are those of a portfolio or two: the facts are
     cut down to their ids before anything else. The result is the same without.
     """
     ids = _ticker_ids(tables, tickers)
     if few:
-        tables = _narrowed(tables, ids)
-        ids = _ticker_ids(tables, tickers)
+        tables = ChainMap({name: rows_of(tables[name], ids) for name in ("Price", "Corporate_Action")}, tables)
     classified = (
         tables["Stock"]
         .join(tables["Company"].select("company_id", "company_name", "industry_id"), "company_id", "left")
@@ -146,8 +140,7 @@ def reference(tables: Tables, tickers: DataFrame | None = None, as_of=None, few:
     )
     closes = ts.latest_per_key(tables["Price"], "security_id", "trade_date", ["close"])
     return (
-        ids.join(tables["Security"].select("security_id", "security_type"), "security_id")
-        .join(classified, "security_id", "left")
+        ids.join(classified, "security_id", "left")
         .join(closes.select("security_id", F.col("close").alias("latest_close")), "security_id", "left")
         .join(trailing_dividends(tables, as_of), "security_id", "left")
         .select(
@@ -167,8 +160,9 @@ def value_holdings(tables: Tables, holdings: DataFrame, as_of=None, few: bool =
     ref = reference(tables, holdings.select("ticker").distinct(), as_of, few)
     known = F.col("security_id").isNotNull()
     fund = F.col("security_type") == "etf"
+    joined = holdings.join(ref, "ticker", "left") if few else join_dealt(holdings, ref, "ticker", "portfolio_id", "left")
     rows = (
-        holdings.join(ref, "ticker", "left")
+        joined
         .withColumn("mv", F.col("latest_close") * F.col("shares"))
         .withColumn("cb", F.col("cost") * F.col("shares"))
         .withColumn("pl", F.col("mv") - F.col("cb"))
@@ -197,13 +191,12 @@ SLOT_POSITIONS = 10_000
 
 def value_series(tables: Tables, holdings: DataFrame, start=DEFAULT_START, end=None, few: bool = False) -> DataFrame:
     """Value per portfolio and trading day; a holding without a price that day adds nothing."""
-    tickers = holdings.select("ticker").distinct()
-    ids = _ticker_ids(tables, tickers)
-    if few:
-        tables = _narrowed(tables, ids)
-        ids = _ticker_ids(tables, tickers)
-    positions = holdings.join(ids, "ticker").select("portfolio_id", "security_id", "shares")
+    ids = _ticker_ids(tables, holdings.select("ticker").distinct())
+    joined = holdings.join(ids, "ticker") if few else join_dealt(holdings, ids, "ticker", "portfolio_id")
+    positions = joined.select("portfolio_id", "security_id", "shares")
     prices = dated(tables["Price"], "trade_date", start, end).select("security_id", "trade_date", "close")
+    if few:
+        prices = range_of(prices, ids)
     worth = F.col("close").cast("double") * F.col("shares")
     # A security may be in most portfolios: its positions are split into slots,
     # and its prices, one a day, are repeated for each.
@@ -291,7 +284,8 @@ def save_portfolios(tables: Tables, requests: DataFrame) -> Saved:
     winners = updates.join(last.select("request_id"), "request_id", "left_semi")
     targets = created.select("portfolio_id", "request_id").unionByName(updates.select("portfolio_id", "request_id"))
 
-    stored = entries.join(_ticker_ids(tables, entries.select("ticker").distinct()), "ticker").select(
+    ids = _ticker_ids(tables, entries.select("ticker").distinct())
+    stored = join_dealt(entries, ids, "ticker", "request_id").select(
         "request_id",
         "security_id",
         F.round("shares", 4).try_cast("decimal(14,4)").alias("shares"),

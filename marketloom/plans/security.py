@@ -17,6 +17,7 @@ from marketloom.plans.common import (
     labelled,
     of_ticker,
     stock_returns,
+    ticker_key,
     with_benchmark,
     with_ticker,
 )
@@ -77,7 +78,7 @@ def iv_term_structure(tables: Tables, ticker=DEFAULT_TICKER) -> DataFrame:
     ``%`` and ``_`` in the text act as wildcards; an empty text takes every contract.
     """
     pattern = f"{ticker.strip().upper()}%"
-    listed = tables["Security"].filter(F.upper("ticker").like(pattern)).select("security_id")
+    listed = tables["Security"].filter(ticker_key(tables["Security"]).like(pattern)).select("security_id")
     return (
         tables["Option_Contract"]
         .join(listed, "security_id")

@@ -58,6 +58,36 @@ def read_tsv(
     return reader.csv(path).select(*struct.fieldNames())
 
 
+def read_tsv_with_rejects(
+    spark: SparkSession, path, table: str, columns: list[str] | None = None, quoted: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that a table can take from tab-separated files, and the lines it can't.
+
+    Rejects are (table_name, file, line, reason): lines whose fields don't fit in
+    number or type, and lines without a value for a key or required column. Both
+    come from one plan over the lines, so every line but headers and blank ones is
+    in exactly one of them. ``path`` may be a list.
+    """
+    relation = TABLES[table]
+    order = columns or relation.columns
+    fields = [f"`{c}` {relation.struct[c].dataType.simpleString()}" for c in order]
+    options = {k: str(v) for k, v in _TSV.items() if k != "header"} | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__unread"}
+    if not quoted:
+        options["quote"] = ""
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    lines = lines.filter(~F.col("line").isin(_TSV["sep"].join(order), ""))
+    parsed = lines.withColumn("row", F.from_csv("line", ", ".join([*fields, "__unread string"]), options))
+    needed = [c.name for c in relation.cols if c.name in order and (c.required or c.name in relation.key)]
+    missing = F.concat_ws(", ", *[F.when(F.col(f"row.{c}").isNull(), F.lit(c)) for c in needed])
+    reason = F.when(F.col("row.__unread").isNotNull(), F.lit("fields do not fit")).when(
+        missing != "", F.concat(F.lit("no value for "), missing)
+    )
+    judged = parsed.withColumn("reason", reason)
+    good = judged.filter(F.col("reason").isNull()).select(*[F.col(f"row.{c}").alias(c) for c in relation.columns if c in order])
+    bad = judged.filter(F.col("reason").isNotNull()).select(F.lit(table).alias("table_name"), "file", "line", "reason")
+    return conform(good, relation), bad
+
+
 def write_tsv(rows: DataFrame, path: str) -> None:
     """Header and rows, tab-separated, NULL as ``\\N``; one file per partition."""
     rows.write.options(**_TSV).mode("errorifexists").csv(path)

@@ -10,11 +10,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.schema import DROP_ORDER, INT, LOAD_ORDER, TABLES
+from marketloom.quality.constraints import key_text
+from marketloom.schema import DROP_ORDER, INT, LOAD_ORDER, TABLES, TEXT
 from marketloom.sources.files import conform
 
 # Large tables are clustered on the key the analyses restrict and group by.
 CLUSTERED = {
+    "Security": ["ticker_key"],
     "Price": ["security_id", "trade_date"],
     "Financial_Snapshot": ["security_id", "snapshot_date"],
     "Corporate_Action": ["security_id", "action_date"],
@@ -22,28 +24,34 @@ CLUSTERED = {
 }
 # Price is also split by year, so that a date range skips whole folders.
 YEARLY = {"Price": "trade_date"}
+# Look-ups ignore case, so the store keeps the upper-case form as a column of its own. The rows lie in its
+# order and it has a Bloom filter: a look-up reads the row groups that can hold the ticker.
+SEARCHED = {"Security": ("ticker_key", "ticker")}
 
 
 def year_column(date: str) -> str:
     return f"{date}_year"
 
 
-def _write(rows: DataFrame, name: str, path: str) -> None:
+def _write(rows: DataFrame, name: str, path: str, **options: str) -> None:
     rows = conform(rows, TABLES[name])
     order = CLUSTERED.get(name)
-    if order is None:
-        rows.write.parquet(path)
-        return
-    if name in YEARLY:
-        date = YEARLY[name]
-        year = year_column(date)
-        rows = rows.withColumn(year, F.year(date))
+    if name in SEARCHED:
+        key, column = SEARCHED[name]
+        rows = rows.withColumn(key, F.upper(column))
+        options[f"parquet.bloom.filter.enabled#{key}"] = "true"
+    if order is not None:
+        split = []
+        if name in YEARLY:
+            date = YEARLY[name]
+            split = [year_column(date)]
+            rows = rows.withColumn(split[0], F.year(date))
         # Range partitioning on year and key gives each task one stretch of one
         # year: few files, and a heavy year or key is spread over many tasks.
-        rows = rows.repartitionByRange(year, *order).sortWithinPartitions(year, *order)
-        rows.write.partitionBy(year).parquet(path)
-        return
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+        rows = rows.repartitionByRange(*split, *order).sortWithinPartitions(*split, *order)
+        rows.write.options(**options).mode("overwrite").partitionBy(*split).parquet(path)
+    else:
+        rows.write.options(**options).mode("overwrite").parquet(path)
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame:
@@ -109,12 +117,38 @@ def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str
     return commit_tables(spark, {name: tables[name] for name in LOAD_ORDER}, root, check)
 
 
+def load_days(spark: SparkSession, root: str, rows: DataFrame, name: str = "Price") -> list[int]:
+    """Merges rows into a table split by year, by key, and returns the years rewritten; other years keep their files.
+
+    The years that the rows touch are read, merged and staged, and then replace
+    the old ones by dynamic partition overwrite: a daily run costs a year, not
+    the history. The version stays: each year is old until it is new, and a run
+    that fails can be repeated.
+    """
+    latest = _latest(spark, root)
+    if latest is None:
+        raise ValueError(f"nothing loaded under {root}")
+    folder, date, key = latest["tables"][name], YEARLY[name], list(TABLES[name].key)
+    rows = conform(rows, TABLES[name])
+    years = sorted(r[0] for r in rows.select(F.year(date)).distinct().collect())
+    if not years:
+        return years
+    held = _open(spark, latest["tables"])[name].filter(F.col(year_column(date)).isin(*years))
+    merged = held.join(rows.select(*key), key, "left_anti").select(*rows.columns).unionByName(rows)
+    staged = f"{root}/stage-{spark.range(1).select(F.expr('uuid()')).first()[0]}/{name}"
+    merged.write.parquet(staged)
+    _write(spark.read.schema(TABLES[name].struct).parquet(staged), name, folder, partitionOverwriteMode="dynamic")
+    return years
+
+
 def _open(spark: SparkSession, folders: Mapping[str, str]) -> dict[str, DataFrame]:
     found = {}
     for name in LOAD_ORDER:
         struct = TABLES[name].struct
         if name in YEARLY:
             struct = struct.add(year_column(YEARLY[name]), INT)
+        if name in SEARCHED:
+            struct = struct.add(SEARCHED[name][0], TEXT)
         found[name] = spark.read.schema(struct).parquet(folders[name])
     return found
 
@@ -139,31 +173,34 @@ def create_tables(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
 
 
 def save_tables(
-    spark: SparkSession, tables: Mapping[str, DataFrame], database: str = "default", buckets: int = 200
+    spark: SparkSession, tables: Mapping[str, DataFrame], database: str = "default", buckets: int = 200,
+    path: str | None = None, only: list[str] | None = None,
 ) -> list[str]:
-    """Saves the relations as catalog tables, security-keyed ones bucketed by security.
+    """Saves the relations as catalog tables, security-keyed ones bucketed and sorted by security.
 
     Windows, aggregations and joins on the security then need no shuffle. A
     bucket holds whole securities, and a security at most one row per day, so
-    buckets stay even. ``buckets`` should grow with the data.
+    buckets stay even. ``buckets`` should grow with the data. ``path`` names a
+    folder for the files, the catalog's own otherwise; ``only`` some of the tables.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
-    for name in LOAD_ORDER:
-        rows, order = conform(tables[name], TABLES[name]), CLUSTERED.get(name)
-        name = f"{database}.{name.lower()}"
-        if order is None:
-            rows.write.mode("overwrite").saveAsTable(name)
-        else:
+    for table in only or LOAD_ORDER:
+        rows, order = conform(tables[table], TABLES[table]), CLUSTERED.get(table)
+        name = f"{database}.{table.lower()}"
+        writer = rows.write
+        if order is not None and set(order) <= set(rows.columns):
             # One task per bucket keeps it to one sorted file per bucket.
-            rows = rows.repartition(buckets, order[0])
-            rows.write.mode("overwrite").bucketBy(buckets, order[0]).sortBy(*order).saveAsTable(name)
+            writer = rows.repartition(buckets, order[0]).write.bucketBy(buckets, order[0]).sortBy(*order)
+        if path is not None:
+            writer = writer.option("path", f"{path}/{table}")
+        writer.mode("overwrite").saveAsTable(name)
         names.append(name)
     return names
 
 
-def saved_tables(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
-    return {name: spark.table(f"{database}.{name.lower()}") for name in LOAD_ORDER}
+def saved_tables(spark: SparkSession, database: str = "default", only: list[str] | None = None) -> dict[str, DataFrame]:
+    return {name: spark.table(f"{database}.{name.lower()}") for name in only or LOAD_ORDER}
 
 
 def drop_tables(spark: SparkSession, prefix: str = "") -> list[str]:
@@ -184,3 +221,20 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         line = tables[name].agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         report = line if report is None else report.unionByName(line)
     return report
+
+
+def digests(tables: Mapping[str, DataFrame], only: list[str] | None = None) -> DataFrame:
+    """Rows and digest per table: equal for tables with the same rows, in whatever order and files.
+
+    The digest is the sum of 60-bit hashes of the rows as text, so it combines
+    before the shuffle, and repeated rows count.
+    """
+    report = None
+    for name in only or LOAD_ORDER:
+        text = key_text(TABLES[name].columns)
+        number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+        line = conform(tables[name], TABLES[name]).agg(
+            F.count("*").alias("n_rows"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("digest")
+        ).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+        report = line if report is None else report.unionByName(line)
+    return report

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.ingest import fixed_values as fixed
-from marketloom.ingest import market, reference
-from marketloom.schema import LOAD_ORDER
+from marketloom.ingest import market, pipeline, reference
+from marketloom.operators.keys import assign_ids
+from marketloom.quality.constraints import key_text
+from marketloom.schema import LOAD_ORDER, TABLES
+from marketloom.session import scratch_path
+from marketloom.sources import store
 from marketloom.sources.derived import WIDE_SLOTS
 from marketloom.sources.store import row_counts
-from marketloom.suite.registry import END, START, case
+from marketloom.suite.registry import END, START, case, line_sql
 
 _MEMBERS = """members AS (
         SELECT symbol, security, sector, sub_industry FROM (
@@ -250,3 +257,126 @@ def _(tables):
     f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {n}" for n in LOAD_ORDER), with_ids=True)
 def _(tables):
     return row_counts(tables)
+
+
+# -- the whole chain ----------------------------------------------------------------
+
+
+def _dashed(column):
+    return F.replace(column, F.lit("S"), F.lit("S-"))
+
+
+def _member(key):
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit("S-"), F.lpad(digits, F.greatest(F.lit(5), F.length(digits)), F.lit("0")))
+
+
+def _at_most(column, most):
+    return F.when(F.col(column) > most, most).otherwise(F.col(column)).alias(column)
+
+
+def delivered(tables):
+    """Raw data as its providers name it: member symbols throughout."""
+    info = tables["raw_etf_info"]
+    return {
+        "constituents": tables["raw_constituents"],
+        "prices": tables["raw_price"].withColumn("symbol", _dashed("symbol")),
+        "fund_info": info.select(F.concat(F.lit("F"), F.col("symbol")).alias("symbol"), "long_name", "short_name",
+                                 _at_most("expense_a", 0.9), _at_most("expense_b", 0.9)),
+        "chain": tables["raw_chain"].withColumn("underlying", _member("underlying_id")),
+        "info": tables["raw_info"].withColumn("symbol", _dashed("symbol")),
+        "actions": tables["raw_action"].withColumn("symbol", _dashed("symbol")),
+    }
+
+
+def chosen(tables):
+    """Curated lists that grow with the given tables: a fund per supplier, contracts with symbols of their own."""
+    funds = tables["raw_etf_info"].select(
+        F.concat(F.lit("F"), F.col("symbol")).alias("symbol"), F.concat(F.lit("Fund "), F.col("symbol")).alias("name_fallback"),
+        F.lit(0.5).alias("expense_fallback"))
+    targets = tables["option_target"].withColumn("underlying", _member("underlying_id")).drop("underlying_id")
+    named = targets.withColumn("ticker", reference.option_symbol("underlying", "expiration_date", "option_type", "strike"))
+    first = named.groupBy("ticker").agg(F.min("option_id").alias("option_id")).select("option_id")
+    options = assign_ids(targets.join(first, "option_id", "left_semi"), ["option_id"], "position", start=0)
+    return pipeline.Curated(
+        funds=assign_ids(funds, ["symbol"], "position", start=0),
+        options=options.drop("option_id"),
+        portfolios=tables["Portfolio"],
+        holdings=tables["raw_holding"].withColumn("ticker", _dashed("ticker")),
+    )
+
+
+_PADDED = "LPAD(CAST({0} AS VARCHAR), CAST(GREATEST(5, LENGTH(CAST({0} AS VARCHAR))) AS INT), '0')"
+_UNDERLYING = "'S-' || " + _PADDED.format("underlying_id")
+_CHAIN = f"""{_LISTED},
+    counted AS (SELECT CAST(COUNT(*) AS BIGINT) AS n FROM members),
+    fund_list AS (
+        SELECT ROW_NUMBER() OVER (ORDER BY symbol) AS place, 'F' || symbol AS symbol, symbol AS plain, long_name, short_name,
+               CASE WHEN expense_a > 0.9 THEN 0.9 ELSE expense_a END AS expense_a,
+               CASE WHEN expense_b > 0.9 THEN 0.9 ELSE expense_b END AS expense_b FROM raw_etf_info),
+    option_named AS (
+        SELECT *, {_UNDERLYING} AS underlying,
+               SUBSTR({_UNDERLYING} || STRFTIME(expiration_date, '%Y%m%d') || CASE option_type WHEN 'call' THEN 'C' ELSE 'P' END
+                      || LPAD(CAST(CAST(strike * 1000 AS BIGINT) AS VARCHAR),
+                              CAST(GREATEST(8, LENGTH(CAST(CAST(strike * 1000 AS BIGINT) AS VARCHAR))) AS INT), '0'), 1, 20) AS ticker
+        FROM option_target),
+    option_first AS (SELECT * FROM option_named QUALIFY ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY option_id) = 1),
+    option_list AS (SELECT * RENAME (option_id AS target_id), ROW_NUMBER() OVER (ORDER BY option_id) AS option_id FROM option_first),
+    fund_count AS (SELECT CAST(COUNT(*) AS BIGINT) AS n FROM fund_list),
+    listed AS (
+        SELECT id AS security_id, symbol AS ticker, CASE WHEN symbol IN ({_NAMES}) THEN 2 ELSE 1 END AS exchange_id, 'USD' AS currency,
+               'stock' AS security_type FROM numbered
+        UNION ALL SELECT n + place, symbol, 2, 'USD', 'etf' FROM fund_list, counted),
+    best AS (
+        SELECT t.target_id, c.implied_volatility, c.open_interest,
+               ROW_NUMBER() OVER (PARTITION BY t.target_id
+                   ORDER BY ABS(c.strike - t.strike), c.strike, c.implied_volatility NULLS FIRST, c.open_interest NULLS FIRST) AS turn
+        FROM option_list t JOIN raw_chain c USING (underlying_id, expiration_date, option_type) JOIN numbered ON symbol = underlying),
+    made_Sector AS (SELECT * FROM sectors),
+    made_Industry AS (SELECT * FROM industries),
+    made_Company AS (
+        SELECT id AS company_id, security AS company_name,
+               (SELECT MAX(industry_id) FROM industries WHERE industry_name = sub_industry) AS industry_id, 'US' AS country FROM numbered),
+    made_Exchange AS (SELECT * FROM (VALUES {", ".join(map(str, fixed.EXCHANGES))}) AS v(exchange_id, exchange_name, country, timezone)),
+    made_Security AS (
+        SELECT * FROM listed UNION ALL
+        SELECT c.n + f.n + option_id, ticker, 3, 'USD', 'option' FROM option_list, counted c, fund_count f),
+    made_Stock AS (SELECT id AS security_id, id AS company_id FROM numbered),
+    made_ETF AS (
+        SELECT n + place AS security_id, COALESCE(NULLIF(long_name, ''), NULLIF(short_name, ''), 'Fund ' || plain) AS fund_name,
+               COALESCE(ROUND(COALESCE(NULLIF(expense_a, 0), NULLIF(expense_b, 0)) * 100, 4), 0.5) AS expense_ratio
+        FROM fund_list, counted),
+    made_Option_Contract AS (
+        SELECT t.option_id, c.n + f.n + t.option_id AS security_id, t.expiration_date, t.strike AS strike_price, t.option_type,
+               COALESCE(b.implied_volatility, t.iv_fallback) AS implied_volatility,
+               CASE WHEN b.target_id IS NULL THEN t.oi_fallback ELSE COALESCE(b.open_interest, 0) END AS open_interest
+        FROM option_list t LEFT JOIN (SELECT * FROM best WHERE turn = 1) b USING (target_id), counted c, fund_count f),
+    made_Portfolio AS (SELECT * FROM Portfolio),
+    made_Holding AS (
+        SELECT portfolio_id, security_id, shares, average_cost FROM raw_holding h JOIN listed ON listed.ticker = REPLACE(h.ticker, 'S', 'S-')),
+    made_Price AS (
+        SELECT security_id, trade_date, open, high, low, close, COALESCE(volume, 0) AS volume
+        FROM raw_price JOIN listed ON ticker = REPLACE(symbol, 'S', 'S-')
+        WHERE close IS NOT NULL AND trade_date BETWEEN DATE '{START}' AND DATE '{END}'),
+    made_Financial_Snapshot AS (
+        SELECT id AS snapshot_id, id AS security_id, DATE '{END}' AS snapshot_date, market_cap, ROUND(NULLIF(trailing_pe, 0), 2) AS pe_ratio,
+               ROUND(NULLIF(trailing_eps, 0), 4) AS eps, ROUND(NULLIF(beta, 0), 4) AS beta
+        FROM numbered LEFT JOIN raw_info ON REPLACE(raw_info.symbol, 'S', 'S-') = numbered.symbol),
+    made_Corporate_Action AS (
+        SELECT ROW_NUMBER() OVER (ORDER BY numbered.symbol, kind = 'split', action_date, value) AS action_id, id AS security_id, action_date,
+               CASE WHEN kind = 'dividend' THEN 'dividend' WHEN value > 1 THEN 'split' ELSE 'reverse_split' END AS action_type, value AS amount
+        FROM raw_action JOIN numbered ON REPLACE(raw_action.symbol, 'S', 'S-') = numbered.symbol
+        WHERE action_date BETWEEN DATE '{START}' AND DATE '{END}')"""
+
+
+@case("ing_pipeline", sql=f"{_CHAIN} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, {line_sql(n)} AS line FROM made_{n}" for n in LOAD_ORDER))
+def _(tables):
+    """Landed files to the checked store, in one chain; every row of the thirteen tables as text."""
+    spark = tables.spark
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    pipeline.land(delivered(tables), landing)
+    pipeline.load(spark, landing, root, chosen(tables), mode=market.FULL, start=START, end=END)
+    loaded = store.open_store(spark, root)
+    lines = [loaded[n].select(F.lit(n).alias("table_name"), key_text(TABLES[n].columns).alias("line")) for n in LOAD_ORDER]
+    return reduce(DataFrame.unionByName, lines)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketloom.schema import TABLES
 from marketloom.sources.derived import DerivedTables
 from marketloom.suite.derived_sql import with_relations
 
@@ -23,6 +24,17 @@ OWNER = "u:3"
 PORTFOLIO = 3
 
 
+def column_sql(column) -> str:
+    """A column cast to its declared type."""
+    kind = column.type.simpleString()
+    return f"CAST({column.name} AS {({'string': 'varchar', 'int': 'integer'}.get(kind, kind)).upper()})"
+
+
+def line_sql(table: str) -> str:
+    """A row of a table as text, as ``key_text`` of all its columns gives it."""
+    return "CONCAT_WS('|', " + ", ".join(f"COALESCE(CAST({column_sql(c)} AS VARCHAR), 'NULL')" for c in TABLES[table].cols) + ")"
+
+
 @dataclass(frozen=True)
 class Case:
     run: Callable[[SparkSession, str], DataFrame]

@@ -172,3 +172,85 @@ def test_saving_and_deleting_by_name(spark):
     saved = catalog.run("pf_save", t, owner="u:9", portfolio_name="x", holdings="AAA:1:2").collect()
     assert [(r.saved, r.error) for r in saved] == [(1, None)]
     assert rows(catalog.run("pf_delete", t, owner="u:9", pid=12345).select("deleted")) == [(0,)]
+
+
+def test_lines_that_do_not_fit_are_returned(spark, folder):
+    with open(f"{folder}/t.tsv", "w") as f:
+        f.write("sector_id\tsector_name\n1\tTech\nabc\tFin\n3\n4\tA\tB\n\n\\N\tNone\n6\t\\N\n7\t\"quo\"\"ted\"\n")
+    good, bad = files.read_tsv_with_rejects(spark, f"{folder}/t.tsv", "Sector")
+    assert sorted(rows(good)) == [(1, "Tech"), (7, 'quo"ted')]
+    assert sorted((r.table_name, r.line, r.reason) for r in bad.collect()) == sorted([
+        ("Sector", "abc\tFin", "fields do not fit"), ("Sector", "3", "fields do not fit"), ("Sector", "4\tA\tB", "fields do not fit"),
+        ("Sector", "\\N\tNone", "no value for sector_id"), ("Sector", "6\t\\N", "no value for sector_name")])
+    assert {r.file.rsplit("/", 1)[1] for r in bad.collect()} == {"t.tsv"}
+    assert good.schema == TABLES["Sector"].struct
+
+
+def test_rejects_keep_nullable_columns_and_other_orders(spark, folder):
+    with open(f"{folder}/t.tsv", "w") as f:
+        f.write("trade_date\tsecurity_id\tclose\n2024-01-02\t1\t1.5\n2024-02-30\t1\t1.5\n")
+    good, bad = files.read_tsv_with_rejects(spark, f"{folder}/t.tsv", "Price", columns=["trade_date", "security_id", "close"])
+    assert [(r.security_id, r.trade_date, r.open, float(r.close), r.volume) for r in good.collect()] == [(1, d("2024-01-02"), None, 1.5, 0)]
+    assert [r.line for r in bad.collect()] == ["2024-02-30\t1\t1.5"]
+
+
+def stored_market(spark, folder):
+    t = market(spark, Price=prices(spark, (1, "2022-05-02", 1), (1, "2023-05-02", 2), (2, "2023-06-02", 3), (1, "2024-01-02", 4)))
+    store.full_refresh(spark, t, folder)
+    return t
+
+
+def files_of(spark, folder):
+    return {f.rsplit("/", 2)[1] + "/" + f.rsplit("/", 1)[1] for f in store.open_store(spark, folder)["Price"].inputFiles()}
+
+
+def test_a_daily_load_rewrites_only_the_years_it_touches(spark, folder):
+    stored_market(spark, folder)
+    before = files_of(spark, folder)
+    fresh = prices(spark, (1, "2023-05-02", 20), (2, "2023-05-03", 30), (1, "2025-01-02", 40))
+    assert store.load_days(spark, folder, fresh) == [2023, 2025]
+    after = files_of(spark, folder)
+    other = {f for f in before if "=2023" not in f}
+    assert other and other <= after
+    assert not {f for f in before if "=2023" in f} & after
+    got = sorted((r.security_id, str(r.trade_date), float(r.close)) for r in store.open_store(spark, folder)["Price"].collect())
+    assert got == [(1, "2022-05-02", 1.0), (1, "2023-05-02", 20.0), (1, "2024-01-02", 4.0), (1, "2025-01-02", 40.0),
+                   (2, "2023-05-03", 30.0), (2, "2023-06-02", 3.0)]
+    assert store.current_version(spark, folder) == 1
+    assert store.load_days(spark, folder, fresh.limit(0)) == []
+    # Loading the same days again changes nothing.
+    store.load_days(spark, folder, fresh)
+    assert sorted((r.security_id, str(r.trade_date), float(r.close)) for r in store.open_store(spark, folder)["Price"].collect()) == got
+
+
+def test_the_ticker_reaches_the_scan_of_the_store(spark, folder):
+    t = stored_market(spark, folder)
+    saved = store.open_store(spark, folder)
+    ticker = t["Security"].first()["ticker"]
+    found = security.close_series(saved, ticker=f" {ticker.lower()} ", start="2020-01-01", end="2030-01-01")
+    assert rows(found) == rows(security.close_series(t, ticker=ticker, start="2020-01-01", end="2030-01-01"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(ticker_key," + ticker.upper(), plan), plan
+    assert "upper(" not in plan
+
+
+def test_windows_over_bucketed_tables_need_no_exchange(spark):
+    from marketloom.suite import all_cases
+    from tests.conftest import SMALL
+
+    for key in ("win_lag_bucketed", "win_rows_stddev_bucketed"):
+        plan = all_cases()[key].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan, key
+
+
+def test_a_changed_cell_changes_the_digest(spark):
+    from pyspark.sql import functions as F
+
+    t = market(spark, Price=prices(spark, (1, "2024-01-02", 10), (2, "2024-01-02", 11), (2, "2024-01-03", None)))
+    plain = store.digests(t).collect()
+    assert sorted(plain) == sorted(store.digests({n: r.repartition(5) for n, r in t.items()}).collect())
+    changed = t["Price"].withColumn("close", F.when((F.col("security_id") == 2) & F.col("close").isNotNull(), 12).otherwise(F.col("close")))
+    other = {r.table_name: r.digest for r in store.digests({**t, "Price": changed}).collect()}
+    assert [r.table_name for r in plain if other[r.table_name] != r.digest] == ["Price"]
+    twice = store.digests({**t, "Price": t["Price"].union(t["Price"])}, only=["Price"]).first()
+    assert twice.digest != [r.digest for r in plain if r.table_name == "Price"][0]

@@ -134,3 +134,50 @@ def test_the_whole_pipeline_builds_valid_tables(spark):
     assert [(r[0], r[1], r[3], float(r[4]), r[5]) for r in snaps if r[3]] == [(1, 1, 5, 30.12, None)] and len(snaps) == 2
     option = [r for r in rows(built["Option_Contract"]) if r[0] == 1][0]
     assert (option[1], float(option[5]), option[6]) == (9, 0.3, 7)
+
+
+def test_a_week_of_runs_over_landed_files(spark, folder):
+    from marketloom.sources import store
+
+    def delivery(*days):
+        prices = [(s, d(day), 1.0, 1.0, 1.0, close, 5.0) for day, close in days for s in ("AAPL", "SPY")]
+        return {
+            "constituents": members(spark, (" AAPL", "Apple", "Tech", "Hard, ware"), ("BRK.B", "Berk", "Fin", "Ins"), ("AAPL", "Later", "Fin", "Ins")),
+            "prices": spark.createDataFrame(prices, pipeline.LAYOUTS["prices"]),
+            "fund_info": spark.createDataFrame([("SPY", "Spider", None, 0.000945, None)], pipeline.LAYOUTS["fund_info"]),
+            "chain": spark.createDataFrame([], pipeline.LAYOUTS["chain"]),
+            "info": spark.createDataFrame([("AAPL", 5, 30.123, 0.0, None)], pipeline.LAYOUTS["info"]),
+            "actions": spark.createDataFrame([("AAPL", d("2024-02-01"), "dividend", 0.25)], pipeline.LAYOUTS["actions"]),
+        }
+
+    def closes():
+        return sorted((str(r.trade_date), float(r.close)) for r in store.open_store(spark, f"{folder}/store")["Price"].collect())
+
+    # A Saturday with nothing loaded yet, the Sunday, and a Monday.
+    for n, (today, days) in enumerate([
+        ("2024-06-01", [("2023-12-29", 1.0), ("2024-05-31", 2.0)]), ("2024-06-02", [("2023-12-29", 1.0), ("2024-05-31", 3.0)]), ("2024-06-03", [("2024-06-03", 4.0)]),
+    ]):
+        pipeline.land(delivery(*days), f"{folder}/{n}")
+        done = pipeline.refresh(spark, f"{folder}/{n}", f"{folder}/store", today)
+        assert done == [1, 2, [2024]][n]
+    assert closes() == sorted([("2023-12-29", 1.0), ("2024-05-31", 3.0), ("2024-06-03", 4.0)] * 2)
+    saved = store.open_store(spark, f"{folder}/store")
+    assert [r.company_name for r in saved["Company"].orderBy("company_id").collect()] == ["Apple", "Berk"]
+    assert [r.industry_name for r in saved["Industry"].orderBy("industry_id").collect()] == ["Hard, ware", "Ins"]
+
+
+def test_a_load_that_breaks_a_rule_is_refused(spark, folder):
+    import dataclasses
+
+    import pytest
+
+    from marketloom.sources import store
+
+    raw = {name: spark.createDataFrame([], layout) for name, layout in pipeline.LAYOUTS.items()}
+    raw["constituents"] = members(spark, ("AAPL", "Apple", "Tech", "Hard"))
+    pipeline.land(raw, f"{folder}/in")
+    curated = pipeline.Curated.standard(spark)
+    wrong = dataclasses.replace(curated, holdings=curated.holdings.withColumn("shares", -curated.holdings.shares))
+    with pytest.raises(ValueError, match="rejected"):
+        pipeline.load(spark, f"{folder}/in", f"{folder}/store", wrong, today="2024-06-01")
+    assert store.current_version(spark, f"{folder}/store") == 0
