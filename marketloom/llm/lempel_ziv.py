@@ -282,14 +282,15 @@ def repeating_windows(texts: DataFrame, window: int = WINDOW, hot: int = HOT) ->
     """Of ``texts`` (did, tid, text as bytes), per text with repeating windows: did, tid, and spans of a first window and bits."""
     cuts = "did bigint, tid bigint, anchor bigint, stretch bigint, first int, windows int"
     cuts = stored(texts.mapInArrow(_cut(window), cuts))
-    shared = cuts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Stored sides: a join with an aggregate on the same key could not be split where a key is hot.
+    shared = stored(cuts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     cuts = stored(cuts.join(shared, "anchor", "left_semi"))
     groups = cuts.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), F.min(F.struct("did", "tid", "first", "windows")).alias("one"))
     groups = stored(groups.select("anchor", "stretch", "copies", "one.*"))
 
     # Undecided: stretches of an anchor that has several, one of them a single one.
     kinds = groups.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("least")).where("kinds > 1 and least = 1").select("anchor", "kinds")
-    wanted = groups.join(kinds, "anchor").groupBy("did", "tid").agg(F.collect_list(F.struct("anchor", "stretch", "copies", "kinds", "first", "windows")).alias("wanted"))
+    wanted = groups.join(stored(kinds), "anchor").groupBy("did", "tid").agg(F.collect_list(F.struct("anchor", "stretch", "copies", "kinds", "first", "windows")).alias("wanted"))
     ddl = "anchor bigint, stretch bigint, copies bigint, kinds bigint, did bigint, tid bigint, first int, windows int, words binary"
     open_ones = texts.join(wanted, ["did", "tid"]).select("did", "tid", "text", "wanted")
     open_ones = stored(open_ones.mapInArrow(_words_of(window), ddl))
@@ -301,7 +302,7 @@ def repeating_windows(texts: DataFrame, window: int = WINDOW, hot: int = HOT) ->
 
     ddl = "anchor bigint, hash bigint, did bigint, tid bigint, first int, copies bigint"
     single = open_ones.where(F.col("kinds") > hot).select("anchor", "did", "tid", "first", "words", "copies").mapInArrow(_windows_of(window), ddl)
-    twice = single.groupBy("anchor", "hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "hash")
+    twice = stored(single.groupBy("anchor", "hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "hash"))
     counted = single.where("copies = 1").join(twice, ["anchor", "hash"], "left_semi").select("did", "tid", "first", F.lit(1).cast("bigint").alias("bits"))
 
     several = groups.where("copies > 1").select("anchor", "stretch")
