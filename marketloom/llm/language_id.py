@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = 3  # longest n-gram: three code points fit one 64-bit number
@@ -115,16 +115,23 @@ def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
+def drawn(column: str, share: float) -> Column:
+    """True for that share of the ids, however small, by a 64-bit hash."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(column, F.lit(7)) < F.lit(int(share * 2.0**64) - (1 << 63)).cast("bigint")
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Profiles:
     """Profiles from ``labelled`` (``doc_id``, ``text``, ``lang``); rows without a text or language are left out."""
-    rows = labelled.where("lang is not null and text is not null").select("lang", "text", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)).alias("draw"))
+    rows = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     # One number per language.
     share = {r["lang"]: min(1.0, sample / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
         return Profiles({})
     chosen = None
     for language, part in share.items():
-        one = (F.col("lang") == language) & (F.col("draw") < int(part * 1_000_000))
+        one = (F.col("lang") == language) & drawn("doc_id", part)
         chosen = one if chosen is None else chosen | one
     counts = rows.where(chosen).select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

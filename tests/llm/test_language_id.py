@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from marketloom.llm import language_id as li
 from marketloom.llm.queries import QUERIES
@@ -90,3 +91,10 @@ def test_nothing_learned(spark):
     profiles = li.fit(frame(spark, []))
     assert profiles.predict("some text") == ("und", 0.0)
     assert li.identify(frame(spark, []), profiles).collect() == []
+
+
+@pytest.mark.parametrize("share,rows", [(1e-7, 300_000_000), (0.25, 100_000), (1.0, 1000), (0.0, 1000)])
+def test_a_share_draws_its_part_of_the_rows(spark, share, rows):
+    """Also where it is far below one in a million."""
+    found = spark.range(rows, numPartitions=8).where(li.drawn("id", share)).count()
+    assert abs(found - share * rows) <= 5 * (share * (1 - share) * rows) ** 0.5
