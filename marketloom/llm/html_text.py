@@ -1,17 +1,20 @@
 """Main text of web pages: flat text blocks, classified with their neighbours by a decision tree.
 
-A page is read once, from tag to tag, into flat blocks: the text between two tags that begin or end a block.  Each block
-has its words and the share of them in links, the same of the block before and after it, whether it is a heading, and
-the kind of the nearest container around it that tells one: article, or surroundings (navigation, page header, footer,
+A page is read from tag to tag into flat blocks: the text between two tags that begin or end a block.  Each block has its
+words and the share of them in links, the same of the block before and after it, whether it is a heading, and, as a hint,
+the kind of the nearest element around it that tells one: article, or surroundings (navigation, page header, footer,
 sidebar, form, or a class, id or role that names such a part, an advert, a notice or reader comments).  A decision tree
 (CART, Gini impurity), trained on the labelled table in ``labelled_blocks``, keeps or drops each block; kept blocks are
-joined in page order.
+joined in page order.  The tree is also trained on every page with all hints withheld, so it decides by words and links where
+a page gives none.
 
 Pages are independent, so one pass over the table does it, without a shuffle.
 
-Rules: a null html is empty; comments, scripts, styles, templates and the head are no text; character references are
-decoded; white space, a line break included, becomes one space; an unclosed comment or script reaches to the end; a
-closing tag closes what was opened inside it, a stray one is ignored; other columns are ignored.
+Rules: a null html is empty; comments, scripts, styles, the head, what is hidden, and elements that hold no running text
+(templates, drawings, objects, selections) are no text; such an element without a closing tag of its own ends at its tag.
+Character references are decoded; white space, a line break included, becomes one space; an unclosed comment, script or
+style reaches to the end; ``<x/>`` is empty; attributes count by their whole names; a closing tag closes what was opened
+inside it, a stray one is ignored; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,16 +33,19 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.labelled_blocks import PAGES
 
-DEPTH = 6  # of the decision tree
+DEPTH, LEAST = 7, 6  # of the decision tree, and of rows in a leaf
+WITH_HINTS = 4  # times that a page is trained on with its hints, and once without
 
+_ATTRIBUTES = r"(?:[^>\"'=/]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+|[\"']|/(?!>))*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|svg|title|textarea|select|iframe|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?P<raw>script|style)\b{_ATTRIBUTES}(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<attributes>{_ATTRIBUTES})(?P<empty>/?)>"
     r"|<[!?/][^>]*>",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
+_INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 
 BLOCKS = frozenset(
@@ -46,14 +53,25 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th "
     "thead tr ul button".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr p li dt dd td th tr option".split())
-OUTSIDE = frozenset("nav header footer aside form menu dialog head button fieldset".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that end where another one of these begins.
+ENDED_BY = {
+    "p": BLOCKS, "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "td": frozenset(["td", "th", "tr"]),
+    "th": frozenset(["td", "th", "tr"]), "tr": frozenset(["tr"]), "option": frozenset(["option", "optgroup"]),
+}
+NO_TEXT = frozenset("head title template noscript svg math textarea select option iframe object canvas audio video datalist".split())
+OUTSIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
 INSIDE = frozenset("article main".split())
-OUTSIDE_WORDS = frozenset(
-    "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
-    "alert popup modal overlay sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments "
-    "disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login search form widget "
-    "toolbar pagination pager copyright legal disclaimer skip contentinfo complementary dialog hidden teaser outbrain taboola".split()
+#: Names of surroundings, also as a part of a longer name.
+OUTSIDE_PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup modal overlay "
+    "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus newsletter subscribe "
+    "subscription signup login widget toolbar pagination pager outbrain taboola".split()
+)
+#: Words that name surroundings only where they stand alone.
+OUTSIDE_NAMES = frozenset(
+    "notice notices alert aside reply replies respond share sharing social related recommended search form copyright legal disclaimer skip "
+    "contentinfo complementary dialog teaser".split()
 )
 INSIDE_WORDS = frozenset("article main content post entry story text body".split())
 
@@ -67,25 +85,53 @@ class Block:
     heading: bool
 
 
-def _kind(tag: str, attributes: str, inside: bool) -> int:
-    """1 for an article's container, -1 for one of its surroundings, 0 for neither."""
-    words: set[str] = set()
+def _kind(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """1 for an article's container, -1 for one of its surroundings, 0 for neither; and whether it is hidden."""
+    parts: set[str] = set()
+    names: set[str] = set()
+    hidden = False
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        words.update(["hidden"] if name.lower() == "hidden" else _PART.findall("".join(values).lower()))
-    if words & OUTSIDE_WORDS and not (words & {"header", "footer"} == words & OUTSIDE_WORDS and words & INSIDE_WORDS):
-        return -1
+        name, value = name.lower(), "".join(values).lower()
+        if name in ("class", "id", "role"):
+            names.update(value.split())
+            parts.update(_PART.findall(value))
+        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _INVISIBLE.search(html.unescape(value)):
+            hidden = True
+    outside = parts & OUTSIDE_PARTS
+    if names & OUTSIDE_NAMES or outside and not (outside <= {"header", "footer"} and parts & INSIDE_WORDS):
+        return -1, hidden
     if tag in INSIDE:
-        return 1
+        return 1, hidden
     if tag in OUTSIDE:
-        return 0 if tag == "header" and inside else -1
-    return 1 if words & INSIDE_WORDS and tag in BLOCKS else 0
+        return (0 if tag == "header" and inside else -1), hidden
+    return (1 if parts & INSIDE_WORDS and tag in BLOCKS else 0), hidden
+
+
+def _closed(tokens: list[re.Match]) -> set[int]:
+    """The opening tags (by their place) that have a closing tag of their own."""
+    found, opened, number = set(), [], Counter()
+    for k, token in enumerate(tokens):
+        tag = token["tag"]
+        if not tag or token["empty"] or tag.lower() in VOID:
+            continue
+        tag = tag.lower()
+        if not token["close"]:
+            opened.append((tag, k))
+            number[tag] += 1
+        elif number[tag]:
+            while opened[-1][0] != tag:
+                number[opened.pop()[0]] -= 1
+            found.add(opened.pop()[1])
+            number[tag] -= 1
+    return found
 
 
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
-    open_tags: list[tuple[str, int]] = []
+    opened: list[tuple[str, int, int]] = []  # tag, and the kind and the depth of what is no text around it
+    number: Counter = Counter()
     parts: list[str] = []
-    kind = linked = 0
+    kind = linked = silent = 0
     link = heading = False
     at = 0
 
@@ -98,40 +144,59 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    for token in _TOKEN.finditer(page):
+    def leave():
+        nonlocal kind, silent
+        tag, kind, silent = opened.pop()
+        number[tag] -= 1
+
+    tokens = list(_TOKEN.finditer(page))
+    closed = _closed(tokens)
+    for k, token in enumerate(tokens):
         text = page[at : token.start()]
         at = token.end()
-        if text:
+        if text and not silent:
             parts.append(text)
             if link:
                 linked += len(text.split())
         tag = token["tag"]
         if not tag:
-            if token["raw"]:
+            if token["raw"] and not silent:
                 parts.append(" ")
             continue
         tag = tag.lower()
+        block = tag in BLOCKS
+        if token["close"]:
+            if tag == "a":
+                link = False
+            if number[tag] or block:
+                flush()
+                heading = False if block else heading
+            if number[tag]:
+                while opened[-1][0] != tag:
+                    leave()
+                leave()
+            continue
         if tag == "a":
-            link = not token["close"]
-        elif tag == "br":
+            link = True
+        elif tag == "br" and not silent:
             parts.append(" ")
-        elif tag in BLOCKS:
+        if block:
             flush()
-            heading = tag[0] == "h" and tag[1:].isdigit() and not token["close"]
-            if tag in VOID:
-                continue
-            if not token["close"]:
-                own = _kind(tag, token["attributes"], kind > 0)
-                open_tags.append((tag, kind))
-                kind = own or kind
-                link = False
-            else:
-                for k in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[k][0] == tag:
-                        kind = open_tags[k][1]
-                        del open_tags[k:]
-                        break
-    if at < len(page):
+            heading = tag[0] == "h" and tag[1:].isdigit()
+            link = False
+            while opened and tag in ENDED_BY.get(opened[-1][0], ()):
+                leave()
+        if tag in VOID or token["empty"]:
+            continue
+        own, hidden = _kind(tag, token["attributes"], kind > 0)
+        no_text = (tag in NO_TEXT or hidden) and k in closed
+        if block or no_text or own:
+            if not block:
+                flush()
+            opened.append((tag, kind, silent))
+            number[tag] += 1
+            kind, silent = own or kind, silent + no_text
+    if at < len(page) and not silent:
         parts.append(page[at:])
     flush()
     return out
@@ -148,6 +213,12 @@ def features(found: list[Block]) -> np.ndarray:
     return np.stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], kind, heading], axis=1)
 
 
+def without_hints(x: np.ndarray) -> np.ndarray:
+    x = x.copy()
+    x[:, FEATURES.index("kind")] = 0
+    return x
+
+
 @dataclass
 class Node:
     """Rows whose feature is at most ``cut`` go left; a leaf has only ``share``, the part of kept rows."""
@@ -160,7 +231,8 @@ class Node:
 
 
 def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH) -> Node:
-    """The tree that splits each node where the summed Gini impurity falls most; ties go to the first feature."""
+    """The tree that splits each node where the summed Gini impurity falls most; ties go to the first feature.  Leaves hold
+    ``LEAST`` rows at least, so that no single page makes a rule of its own."""
     node = Node(float(y.mean()))
     if depth == 0 or node.share in (0.0, 1.0):
         return node
@@ -169,6 +241,8 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH) -> Node:
         values = np.unique(x[:, k])
         for cut in (values[:-1] + values[1:]) / 2:
             low = x[:, k] <= cut
+            if min(low.sum(), (~low).sum()) < LEAST:
+                continue
             impurity = sum(len(part) * part.mean() * (1 - part.mean()) for part in (y[low], y[~low]))
             if impurity < best:
                 best, node.feature, node.cut = impurity, k, float(cut)
@@ -196,8 +270,8 @@ def trained() -> Node:
         found = blocks("".join(piece for _, piece in page))
         if len(found) != len(marks):
             raise ValueError("a labelled page has blocks that run across its pieces")
-        x.append(features(found))
-        y += marks
+        x += [features(found)] * WITH_HINTS + [without_hints(features(found))]
+        y += marks * (WITH_HINTS + 1)
     return grow(np.concatenate(x), np.array(y, float))
 
 

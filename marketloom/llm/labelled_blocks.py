@@ -71,4 +71,62 @@ PAGES: list[list[tuple[str, str]]] = [
         ("+", "<p>The museum shows two hundred clocks, some of which still run and strike the hours one after another for a long while.</p><p>Entry is free on the first Sunday of every month, and children may wind the oldest clock if they ask at the desk.</p>"),
         ("-", "<p>Made with care</p>"),
     ],
+    # Articles whose own markup tells them, with short lines and links of theirs.
+    [
+        ("+", "<article><h1>Song of the mill</h1><p>Round</p><p>and round</p><p>it goes</p><p>Amen</p></article>"),
+        ("-", "<footer><a href='/'>Songs</a></footer>"),
+    ],
+    [
+        ("-", "<nav><a href='/'>Home</a><a href='/poems'>Poems</a></nav>"),
+        ("+", "<article><p>Snow on the gate,</p><p>nobody came,</p><p>nobody left.</p><p><a href='/poet'>The poet</a></p><p>1911</p></article>"),
+    ],
+    [
+        ("-", "<header><a href='/'>Archive</a></header>"),
+        ("+", "<main><h1>Index of letters</h1><ul><li><a href='/l1'>To his brother</a></li><li><a href='/l2'>To the bishop</a></li><li><a href='/l3'>To nobody</a></li></ul><p>End</p></main>"),
+        ("-", "<footer>Archive of the county</footer>"),
+    ],
+    [
+        ("+", "<article><p>Yes</p></article>"),
+    ],
+    [
+        ("-", "<aside><p>Your account and your orders can be found in the shop</p></aside>"),
+        ("+", "<article><h2>Parts</h2><p>One</p><p>Two</p><p><a href='/three'>Three</a></p></article>"),
+        ("-", "<div class='comments'><p>First</p><p>I have built it too and it works well</p></div>"),
+    ],
+    # Pages without telling names: what is around the text is told by words and links alone.
+    [
+        ("-", "<div><a href='/'>Home</a> <a href='/walks'>Walks</a> <a href='/maps'>Maps</a></div><div><a href='/login'>Log in</a></div>"),
+        ("+", "<h1>The mill path</h1><p>The path follows the stream from the old mill to the weir and crosses it twice on narrow wooden bridges.</p><p>After rain the second bridge can be slippery, and walkers with small children should take the lane above it.</p><p>Allow two hours for the round, or three if you mean to stop at the chapel and its garden.</p>"),
+        ("-", "<div><a href='/next'>Next walk</a></div><div><a href='/a'>Ridge</a> <a href='/b'>Lakes</a> <a href='/c'>Coast</a></div><div>Made in the valley</div>"),
+    ],
+    [
+        ("-", "<ul><li><a href='/1'>Politics</a></li><li><a href='/2'>Sport</a></li><li><a href='/3'>Weather</a></li><li><a href='/4'>Culture</a></li></ul>"),
+        ("+", "<h1>Harbour to be dredged</h1><p>The town will dredge the inner harbour in spring so that larger boats can land their catch at low tide.</p><p>Work is planned to last six weeks and will cost less than was feared a year ago.</p><p>Fishermen welcomed the plan, though some would have liked it to begin before the winter storms.</p>"),
+        ("-", "<div><a href='/5'>Boat races moved to June</a></div><div><a href='/6'>Old lighthouse gets a new lamp after all</a></div><div><a href='/7'>Letters</a></div>"),
+    ],
+    [
+        ("-", "<table><tr><td><a href='/'>Start</a></td><td><a href='/list'>List</a></td></tr></table>"),
+        ("+", "<p>In this lesson we look at how a sundial is laid out for the place where it is to stand, and why one bought elsewhere shows the wrong time.</p><p>You need a compass, a ruler and the latitude of your garden, which any map will tell you.</p><p>Draw the noon line first, then the hours on either side of it, as the table in the next lesson shows.</p>"),
+        ("-", "<p><a href='/l1'>Lesson one</a> | <a href='/l3'>Lesson three</a></p><p>Last changed in May</p>"),
+    ],
+    [
+        ("-", "<div><span><a href='/en'>English</a></span> <span><a href='/fr'>French</a></span></div><div><a href='/'>Museum</a> <a href='/tickets'>Tickets</a> <a href='/visit'>Visit</a></div>"),
+        ("+", "<h2>The clock room</h2><p>Forty clocks stand in this room, and on the hour those that still run strike one after another for nearly a minute.</p><h2>The garden</h2><p>The garden was laid out by the last owner, who grew only plants that flower at night.</p><ul><li>Open from ten to five every day but Monday</li><li>Children under six are free of charge</li></ul>"),
+        ("-", "<div><a href='/shop'>Shop</a></div><div><a href='/press'>Press</a> <a href='/jobs'>Jobs</a> <a href='/terms'>Terms</a></div>"),
+    ],
+    [
+        ("-", "<p><a href='/a'>Recipes</a> <a href='/b'>Ingredients</a> <a href='/c'>Kitchens</a></p>"),
+        ("+", "<h1>Bread with seeds</h1><p>Soak the seeds overnight in twice their weight of water, and mix them into the dough only when it has begun to rise.</p><p>Bake for forty minutes with steam.</p><p>The loaf keeps for a week in a cloth, and its taste is best on the second day, when the crust has softened a little.</p>"),
+        ("-", "<p><a href='/d'>Rye bread</a></p><p><a href='/e'>Flat bread from the hot stone</a></p><p><a href='/f'>All breads</a></p>"),
+    ],
+    [
+        ("-", "<div><a href='/'>Forum</a></div><div><a href='/r'>Rules</a></div>"),
+        ("+", "<p>I have measured the spring flow of our well every morning for eleven years and would like to share what I found.</p><p>It falls in May, whatever the winter was like, and comes back with the first long rain after the harvest.</p><p>The two driest years were not the hottest, which surprised me more than anything else in the figures.</p>"),
+        ("-", "<div><a href='/p1'>1</a> <a href='/p2'>2</a> <a href='/p3'>3</a></div><div><a href='/top'>Top of page</a></div>"),
+    ],
+    [
+        ("-", "<p><a href='/x'>Skip</a></p><p><a href='/y'>Index</a></p>"),
+        ("+", "<h1>Minutes of the meeting</h1><p>Present were nine members; three had sent their regrets.</p><p>The treasurer reported that the roof fund stands at two thirds of what is needed, and thanked all who gave.</p><p>See the <a href='/budget'>budget</a> for how the rest is to be raised before the builders come in autumn.</p><p>The meeting closed at ten.</p>"),
+        ("-", "<p><a href='/m1'>January</a> <a href='/m2'>February</a> <a href='/m3'>March</a></p>"),
+    ],
 ]
