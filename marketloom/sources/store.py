@@ -117,6 +117,25 @@ def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str
     return commit_tables(spark, {name: tables[name] for name in LOAD_ORDER}, root, check)
 
 
+def drop_old_loads(spark: SparkSession, root: str) -> list[str]:
+    """Deletes the folders that the last version doesn't name, of earlier, refused and staged loads, and returns them.
+
+    Readers of an earlier version lose their files, and so does a load that has
+    not committed yet: run it when there are none.
+    """
+    latest = _latest(spark, root)
+    used = {folder.rsplit("/", 1)[0].rsplit("/", 1)[1] for folder in latest["tables"].values()} if latest else set()
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for entry in files.listStatus(path) if latest else ():
+        name = entry.getPath().getName()
+        if name.startswith(("load-", "stage-")) and name not in used:
+            files.delete(entry.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
+
+
 def load_days(spark: SparkSession, root: str, rows: DataFrame, name: str = "Price") -> list[int]:
     """Merges rows into a table split by year, by key, and returns the years rewritten; other years keep their files.
 

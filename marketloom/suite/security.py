@@ -6,6 +6,10 @@ at once, which is the form meant for large tables.
 
 from __future__ import annotations
 
+from collections import ChainMap
+
+from pyspark.sql import functions as F
+
 from marketloom.plans import security as plan
 from marketloom.suite.derived_sql import pct, rounded
 from marketloom.suite.registry import AS_OF, END, START, TICKER, case
@@ -158,3 +162,25 @@ def _(tables):
     source="", count="contract_count", measures=_ACTIVE, only=f"expiration_date >= DATE '{AS_OF}'"))
 def _(tables):
     return plan.iv_active(tables, ticker=None, as_of=AS_OF)
+
+
+@case("s1_close_series_to_today", sql=f"""
+    SELECT trade_date, CAST(close AS DOUBLE) AS close FROM Price JOIN Security USING (security_id)
+    WHERE ticker = '{TICKER}' AND trade_date BETWEEN DATE '{START}' AND CURRENT_DATE""")
+def _(tables):
+    """A range without an end reaches to today."""
+    return plan.close_series(tables, ticker=TICKER, start=START)
+
+
+_MOVED = """WITH moved AS (
+    SELECT * REPLACE (expiration_date + CAST(CURRENT_DATE - DATE '2001-06-15' AS INTEGER) AS expiration_date) FROM Option_Contract)"""
+
+
+@case("q03_iv_active_today", sql=_IV.format(
+    source=_MOVED, count="contract_count", measures=_ACTIVE, only="expiration_date >= CURRENT_DATE"
+).replace("FROM Option_Contract JOIN", "FROM moved JOIN"))
+def _(tables):
+    """Contracts not expired today, of a chain whose second expiry is today."""
+    shift = F.datediff(F.current_date(), F.lit("2001-06-15").cast("date"))
+    moved = tables["Option_Contract"].withColumn("expiration_date", F.date_add("expiration_date", shift))
+    return plan.iv_active(ChainMap({"Option_Contract": moved}, tables), ticker=None)

@@ -254,3 +254,20 @@ def test_a_changed_cell_changes_the_digest(spark):
     assert [r.table_name for r in plain if other[r.table_name] != r.digest] == ["Price"]
     twice = store.digests({**t, "Price": t["Price"].union(t["Price"])}, only=["Price"]).first()
     assert twice.digest != [r.digest for r in plain if r.table_name == "Price"][0]
+
+
+def test_old_loads_are_dropped(spark, folder):
+    assert store.drop_old_loads(spark, folder) == []
+    t = stored_market(spark, folder)
+    store.commit_tables(spark, {"Price": t["Price"]}, folder)
+    with pytest.raises(ValueError, match="rejected"):
+        store.full_refresh(spark, t, folder, check=lambda tables: tables["Price"])
+    store.load_days(spark, folder, prices(spark, (1, "2023-05-02", 20)))
+    before = sorted(map(tuple, store.digests(store.open_store(spark, folder)).collect()))
+    # The refused load and the staged days go; the first load still holds twelve tables.
+    gone = store.drop_old_loads(spark, folder)
+    assert [name.split("-")[0] for name in gone] == ["load", "stage"]
+    assert sorted(map(tuple, store.digests(store.open_store(spark, folder)).collect())) == before
+    store.full_refresh(spark, t, folder)
+    assert len(store.drop_old_loads(spark, folder)) == 2
+    assert store.drop_old_loads(spark, folder) == []
