@@ -54,12 +54,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def in_target_shares(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with the words that the mixture of sources takes of it, repeats in order; the others go."""
+    """Each document with the words that the mixture of sources takes of it, repeats in order; the others go.
+
+    Null is a source like the others, the last one; null texts and texts without words hold nothing to take and go; a null
+    id is an id like others, and rows with equal ids and texts get the parts of one of them; an empty table stays empty.
+    """
     return mixed_documents(docs)
 
 
 def as_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the sequences that the documents' tokens are packed into."""
+    """The pieces of the sequences that the documents' tokens are packed into.
+
+    Every row is a document of its own, also with a null or repeated id; a null or empty text has only the closing id;
+    texts of any length are cut, never shortened; an empty table gives no pieces.
+    """
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
