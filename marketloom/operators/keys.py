@@ -21,9 +21,9 @@ def _bounds(keys: DataFrame, ranges: int) -> Column:
     return keys.select(F.filter("keys", lambda _, i: i % _SAMPLED == _SAMPLED - 1).alias("bounds")).scalar()
 
 
-def _range_of(bounds: Column, key: Column) -> Column:
-    """Number of bounds up to the key, by binary search."""
-    steps = F.array(*[F.lit(_MOST_RANGES >> k) for k in range(_MOST_RANGES.bit_length())])
+def _range_of(bounds: Column, key: Column, ranges: int = _MOST_RANGES) -> Column:
+    """Number of bounds (at most ``ranges``) up to the key, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(ranges.bit_length()))])
 
     def step(at, size):
         further = (at + size <= F.size(bounds)) & (F.get(bounds, at + size - 1) <= key)
@@ -45,7 +45,7 @@ def assign_ids(df: DataFrame, order: list, name: str, start=1, partitions: int |
     ranges = min(_MOST_RANGES, 2 * (partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keyed = df.withColumn("__key", F.struct(*order))
     placed = keyed.withColumn("__bounds", _bounds(keyed.select("__key"), ranges))
-    placed = placed.withColumn("__range", _range_of(F.col("__bounds"), F.col("__key"))).drop("__bounds")
+    placed = placed.withColumn("__range", _range_of(F.col("__bounds"), F.col("__key"), ranges)).drop("__bounds")
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__range")
