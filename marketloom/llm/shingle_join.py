@@ -5,12 +5,14 @@ groups, and the counts of the groups are the document's point.  Two sets share a
 smaller count, so the summed minima of two points, or of a point and the corner of an R-tree node, bound the overlap from
 above; pairs that survive are verified on the sets themselves.
 
-**Tiles.** The counts of random groups all lie close to their mean, closer than the reach of a link, so the upper
-levels of a tree over all documents would prune nothing.  The root is therefore split by content.  A link at similarity
-``s`` between sets of at most ``hi`` shingles (the smaller one) leaves at most ``d = floor(hi * (1 - s) / s)`` shingles
-unshared.  With the hash range cut into ``d + 1`` intervals, one interval at least has equal content in both sets: a
-pair can only link if it meets in the tile of some equal interval.  Documents that meet, directly or over others, form
-one candidate family; families are small, each document belongs to one, and an R-tree join runs inside each.
+**Candidates.** All shingles have one order, the ``COMMON`` ones that most documents share last.  Of a set of ``n``, a
+partner of similarity ``s`` must hold at least ``ceil(s * n)``, so two sets that link share one of their first
+``n - ceil(s * n) + 1`` shingles.  Any order gives right results; this one keeps shared passages and phrases out of the
+prefixes.  Documents with a prefix shingle in common form a group (one group for all shingles with the same members).  The
+R-tree over a group's points keeps the pairs whose summed minima leave a link possible; sets that share a phrase and
+little else are told apart there.  Documents that such pairs connect form one candidate family, each document belongs to
+one, and an R-tree join on the sets runs inside each.  Groups of more than ``MEET`` documents connect without that test,
+which can make a family larger than it need be, and never loses a pair.
 
 **Large families** are cut into chunks of ``CHUNK`` documents by hash, each joined with a copy of the family's first
 document, which ties the chunks together.  Where a family still has several components, its sets are rewritten as
@@ -45,12 +47,12 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import mixed, stored, utf8
 from marketloom.llm.graph import components
 
-DIMS = 32  # groups whose counts are the coordinates of a point
+DIMS = 256  # groups whose counts are the coordinates of a point: few shingles in each, or unrelated sets look alike
 LEAF = 8  # points of an R-tree leaf
 CHUNK = 96  # documents of a family that are joined at once
-RATIO = Fraction(5, 4)  # between the sizes at which the number of intervals changes
-SPARE = Fraction(1, 10)  # intervals beyond d + 1, by d: so many nearly empty ones may be left out
-WEAK = 2  # shingles of a nearly empty interval, at most
+MEET = 1024  # documents with a common prefix shingle up to which their points are compared
+COMMON = 1 << 16  # shingles at the end of the order, at most; the driver and each task hold them
+SEVERAL, BATCH = 4, 1 << 21  # a shingle is counted where so many of the texts of a batch of so many shingles hold it
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -67,50 +69,82 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return acc[np.concatenate(([True], acc[1:] != acc[:-1]))]
 
 
-def size_class(n: int) -> tuple[int, int]:
-    """Number and largest size of the class of ``n``; class k reaches to the floor of ``8 * RATIO ** k``."""
-    k, top = 0, Fraction(8)
-    while int(top) < n:
-        k, top = k + 1, top * RATIO
-    return k, int(top)
+def prefix(s: np.ndarray, similarity: Fraction, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set: by hash, the ``common`` ones (sorted) behind all others by their ``rank``."""
+    n = len(s)
+    first = n + (-n * similarity.numerator) // similarity.denominator + 1 if n else 0
+    at = np.searchsorted(common, s)
+    last = common[np.minimum(at, len(common) - 1)] == s if len(common) else np.zeros(n, bool)
+    rare = s[~last][:first]
+    behind = at[last]
+    return np.concatenate((rare, common[behind[np.argsort(rank[behind])]][: first - len(rare)]))
 
 
-def signatures(s: np.ndarray, similarity: Fraction) -> np.ndarray:
-    """One 64-bit value per interval of the hash range, for every size class in which the set may be the smaller or the larger."""
-    n = len(s)
-    out = []
-    least = -((-n * similarity.numerator) // similarity.denominator)
-    for k in range(size_class(least)[0], size_class(n)[0] + 1):
-        hi = int(Fraction(8) * RATIO**k)
-        d = int(hi * (1 - similarity) / similarity)
-        if not d:
-            continue  # such sets link only when equal
-        spare = int(d * SPARE) + 2 if hi >= 64 else 0
-        m = d + 1 + spare
-        group = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        starts = np.searchsorted(group, np.arange(m, dtype=np.uint64))
-        counts = np.diff(np.append(starts, n))
-        total = np.concatenate(([np.uint64(0)], np.cumsum(mixed(s ^ np.uint64(0xA24BAED4963EE407)))))
-        value = total[starts + counts] - total[starts]
-        value = mixed(mixed(value) + np.arange(m, dtype=np.uint64) + np.uint64((k + 1) << 40))
-        full = counts > WEAK
-        # A pair has spare + 1 equal intervals.  Whoever has no more nearly empty ones than spare can leave those out.
-        out.append(value[full] if m - full.sum() <= spare else value)
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def _describe(width: int, similarity: Fraction):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("sigs", pa.list_(pa.int64()))])
+def point(s: np.ndarray) -> np.ndarray:
+    """How many shingles of a set each of the groups has."""
+    return np.bincount((s & np.uint64(DIMS - 1)).astype(np.int64), minlength=DIMS)
+
+
+def _bytes(point: np.ndarray) -> bytes:
+    """A point in one byte a coordinate where that is enough, in four else."""
+    return point.astype("u1" if point.max() < 256 else "<i4").tobytes()
+
+
+def _point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "u1" if len(data) == DIMS else "<i4").astype(np.int32)
+
+
+def _shared(width: int):
+    """Shingles that several different texts of a batch hold, with their number there."""
+
+    def counted(sets: dict) -> pa.RecordBatch:
+        value, n = np.unique(np.concatenate([*sets.values(), np.empty(0, np.uint64)]), return_counts=True)
+        keep = n >= SEVERAL
+        return pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(n[keep])], names=["shingle", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, held = {}, 0
+        for batch in batches:
+            for text in batch.column(0):
+                own = shingle_set(text.as_py(), width)
+                key = xxhash.xxh3_128_digest(own.tobytes())
+                if key not in sets:
+                    sets[key] = own
+                    held += len(own)
+                if held >= BATCH:
+                    yield counted(sets)
+                    sets, held = {}, 0
+        yield counted(sets)
+
+    return run
+
+
+def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that most texts share, sorted, and their ranks from the least to the most shared one."""
+    found = texts.select("text").mapInArrow(_shared(width), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    most = found.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+    value, n = np.array([r[0] for r in most], np.int64).view(np.uint64), np.array([r[1] for r in most], np.int64)
+    rank = np.empty(len(value), np.int64)
+    rank[np.lexsort((value, n))] = np.arange(len(value))
+    order = np.argsort(value)
+    return value[order], rank[order]
+
+
+def _describe(width: int, similarity: Fraction, common: np.ndarray, rank: np.ndarray):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("point", pa.binary()), ("sigs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 1000):
                 part = batch.slice(low, 1000)
                 sets = [shingle_set(t.as_py(), width) for t in part.column(1)]
-                sigs = [signatures(s, similarity).view(np.int64) for s in sets]
+                sigs = [prefix(s, similarity, common, rank).view(np.int64) for s in sets]
                 lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32), np.concatenate(sigs))
                 prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), lists], schema=schema)
+                points = [_bytes(point(s)) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array(points, pa.binary()), lists], schema=schema
+                )
 
     return run
 
@@ -156,7 +190,7 @@ def join_sets(ids: list, sets: list[np.ndarray], weights: list[int], scale: int,
         return x
 
     weights = np.array(weights)
-    points = np.stack([np.bincount((s & np.uint64(DIMS - 1)).astype(np.int64), minlength=DIMS) for s in sets])
+    points = np.stack([point(s) for s in sets])
     tree = Tree(points[right], weights[right], scale)
     found = []
     for i in left:
@@ -168,6 +202,20 @@ def join_sets(ids: list, sets: list[np.ndarray], weights: list[int], scale: int,
     return found
 
 
+def _met(rows: list[tuple], num: int, den: int) -> list[tuple]:
+    """Rows: sig, 0, doc_id, n_shingles, point.  Pairs that connect the documents whose points leave a link possible."""
+    ids, weights = [r[2] for r in rows], np.array([num * r[3] for r in rows])
+    points = np.stack([_point(r[4]) for r in rows])
+    tree = Tree(points, weights, num + den)
+    label, found = np.arange(len(rows)), []
+    for i in range(len(rows)):
+        for j in tree.near(points[i], weights[i]):
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                found.append((ids[i], ids[j]))
+    return found
+
+
 def _in_groups(work, schema: pa.Schema):
     """A function over batches sorted by their first two columns that runs ``work`` on each group's rows."""
 
@@ -245,17 +293,25 @@ def _with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, similarity: Fraction = Fraction(9, 10), width: int = 3) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): doc_id, n_shingles, component_id."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
-    rows = stored(texts.mapInArrow(_describe(width, similarity), "doc_id bigint, n_shingles bigint, print binary, sigs array<bigint>"))
+    num, den = similarity.numerator, similarity.denominator
+    fields = "doc_id bigint, n_shingles bigint, print binary, point binary, sigs array<bigint>"
+    rows = stored(texts.mapInArrow(_describe(width, similarity, *common_shingles(texts, width)), fields))
 
     some = rows.where("print is not null and doc_id is not null")
     first = stored(some.groupBy("print").agg(F.min("doc_id").alias("node")))
     copies = some.select("doc_id", "print").join(first, "print").where("doc_id <> node").select("doc_id", F.col("node"))
     kept = first.select("print", F.col("node").alias("doc_id"))
-    tiles = some.join(kept, ["doc_id", "print"], "left_semi").select("doc_id", F.explode("sigs").alias("sig"))
-    shared = stored(tiles.groupBy("sig").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("last")).where("center < last").select("sig", "center"))
-    met = tiles.join(shared, "sig").where("doc_id <> center").select("doc_id", "center").distinct()
-
-    family = components(met)
+    kept = stored(some.join(kept, ["doc_id", "print"], "left_semi").dropDuplicates(["doc_id", "print"]))
+    sigs = kept.select("doc_id", F.explode("sigs").alias("sig")).distinct()
+    groups = sigs.groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("center"), F.bit_xor(F.xxhash64("doc_id")).alias("members"))
+    # Shingles with the same members are one group.
+    groups = groups.where("n > 1").groupBy("n", "center", "members").agg(F.min("sig").alias("sig"))
+    groups = stored(groups.select("sig", "n", "center"))
+    in_groups = stored(sigs.join(groups, "sig").select("sig", "doc_id", "n", "center"))
+    small = in_groups.where(F.col("n") <= MEET).join(kept.select("doc_id", "n_shingles", "point"), "doc_id")
+    small = small.select("sig", F.lit(0).alias("part"), "doc_id", "n_shingles", "point")
+    met = _grouped(small, lambda rows: _met(rows, num, den), LINKS, "a bigint, b bigint")
+    family = components(met.union(in_groups.where((F.col("n") > MEET) & (F.col("doc_id") != F.col("center"))).select("doc_id", "center")))
     size = stored(family.groupBy("component").agg((F.count("*") + 1).alias("size")))
     members = family.union(size.select(F.col("component").alias("node"), "component"))
     members = members.join(size, "component").select(F.col("component").alias("family"), "node", "size")
@@ -266,7 +322,6 @@ def jaccard_components(docs: DataFrame, similarity: Fraction = Fraction(9, 10),
 
     # Rows that share an id are one node: every text of a node takes part.
     texts = stored(texts.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"))
-    num, den = similarity.numerator, similarity.denominator
     chunks = members.select("family", "part", "node").join(texts, "node").select("family", "part", "node", "text")
     within = _grouped(chunks, lambda rows: _join_texts(rows, width, num, den), LINKS, "a bigint, b bigint")
     found = components(within.union(copies))

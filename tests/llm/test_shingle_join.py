@@ -66,20 +66,70 @@ def test_empty_table(spark):
     assert sj.jaccard_components(frame(spark, [])).collect() == []
 
 
-def test_linking_sets_share_an_interval():
-    """Any two sets at the threshold have a signature in common, the smaller one's or the larger one's class alike."""
+@pytest.mark.parametrize("similarity", [Fraction(9, 10), Fraction(4, 5)])
+def test_linking_sets_share_a_prefix_shingle(similarity):
+    """Any two sets at the threshold have a prefix shingle in common, whichever shingles come last."""
     rng = np.random.default_rng(4)
-    for n in (9, 20, 63, 64, 100, 333, 2000):
-        for _ in range(30):
+    found = 0
+    for n in (1, 5, 9, 20, 63, 64, 100, 333, 2000):
+        for turn in range(40):
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-            gone = int(n / 10) if rng.random() < 0.5 else int(n / 19)
-            more = 0 if gone == int(n / 10) else int(n / 19)
+            gone = rng.integers(0, max(1, int(n * (1 - similarity))) + 1)
+            more = rng.integers(0, max(1, int(n * (1 - similarity))) + 1)
             b = np.unique(np.concatenate((rng.permutation(a)[: n - gone], rng.integers(0, 2**63, more).astype(np.uint64))))
-            common = len(np.intersect1d(a, b))
-            if 10 * common < 9 * (len(a) + len(b) - common) or np.array_equal(a, b):
+            overlap = len(np.intersect1d(a, b))
+            if not len(b) or overlap < similarity * (len(a) + len(b) - overlap):
                 continue
-            s, t = sj.signatures(a, Fraction(9, 10)), sj.signatures(b, Fraction(9, 10))
-            assert len(np.intersect1d(s, t))
+            common = np.sort(rng.permutation(a)[: [0, n // 2, n][turn % 3]])
+            rank = rng.permutation(len(common))
+            found += 1
+            assert len(np.intersect1d(sj.prefix(a, similarity, common, rank), sj.prefix(b, similarity, common, rank)))
+    assert found > 100
+
+
+def families(spark, monkeypatch, rows, similarity, width):
+    """Sizes of the candidate families, from the documents that meet."""
+    seen = {}
+
+    def components(edges):
+        found = original(edges)
+        if not seen:
+            seen["sizes"] = sorted((r["count"] + 1 for r in found.groupBy("component").count().collect()), reverse=True)
+        return found
+
+    original = sj.components
+    monkeypatch.setattr(sj, "components", components)
+    out = got(sj.jaccard_components(documents(spark, rows), similarity, width))
+    return out, seen["sizes"]
+
+
+def test_unrelated_texts_share_no_family(spark, monkeypatch):
+    rows = [(k, " ".join(words(k, r, 4000))) for k, r in enumerate([300] * 40 + [1000] * 20 + [5000] * 6)]
+    out, sizes = families(spark, monkeypatch, rows, Fraction(4, 5), 5)
+    assert sizes == []
+    assert sorted(r[2] for r in out) == list(range(66))
+
+
+def test_a_shared_passage_makes_no_family(spark, monkeypatch):
+    passage = " ".join(words(77, 60, 4000))
+    rows = [(k, " ".join(words(k, 150, 4000)) + " " + passage + " " + " ".join(words(1000 + k, 150, 4000))) for k in range(300)]
+    out, sizes = families(spark, monkeypatch, rows, Fraction(4, 5), 5)
+    assert sizes == []
+    assert sorted(r[2] for r in out) == list(range(300))
+
+
+@pytest.mark.parametrize("common,meet", [(1 << 16, 128), (0, 3)])
+def test_four_fifths_of_five_words_equals_brute_force(spark, monkeypatch, common, meet):
+    monkeypatch.setattr(sj, "CHUNK", 7)
+    monkeypatch.setattr(sj, "COMMON", common)
+    monkeypatch.setattr(sj, "MEET", meet)
+    rows = copies(9, 6, 24)
+    # A copy with new text appended, and one with single words changed all over.
+    base = " ".join(words(5, 400, 10**6))
+    rows += [(900, base), (901, base + " " + " ".join(words(6, 60, 10**6))), (902, " ".join("new" if k % 50 == 7 else w for k, w in enumerate(base.split())))]
+    found = got(sj.jaccard_components(documents(spark, rows), Fraction(4, 5), 5))
+    assert found == brute(rows, 80, 100, 5)
+    assert [r[2] for r in found if r[0] in (900, 901, 902)] == [900] * 3
 
 
 def test_tree_loses_no_pair():
