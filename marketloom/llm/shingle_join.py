@@ -14,7 +14,7 @@ little else are told apart there.  Documents that such pairs connect form one ca
 one, and an R-tree join on the sets runs inside each.  Groups of more than ``MEET`` documents connect without that test,
 which can make a family larger than it need be, and never loses a pair.
 
-**Large families** are cut into chunks of ``CHUNK`` documents by hash, each joined with a copy of the family's first
+**Large families** are cut into chunks of ``CHUNK`` documents, or ``CHUNK_SHINGLES`` shingles, by hash, each joined with a copy of the family's first
 document, which ties the chunks together.  Where a family still has several components, its sets are rewritten as
 differences ``D`` from one reference set (what most documents of its first chunk hold; any set gives right results).
 ``A`` and ``B`` differ by what ``D(A)`` and ``D(B)`` do not share, so a pair links if the two differences are short
@@ -49,7 +49,7 @@ from marketloom.llm.graph import components
 
 DIMS = 256  # groups whose counts are the coordinates of a point: few shingles in each, or unrelated sets look alike
 LEAF = 8  # points of an R-tree leaf
-CHUNK = 96  # documents of a family that are joined at once
+CHUNK, CHUNK_SHINGLES = 2048, 1 << 21  # documents of a family that are joined at once, and their shingles, about
 MEET = 1024  # documents with a common prefix shingle up to which their points are compared
 COMMON = 1 << 16  # shingles at the end of the order, at most; the driver and each task hold them
 SEVERAL, BATCH = 4, 1 << 21  # a shingle is counted where so many of the texts of a batch of so many shingles hold it
@@ -181,23 +181,18 @@ class Tree:
 
 def join_sets(ids: list, sets: list[np.ndarray], weights: list[int], scale: int, known: list, left: np.ndarray, right: np.ndarray) -> list[tuple]:
     """Links that connect all that link between ``left`` and ``right`` rows, beyond those ``known`` (equal labels) already."""
-    up: dict = {}
-
-    def root(x):
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
     weights = np.array(weights)
+    label = np.unique(known, return_inverse=True)[1]
     points = np.stack([point(s) for s in sets])
     tree = Tree(points[right], weights[right], scale)
     found = []
     for i in left:
-        for j in right[tree.near(points[i], weights[i])]:
-            a, b = root(known[i]), root(known[j])
-            if a != b and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) * scale >= weights[i] + weights[j]:
-                up[max(a, b)] = min(a, b)
+        if (label[right] == label[i]).all():
+            continue
+        near = right[tree.near(points[i], weights[i])]
+        for j in near[label[near] != label[i]]:
+            if label[j] != label[i] and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) * scale >= weights[i] + weights[j]:
+                label[label == label[j]] = label[i]
                 found.append((ids[i], ids[j]))
     return found
 
@@ -312,13 +307,14 @@ def jaccard_components(docs: DataFrame, similarity: Fraction = Fraction(9, 10),
     small = small.select("sig", F.lit(0).alias("part"), "doc_id", "n_shingles", "point")
     met = _grouped(small, lambda rows: _met(rows, num, den), LINKS, "a bigint, b bigint")
     family = components(met.union(in_groups.where((F.col("n") > MEET) & (F.col("doc_id") != F.col("center"))).select("doc_id", "center")))
-    size = stored(family.groupBy("component").agg((F.count("*") + 1).alias("size")))
-    members = family.union(size.select(F.col("component").alias("node"), "component"))
-    members = members.join(size, "component").select(F.col("component").alias("family"), "node", "size")
-    members = members.withColumn("chunks", F.ceil(F.col("size") / CHUNK))
+    nodes = family.union(family.select("component", "component").distinct())
+    nodes = nodes.join(kept.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n_shingles").alias("shingles")), "node")
+    nodes = stored(nodes.select(F.col("component").alias("family"), "node", "shingles"))
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("shingles") / CHUNK_SHINGLES)).alias("chunks")
+    members = nodes.join(stored(nodes.groupBy("family").agg(chunks)), "family").select("family", "node", "chunks")
     part = F.pmod(F.xxhash64("node"), F.col("chunks"))
     parts = F.when(F.col("node") == F.col("family"), F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).otherwise(F.array(part))
-    members = stored(members.select("family", "node", "size", F.explode(parts).alias("part")))
+    members = stored(members.select("family", "node", "chunks", F.explode(parts).alias("part")))
 
     # Rows that share an id are one node: every text of a node takes part.
     texts = stored(texts.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"))
@@ -327,7 +323,7 @@ def jaccard_components(docs: DataFrame, similarity: Fraction = Fraction(9, 10),
     found = components(within.union(copies))
 
     # Families of several chunks that still have several components.
-    large = members.where(F.col("size") > CHUNK)
+    large = members.where("chunks > 1")
     labelled = _with_labels(large.select("family", "node").distinct(), found)
     open_families = labelled.groupBy("family").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("family")
     open_families = stored(open_families)
