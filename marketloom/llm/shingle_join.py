@@ -52,7 +52,7 @@ LEAF = 8  # points of an R-tree leaf
 CHUNK, CHUNK_SHINGLES = 2048, 1 << 21  # documents of a family that are joined at once, and their shingles, about
 MEET = 1024  # documents with a common prefix shingle up to which their points are compared
 COMMON = 1 << 16  # shingles at the end of the order, at most; the driver and each task hold them
-SEVERAL, BATCH = 4, 1 << 21  # a shingle is counted where so many of the texts of a batch of so many shingles hold it
+SEVERAL, BATCH = 3, 1 << 19  # a shingle is counted where so many of the texts of a batch of so many shingles hold it
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
