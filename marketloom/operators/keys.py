@@ -46,11 +46,17 @@ def assign_ids(df: DataFrame, order: list, name: str, start=1, partitions: int |
     keyed = df.withColumn("__key", F.struct(*order))
     placed = keyed.withColumn("__bounds", _bounds(keyed.select("__key"), ranges))
     placed = placed.withColumn("__range", _range_of(F.col("__bounds"), F.col("__key"), ranges)).drop("__bounds")
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__range").agg(F.count("*").alias("__n"))
+    # One row with all sizes: few thousand numbers, summed in place.
+    listed = sizes.agg(F.sort_array(F.collect_list(F.struct("__range", "__n"))).alias("sizes"))
+    sums = F.aggregate(
+        "sizes", F.array(F.lit(0).cast("long")), lambda done, x: F.array_append(done, F.element_at(done, -1) + x["__n"])
+    )
     offsets = (
-        placed.groupBy("__range")
-        .agg(F.count("*").alias("__n"))
-        .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        listed.select("sizes", sums.alias("sums"))
+        .select(F.inline(F.arrays_zip("sizes", "sums")))
+        .filter(F.col("sizes").isNotNull())
+        .select("sizes.__range", F.col("sums").alias("__before"))
     )
     within = F.row_number().over(Window.partitionBy("__range").orderBy("__key")).alias("__within")
     numbered = placed.select("*", within).join(offsets, "__range")
