@@ -13,7 +13,8 @@ round to groups of about ``GROUP_TOKENS`` tokens; a task trains the weights on a
 the groups' average, weighted by tokens.  A group of few tokens is passed through until it has had its part of ``STEPS``
 updates.  The driver holds the weights, and sums of them from about the square root of the number of groups.
 
-**Scoring.** Whole texts are scored side by side, sorted by length, window after window with the state carried on.
+**Scoring.** Whole texts are dealt to balanced streams, which are scored side by side, window after window with the state
+carried on and cleared where a text begins; a long text takes no more steps than the others share among them.
 
 **Counts of words.** The at most ``FREQUENT`` most frequent words go to the tasks; the rest of a text's words are joined
 with the table by their hash.  Words are told apart by 64-bit hashes.
@@ -27,8 +28,9 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +45,47 @@ VOCABULARY = 1024
 CLASSES = 32
 HIDDEN = 24
 WINDOW = 32  # tokens of a truncated window
-STREAMS = 128  # texts that are trained side by side
+STREAMS, FEW = 512, 128  # texts that are trained side by side, at most, and in small groups
 ROUNDS = 4  # of training, each on its own part of the texts
-GROUP_TOKENS = 1 << 20  # tokens that a task trains on in a round, about
+GROUP_TOKENS = 1 << 21  # tokens that a task trains on in a round, about
 STEPS = 500  # updates of a group in all rounds, at least
 FREQUENT = 1 << 17
-BATCH = 2048  # texts that are scored side by side
+DISTINCT = 1 << 19  # words that a task numbers before it begins anew
+PART = 1000  # texts whose words are numbered together
+BATCH = 8192  # texts that are scored together
+SAFE = 60.0  # up to this size, exponentials of single precision can be summed as they are
 END, OTHER = 0, 1
 END_HASH = 0  # stands for the end in the table of counts
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+class Words(dict):
+    """The words of a task's texts, numbered, so that each is hashed and looked up once."""
+
+    def __init__(self, frequent: Frequent | None = None):
+        super().__init__()
+        self.frequent, self._new = frequent, []
+        self.hashes = np.empty(0, np.int64)
+        self.counts, self.tokens = np.empty(0, np.int64), np.empty(0, np.int16)
+
+    def __missing__(self, word: bytes) -> int:
+        self._new.append(xxhash.xxh3_64_intdigest(word))
+        self[word] = number = len(self)
+        return number
+
+    def full(self) -> bool:
+        return len(self) >= DISTINCT
+
+    def numbers(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the texts' words, one text after another, and how many each has."""
+        split = [text.lower().split() for text in texts]
+        lengths = np.array([len(words) for words in split], np.int64)
+        flat = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        new, self._new = np.array(self._new, np.uint64).view(np.int64), []
+        self.hashes = np.concatenate((self.hashes, new))
+        if self.frequent is not None:
+            counts, tokens = self.frequent.look_up(new)
+            self.counts, self.tokens = np.concatenate((self.counts, counts)), np.concatenate((self.tokens, tokens.astype(np.int16)))
+        return flat, lengths
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -128,7 +158,7 @@ class Network:
         group, inner = goal // self.width, goal % self.width
         scale = (known / count).astype(np.float32)[:, None] * np.float32(len(inputs))
         rows = np.arange(len(goal))
-        pc = _softmax(flat @ w["c"] + w["cb"])
+        pc = _softmax(flat @ w["c"] + w["cb"], _bound(w["c"], w["cb"]))
         pc[rows, group] -= 1
         pc *= scale
         grads = {k: np.zeros_like(a) for k, a in w.items()}
@@ -139,7 +169,7 @@ class Network:
         for k in range(CLASSES):
             at = order[edges[k] : edges[k + 1]]
             if len(at):
-                pt = _softmax(flat[at] @ w["t"][k].T + w["tb"][k])
+                pt = _softmax(flat[at] @ w["t"][k].T + w["tb"][k], _bound(w["t"][k].T, w["tb"][k]))
                 pt[rows[: len(at)], inner[at]] -= 1
                 pt *= scale[at]
                 grads["t"][k], grads["tb"][k] = pt.T @ flat[at], pt.sum(axis=0)
@@ -165,77 +195,106 @@ class Network:
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood of each text (tokens without the end), the end included."""
-        order = np.argsort([-len(t) for t in texts], kind="stable")
-        lengths = np.array([len(texts[k]) + 1 for k in order])
-        out, state = np.zeros(len(texts)), np.zeros((len(texts), HIDDEN), np.float32)
-        ends = np.cumsum(lengths)
-        flat = np.full(ends[-1], END, np.int64)  # the texts one after another, each with its end
-        for k, end, n in zip(order, ends, lengths, strict=True):
-            flat[end - n : end - 1] = texts[k]
-        begins = ends - lengths
-        for low in range(0, int(lengths[0]), WINDOW):
-            states, goals, owners = [], [], []
-            for t in range(low, min(low + WINDOW, int(lengths[0]))):
-                live = int(np.searchsorted(-lengths, -t, side="left"))  # texts with more than t tokens come first
-                at = begins[:live] + t
-                tokens = flat[at - 1] if t else np.zeros(live, np.int64)
-                state[:live], _ = self.step(tokens, state[:live])
-                states.append(state[:live].copy())
-                goals.append(flat[at])
-                owners.append(np.arange(live))
-            owner = np.concatenate(owners)
-            out += np.bincount(owner, self._of(np.concatenate(states), np.concatenate(goals)), len(texts))
-        result = np.empty(len(texts))
-        result[order] = out / math.log(10)
-        return result
+        lengths = np.array([len(t) + 1 for t in texts])
+        # As many streams as are filled evenly in the time that the longest text takes.
+        streams = dealt(lengths, max(1, int(lengths.sum() // lengths.max())))
+        steps = [int(lengths[s].sum()) for s in streams]
+        order = np.argsort([-n for n in steps], kind="stable")
+        steps, streams = np.array(steps)[order], [streams[k] for k in order]
+        tokens = np.full((steps[0], len(streams)), -1, np.int16)  # -1 where a text begins
+        goals = np.full((steps[0], len(streams)), END, np.int16)
+        owners = np.zeros((steps[0], len(streams)), np.int32)
+        for k, own in enumerate(streams):
+            ends = np.cumsum(lengths[own])
+            for text, end in zip(own, ends, strict=True):
+                begin = end - lengths[text]
+                tokens[begin + 1 : end, k] = goals[begin : end - 1, k] = texts[text]
+                owners[begin:end, k] = text
+        out, state = np.zeros(len(texts)), np.zeros((len(streams), HIDDEN), np.float32)
+        live = np.searchsorted(-steps, -np.arange(1, steps[0] + 1), side="right")  # streams with so many tokens come first
+        for low in range(0, int(steps[0]), WINDOW):
+            states, at = [], range(low, min(low + WINDOW, int(steps[0])))
+            for t in at:
+                n = live[t]
+                entered = tokens[t, :n]
+                new = entered < 0
+                if new.any():
+                    state[:n][new] = 0
+                    entered = np.where(new, END, entered)
+                state[:n], _ = self.step(entered, state[:n])
+                states.append(state[:n].copy())
+            goal = np.concatenate([goals[t, : live[t]] for t in at]).astype(np.int64)
+            out += np.bincount(np.concatenate([owners[t, : live[t]] for t in at]), self._of(np.concatenate(states), goal), len(texts))
+        return out / math.log(10)
 
     def _of(self, states: np.ndarray, goal: np.ndarray) -> np.ndarray:
         """Natural logarithms of the goals' probabilities."""
         w = self.w
         group, inner = goal // self.width, goal % self.width
         logits = states @ w["c"] + w["cb"]
-        out = logits[np.arange(len(goal)), group] - _log_sum(logits)
+        out = logits[np.arange(len(goal)), group] - _log_sum(logits, _bound(w["c"], w["cb"]))
         order = np.argsort(group, kind="stable")
         edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
         for k in range(CLASSES):
             at = order[edges[k] : edges[k + 1]]
             if len(at):
                 logits = states[at] @ w["t"][k].T + w["tb"][k]
-                out[at] += logits[np.arange(len(at)), inner[at]] - _log_sum(logits)
+                out[at] += logits[np.arange(len(at)), inner[at]] - _log_sum(logits, _bound(w["t"][k].T, w["tb"][k]))
         return out.astype(float)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+def dealt(lengths: np.ndarray, streams: int) -> list[list[int]]:
+    """Texts of these lengths in so many streams of about equal length: the longest first, each to the shortest stream."""
+    out: list[list[int]] = [[] for _ in range(min(streams, len(lengths)))]
+    heap = [(0, k) for k in range(len(out))]
+    for text in np.argsort(-lengths, kind="stable").tolist():
+        size, k = heapq.heappop(heap)
+        out[k].append(text)
+        heapq.heappush(heap, (size + int(lengths[text]), k))
+    return out
+
+
+def _exp(x: np.ndarray, at_most: float) -> tuple[np.ndarray, np.ndarray | float]:
+    """Exponentials that don't overflow, and what was taken off before.  ``at_most`` bounds the absolute values."""
+    if at_most < SAFE:
+        return np.exp(x), 0.0
+    top = x.max(axis=1, keepdims=True)
+    return np.exp(x - top), top[:, 0]
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+def _softmax(x: np.ndarray, at_most: float) -> np.ndarray:
+    x, _ = _exp(x, at_most)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _log_sum(x: np.ndarray, at_most: float) -> np.ndarray:
+    x, top = _exp(x, at_most)
+    return np.log(x.sum(axis=1)) + top
+
+
+def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
+    """Largest absolute value that ``state @ weights + bias`` can have: the components of a state lie between -1 and 1."""
+    return float((np.abs(weights).sum(axis=0) + np.abs(bias)).max())
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a partition, and its ends, with how often each occurs."""
-    words, counts, held, size = [], [], [], 0
+    """Words of a partition, and its ends, with how often each occurs (a word more than once, if there are very many)."""
+    words, counts, ends = Words(), np.zeros(0, np.int64), 0
 
-    def merge():
-        nonlocal words, counts, held, size
-        u, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64), np.empty(0, np.int64))
-        u, inverse = np.unique(np.concatenate([*words, u]), return_inverse=True)
-        counts = [np.bincount(inverse, np.concatenate([*counts, n]), len(u)).astype(np.int64)]
-        words, held, size = [u], [], 0
+    def found() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.append(words.hashes, END_HASH)), pa.array(np.append(counts, ends))], names=["word", "n"])
 
-    ends = 0
     for batch in batches:
-        for text in batch.column(0):
-            h = word_hashes(text.as_py())
-            held.append(h)
-            ends, size = ends + 1, size + len(h)
-            if size > 2_000_000:
-                merge()
-    merge()
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(words[0], END_HASH)), pa.array(np.append(counts[0], ends))], names=["word", "n"])
+        for low in range(0, len(batch), PART):
+            flat, lengths = words.numbers(t.as_py() for t in batch.column(0).slice(low, PART))
+            more = np.bincount(flat, minlength=len(words))
+            more[: len(counts)] += counts
+            counts, ends = more, ends + len(lengths)
+            if words.full():
+                yield found()
+                words, counts, ends = Words(), np.zeros(0, np.int64), 0
+    yield found()
 
 
 @dataclass(frozen=True)
@@ -275,19 +334,18 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> Frequent:
     return Frequent(words, n, tokens)
 
 
-def streams_of(texts: list[np.ndarray]) -> list[np.ndarray]:
-    """At most ``STREAMS`` rows of whole texts (tokens), about equally long: -1, the text's tokens and the end, for each text."""
-    rows: list[list[np.ndarray]] = [[] for _ in range(min(STREAMS, len(texts)))]
-    heap = [(0, k) for k in range(len(rows))]
-    for text in sorted(texts, key=len, reverse=True):
-        size, k = heapq.heappop(heap)
-        rows[k] += [np.array([-1]), text, np.array([END])]
-        heapq.heappush(heap, (size + len(text) + 2, k))
+def streams_of(texts: list[np.ndarray], least: int = 1) -> list[np.ndarray]:
+    """Rows of whole texts (tokens), about equally long: -1, the text's tokens and the end, for each text.
+
+    There are ``STREAMS`` of them, fewer where one pass would else have less than ``least`` updates, but not below ``FEW``.
+    """
+    lengths = np.array([len(t) + 2 for t in texts])
     rng = np.random.default_rng(8)
     out = []
-    for row in rows:  # long texts and short ones in any order
-        places = rng.permutation(len(row) // 3)
-        out.append(np.concatenate([part for p in places for part in row[3 * p : 3 * p + 3]]).astype(np.int16))
+    for own in dealt(lengths, min(STREAMS, max(FEW, int(lengths.sum()) // (WINDOW * least)))):
+        # Long texts and short ones in any order.
+        parts = [part for k in rng.permutation(own) for part in (np.array([-1]), texts[k], np.array([END]))]
+        out.append(np.concatenate(parts).astype(np.int16))
     return out
 
 
@@ -297,10 +355,13 @@ def _tokenized(frequent: Frequent, groups: int, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for batch in batches:
-            tokens = [frequent.look_up(word_hashes(t.as_py()))[1].astype(np.int16).tobytes() for t in batch.column(0)]
-            own = np.arange(number, number + len(batch))
-            number += len(batch)
+        words = Words(frequent)
+        for part in (batch.slice(low, PART) for batch in batches for low in range(0, len(batch), PART)):
+            words = Words(frequent) if words.full() else words
+            flat, lengths = words.numbers(t.as_py() for t in part.column(0))
+            tokens = [t.tobytes() for t in np.split(words.tokens[flat], np.cumsum(lengths)[:-1])]
+            own = np.arange(number, number + len(part))
+            number += len(part)
             draw = mixed(own.astype(np.uint64) + np.uint64(seed + 1) * np.uint64(0x9E3779B97F4A7C15))
             columns = [own, (draw % np.uint64(ROUNDS)).astype(np.int32), ((draw >> np.uint64(8)) % np.uint64(groups)).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(tokens, pa.binary())], names=names)
@@ -317,7 +378,7 @@ def _trained(weights: dict[str, np.ndarray], turn: int, least: int):
     def result(group: int, texts: list[np.ndarray]) -> pa.RecordBatch:
         network = Network(np.zeros(VOCABULARY))
         network.w = {k: a.copy() for k, a in weights.items()}
-        streams = streams_of(texts)
+        streams = streams_of(texts, least)
         once = -(-(max(map(len, streams)) - 1) // WINDOW)
         network.train(streams, max(once, least), done=turn / ROUNDS, share=1 / ROUNDS)
         n = sum(map(len, texts)) + len(texts)
@@ -383,19 +444,20 @@ def _score(network: Network, frequent: Frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        words = Words(frequent)
         for batch in batches:
             for low in range(0, len(batch), BATCH):
                 part = batch.slice(low, BATCH)
-                hashes = [word_hashes(t.as_py()) for t in part.column(2)]
-                edges = np.concatenate(([0], np.cumsum([len(h) for h in hashes])))
-                flat = np.concatenate(hashes)
-                counts, tokens = frequent.look_up(flat)
-                owner = np.repeat(np.arange(len(hashes)), np.diff(edges))
+                words = Words(frequent) if words.full() else words
+                numbers, lengths = words.numbers(t.as_py() for t in part.column(2))
+                edges = np.concatenate(([0], np.cumsum(lengths)))
+                counts, tokens = words.counts[numbers], words.tokens[numbers]
+                owner = np.repeat(np.arange(len(lengths)), lengths)
                 logs = np.where(counts > 0, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
-                per = lambda x: np.bincount(owner, x, len(hashes))  # noqa: B023, E731
+                per = lambda x: np.bincount(owner, x, len(lengths))  # noqa: B023, E731
                 other = tokens == OTHER
                 rare = counts < 0
-                rest = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(per(rare)))).astype(np.int32), flat[rare])
+                rest = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(per(rare)))).astype(np.int32), words.hashes[numbers[rare]])
                 value = network.log10([tokens[a:b] for a, b in zip(edges, edges[1:])])
                 columns = [np.arange(number, number + len(part)), part.column(0), part.column(1), np.diff(edges) + 1, per(counts > 0).astype(np.int64), per(logs), per(other).astype(np.int64), per(logs * other), value, rest]
                 number += len(part)

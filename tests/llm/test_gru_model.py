@@ -143,3 +143,30 @@ def test_what_follows_word_400_is_learned(spark, monkeypatch, group_tokens):
     out = gm.score(documents(spark, rows)).collect()
     gain = np.mean([r.score - r.base_score for r in out])
     assert gain > 0.3 * 800
+
+
+def side_by_side(net, texts):
+    """Texts scored from their beginnings at once, sorted by length: how scores are defined, however texts are dealt."""
+    order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
+    out, state = np.zeros(len(texts)), np.zeros((len(texts), gm.HIDDEN), np.float32)
+    for t in range(len(texts[order[0]]) + 1):
+        live = [k for k in order if len(texts[k]) >= t]
+        state, _ = net.step(np.array([texts[k][t - 1] if t else gm.END for k in live]), state[: len(live)])
+        out[live] += net._of(state, np.array([texts[k][t] if t < len(texts[k]) else gm.END for k in live]))
+    return out / math.log(10)
+
+
+def test_streams_score_like_texts_side_by_side():
+    net, rng = network()
+    net.train(gm.streams_of([rng.integers(2, 300, 200) for _ in range(20)]), 30)
+    texts = [rng.integers(2, 300, n) for n in (0, 700, 0, 1, 33, *rng.integers(0, 120, 150))]
+    assert np.allclose(net.log10(texts), side_by_side(net, texts), rtol=1e-5, atol=1e-5)
+    assert np.allclose(net.log10(texts[1:2]), side_by_side(net, texts[1:2]), rtol=1e-5, atol=1e-5)
+
+
+def test_streams_are_balanced():
+    rng = np.random.default_rng(7)
+    lengths = np.concatenate(([5000], rng.integers(1, 400, 2000)))
+    sums = [lengths[own].sum() for own in gm.dealt(lengths, int(lengths.sum() // 5000))]
+    assert sorted(k for own in gm.dealt(lengths, 7) for k in own) == list(range(len(lengths)))
+    assert max(sums) <= 1.05 * min(sums) and max(sums) <= 1.05 * 5000
