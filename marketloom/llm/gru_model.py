@@ -439,6 +439,23 @@ def fit(training: DataFrame, counts: DataFrame, frequent: Frequent, total: int,
     return network
 
 
+def _counted(words: Words, texts: list[bytes]) -> tuple:
+    """Of each text its tokens; its number of words, of frequent ones, and the logarithms of these, of words outside the
+    vocabulary, and the logarithms of these; and the hashes of its other words."""
+    numbers, lengths = words.numbers(texts)
+    counts, tokens = words.counts[numbers], words.tokens[numbers]
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    logs = np.where(counts > 0, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
+    other, rare = tokens == OTHER, counts < 0
+
+    def per(x: np.ndarray) -> np.ndarray:
+        return np.bincount(owner, x, len(lengths))
+
+    edges = np.cumsum(lengths)[:-1]
+    rest = np.split(words.hashes[numbers[rare]], np.cumsum(per(rare).astype(np.int64))[:-1])
+    return np.split(tokens, edges), lengths, per(counts > 0).astype(np.int64), per(logs), per(other).astype(np.int64), per(logs * other), rest
+
+
 def _score(network: Network, frequent: Frequent):
     names = ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "other", "other_logs", "network", "rest"]
 
@@ -448,18 +465,17 @@ def _score(network: Network, frequent: Frequent):
         for batch in batches:
             for low in range(0, len(batch), BATCH):
                 part = batch.slice(low, BATCH)
-                words = Words(frequent) if words.full() else words
-                numbers, lengths = words.numbers(t.as_py() for t in part.column(2))
-                edges = np.concatenate(([0], np.cumsum(lengths)))
-                counts, tokens = words.counts[numbers], words.tokens[numbers]
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                logs = np.where(counts > 0, np.log10(np.maximum(counts, 0) + 1.0), 0.0)
-                per = lambda x: np.bincount(owner, x, len(lengths))  # noqa: B023, E731
-                other = tokens == OTHER
-                rare = counts < 0
-                rest = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(per(rare)))).astype(np.int32), words.hashes[numbers[rare]])
-                value = network.log10([tokens[a:b] for a, b in zip(edges, edges[1:])])
-                columns = [np.arange(number, number + len(part)), part.column(0), part.column(1), np.diff(edges) + 1, per(counts > 0).astype(np.int64), per(logs), per(other).astype(np.int64), per(logs * other), value, rest]
+                texts, sums, rests = [], [], []
+                for at in range(0, len(part), PART):  # only tokens are kept of all texts of a batch
+                    words = Words(frequent) if words.full() else words
+                    own, *found, rest = _counted(words, [t.as_py() for t in part.column(2).slice(at, PART)])
+                    texts += own
+                    sums.append(found)
+                    rests.append(rest)
+                lengths, known, logs, other, other_logs = (np.concatenate(c) for c in zip(*sums, strict=True))
+                rest = pa.ListArray.from_arrays(np.cumsum([0, *(len(r) for r in chain.from_iterable(rests))]).astype(np.int32), np.concatenate([r for own in rests for r in own]))
+                value = network.log10(texts)
+                columns = [np.arange(number, number + len(part)), part.column(0), part.column(1), lengths + 1, known, logs, other, other_logs, value, rest]
                 number += len(part)
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
