@@ -123,3 +123,25 @@ def test_a_security_in_all_portfolios_is_split(spark, monkeypatch):
     held = spark.createDataFrame([(i, "AAA", 1.0 + i) for i in range(400)], "portfolio_id long, ticker string, shares double")
     got = portfolio.value_series(t, held, "2024-01-01", "2024-12-31")
     assert sorted(rows(got)) == sorted((i, d(f"2024-01-{k:02d}"), (10.0 + k) * (1 + i)) for i in range(400) for k in range(1, 29))
+
+
+def test_series_of_all_is_valued_without_a_row_per_position_and_day(spark, monkeypatch):
+    monkeypatch.setattr(portfolio, "SLOT_POSITIONS", 7)
+    days = [f"2024-01-{k:02d}" for k in range(1, 29)]
+    quotes = [(i, day, 10 * i + k) for i in (1, 2, 3) for k, day in enumerate(days) if (i + k) % 3]
+    t = market(spark, Price=prices(spark, *quotes))
+    names = {1: "AAA", 2: "BBB", 3: "CCC"}
+    held = [(p, names[i], None if (p, i) == (4, 2) else p + i / 4) for p in range(30) for i in (1, 2, 3) if (p + i) % 4]
+    held.append((99, "BBB", None))
+    given = spark.createDataFrame(held, "portfolio_id long, ticker string, shares double")
+    series = portfolio.value_series(t, given, "2024-01-03", "2024-01-20")
+    want = {}
+    for p, name, shares in held:
+        for i, day, close in quotes:
+            if names[i] == name and "2024-01-03" <= day <= "2024-01-20":
+                before = want.get((p, d(day)))
+                want[p, d(day)] = before if shares is None else (before or 0.0) + shares * close
+    assert sorted(rows(series), key=str) == sorted(((p, day, v) for (p, day), v in want.items()), key=str)
+    # The rows that are shuffled are positions and packed prices.
+    plan = series._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate [portfolio_id" not in plan
