@@ -67,8 +67,9 @@ def parse_specs(specs: DataFrame, key: str = "spec_id", spec: str = "spec") -> D
     last entry of a ticker counts, at the position of its first.
     """
     fields = F.split("part", ":", -1)
+    # Dealt by key first: texts are shuffled, not their entries, and a task aggregates its share of a large file.
     entries = (
-        specs.select(key, F.posexplode(F.split(spec, ",", -1)).alias("position", "part"))
+        specs.select(key, spec).repartition(key).select(key, F.posexplode(F.split(spec, ",", -1)).alias("position", "part"))
         .filter(F.size(fields) >= 2)
         .select(
             key,
