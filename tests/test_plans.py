@@ -71,3 +71,16 @@ def test_building_an_analysis_starts_no_job(spark, key):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     spark.sparkContext.setJobGroup("", "")
     assert not jobs
+
+
+def test_a_session_with_few_partitions_spreads_what_a_task_holds(spark, without_broadcast):
+    for key, step in (("s4_action_impact_universe", r"Window \[last\(mark"), ("dq_primary_key", r"keys=\[portfolio_id#\d+L, security_id")):
+        plan = plan_of(all_cases()[key].run(spark, SMALL))
+        behind = plan[re.search(step, plan).start():]
+        assert "24), REPARTITION_BY_NUM" in behind[behind.index("Exchange"):].splitlines()[0]
+
+
+def test_asof_rows_are_narrow(spark, without_broadcast):
+    plan = plan_of(all_cases()["s4_action_impact_universe"].run(spark, SMALL))
+    window = [line for line in plan.splitlines() if "Window [last(mark" in line][0]
+    assert "is_probe" not in window and "action_date" not in window

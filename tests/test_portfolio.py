@@ -151,6 +151,6 @@ def test_specs_are_dealt_by_key_before_they_are_taken_apart(spark):
     specs = spark.createDataFrame([(1, "AAA:1:2,bbb:3,AAA:4:5"), (2, "x"), (3, None)], "spec_id long, spec string")
     parsed = portfolio.parse_specs(specs)
     assert sorted(rows(parsed)) == [(1, "AAA", 4.0, 5.0, 0), (1, "BBB", 3.0, 0.0, 1)]
-    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    plan = portfolio.parse_specs(specs)._jdf.queryExecution().executedPlan().toString()
     # No second shuffle of the entries, so neither are they aggregated in the tasks that read the files.
     assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
