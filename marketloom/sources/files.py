@@ -76,7 +76,9 @@ def read_tsv_with_rejects(
         options["quote"] = ""
     lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
     lines = lines.filter(~F.col("line").isin(_TSV["sep"].join(order), ""))
-    parsed = lines.withColumn("row", F.from_csv("line", ", ".join([*fields, "__unread string"]), options))
+    # A line is parsed once, whatever is asked of its fields: a generated row is not copied into each expression that uses it.
+    row = F.from_csv("line", ", ".join([*fields, "__unread string"]), options)
+    parsed = lines.select("line", "file", F.explode(F.array(row)).alias("row"))
     needed = [c.name for c in relation.cols if c.name in order and (c.required or c.name in relation.key)]
     missing = F.concat_ws(", ", *[F.when(F.col(f"row.{c}").isNull(), F.lit(c)) for c in needed])
     reason = F.when(F.col("row.__unread").isNotNull(), F.lit("fields do not fit")).when(

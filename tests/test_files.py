@@ -271,3 +271,14 @@ def test_old_loads_are_dropped(spark, folder):
     store.full_refresh(spark, t, folder)
     assert len(store.drop_old_loads(spark, folder)) == 2
     assert store.drop_old_loads(spark, folder) == []
+
+
+def test_a_line_is_parsed_once_for_each_relation(spark, folder):
+    with open(f"{folder}/t.tsv", "w") as f:
+        f.write("sector_id\tsector_name\n1\tTech\nx\tFin\n\\N\tOil\n3\n")
+    good, bad = files.read_tsv_with_rejects(spark, f"{folder}/t.tsv", "Sector")
+    assert rows(good) == [(1, "Tech")]
+    assert sorted((r.line, r.reason) for r in bad.collect()) == [
+        ("3", "fields do not fit"), ("\\N\tOil", "no value for sector_id"), ("x\tFin", "fields do not fit")]
+    for part in (good, bad):
+        assert part._jdf.queryExecution().executedPlan().toString().count("from_csv(") == 1
