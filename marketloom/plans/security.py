@@ -53,8 +53,9 @@ def rolling_volatility(tables: Tables, ticker=DEFAULT_TICKER, start=DEFAULT_STAR
     """Annualised sample deviation over 30 returns, all taken inside the range."""
     inside = dated(of_ticker(tables, "Price", ticker), "trade_date", start, end)
     returns = ts.with_daily_return(inside).filter(F.col("ret").isNotNull())
-    vol = ts.rolling_rows(F.stddev_samp, "ret", ROLLING_ROWS)
-    rows = returns.withColumn("ann_vol_pct", ts.annual_vol_pct(vol))
+    # Deviations are named before they are rounded, which uses them several times.
+    moved = returns.withColumn("dev", ts.rolling_rows(F.stddev_samp, "ret", ROLLING_ROWS))
+    rows = moved.withColumn("ann_vol_pct", ts.annual_vol_pct(F.col("dev")))
     return labelled(tables, rows, ticker, ["trade_date"], ["trade_date", "ann_vol_pct"])
 
 
@@ -63,10 +64,10 @@ def rolling_volatility_calendar(tables: Tables, ticker=DEFAULT_TICKER, start=DEF
 
     Frames and predecessors may precede the range.
     """
-    vol = ts.rolling_days(F.stddev_pop, "ret", ROLLING_DAYS)
     rows = (
         ts.with_daily_return(_until(tables, ticker, end))
-        .withColumn("rolling_vol_pct", ts.annual_vol_pct(vol))
+        .withColumn("dev", ts.rolling_days(F.stddev_pop, "ret", ROLLING_DAYS))
+        .withColumn("rolling_vol_pct", ts.annual_vol_pct(F.col("dev")))
         .filter(between("trade_date", start, end))
     )
     return labelled(tables, rows, ticker, ["trade_date"], ["trade_date", "rolling_vol_pct"])

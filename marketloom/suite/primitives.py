@@ -253,8 +253,9 @@ def _(t):
     FROM Price""")
 def _(t):
     rows = t["Price"].withColumn("close", F.col("close").cast("double"))
-    dev = ts.rolling_rows(F.stddev_samp, "close", 30)
-    return rows.select("security_id", "trade_date", round_half_away(dev, 2).alias("dev"))
+    # Named before it is rounded: an expression that uses a window thrice evaluates it thrice.
+    rows = rows.withColumn("dev", ts.rolling_rows(F.stddev_samp, "close", 30))
+    return rows.select("security_id", "trade_date", round_half_away("dev", 2).alias("dev"))
 
 
 @case("win_rows_sum", sql="""

@@ -213,8 +213,8 @@ _DEVIATION = "STDDEV_SAMP(ret) OVER (PARTITION BY security_id ORDER BY trade_dat
     FROM kept WHERE ret IS NOT NULL""")
 def _(tables):
     returns = ts.with_daily_return(_bucketed(tables, "Price")["Price"]).filter(F.col("ret").isNotNull())
-    vol = ts.rolling_rows(F.stddev_samp, "ret", security.ROLLING_ROWS)
-    return returns.select("security_id", "trade_date", ts.annual_vol_pct(vol).alias("ann_vol_pct"))
+    rows = returns.withColumn("dev", ts.rolling_rows(F.stddev_samp, "ret", security.ROLLING_ROWS))
+    return rows.select("security_id", "trade_date", ts.annual_vol_pct(F.col("dev")).alias("ann_vol_pct"))
 
 
 @case("join_asof_backward_bucketed", sql="""

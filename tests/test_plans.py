@@ -84,3 +84,15 @@ def test_asof_rows_are_narrow(spark, without_broadcast):
     plan = plan_of(all_cases()["s4_action_impact_universe"].run(spark, SMALL))
     window = [line for line in plan.splitlines() if "Window [last(mark" in line][0]
     assert "is_probe" not in window and "action_date" not in window
+
+
+@pytest.mark.parametrize("key", ["win_rows_stddev", "win_rows_stddev_bucketed", "s2_rolling_vol_universe", "q02_rolling_vol_calendar_universe"])
+def test_a_rolling_deviation_is_evaluated_once(spark, key):
+    plan = plan_of(all_cases()[key].run(spark, SMALL))
+    assert len(re.findall(r"stddev_(?:samp|pop)\([^()]*\) windowspecdefinition", plan)) == 1
+
+
+def test_the_basket_is_made_of_combined_ticks(spark):
+    plan = plan_of(all_cases()["table_price"].run(spark, SMALL))
+    # One shuffle by security and day, and one of a row per day and task.
+    assert plan.count("Exchange hashpartitioning(security_id") == 1 and plan.count("Exchange") == 2
