@@ -246,14 +246,21 @@ def digests(tables: Mapping[str, DataFrame], only: list[str] | None = None) -> D
     """Rows and digest per table: equal for tables with the same rows, in whatever order and files.
 
     The digest is the sum of 60-bit hashes of the rows as text, so it combines
-    before the shuffle, and repeated rows count.
+    before the shuffle, and repeated rows count. Both halves of the hashes are
+    added as whole numbers: they hold more than eight billion rows, and decimals
+    are made of the sums only.
     """
+    half = 1 << 30
     report = None
     for name in only or LOAD_ORDER:
         text = key_text(TABLES[name].columns)
-        number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
-        line = conform(tables[name], TABLES[name]).agg(
-            F.count("*").alias("n_rows"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("digest")
-        ).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+        number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+        summed = conform(tables[name], TABLES[name]).select(number.alias("number")).agg(
+            F.count("*").alias("n_rows"),
+            F.sum(F.shiftright("number", 30)).cast("decimal(20,0)").alias("high"),
+            F.sum(F.col("number").bitwiseAND(F.lit(half - 1))).cast("decimal(20,0)").alias("low"),
+        )
+        digest = F.coalesce(F.col("high") * F.lit(half).cast("decimal(10,0)") + F.col("low"), F.lit(0))
+        line = summed.select(F.lit(name).alias("table_name"), "n_rows", digest.cast("string").alias("digest"))
         report = line if report is None else report.unionByName(line)
     return report

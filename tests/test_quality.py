@@ -174,3 +174,19 @@ def test_delete_keeps_rows_that_restricting_children_use(spark):
     every = t["Sector"].select("sector_id")
     left = changes.delete_cascade(t, "Sector", every)
     assert sorted(rows(left["Sector"])) == sorted(rows(t["Sector"].join(t["Industry"].select("sector_id").distinct(), "sector_id", "left_semi")))
+
+
+def test_ranges_of_ids_are_found_by_compiled_steps(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import keys
+
+    data = spark.range(3000).selectExpr("id % 40 AS a", "CASE WHEN id % 7 <> 0 THEN id END AS b")
+    key = F.struct("a", "b")
+    bounds = keys._bounds(data.select(key.alias("__key")), 64)
+    placed = keys._with_range(data, bounds, key, 64).withColumn("bounds", bounds)
+    assert placed.filter(F.col("__range") != keys._range_of(F.col("bounds"), key, 64)).count() == 0
+    # A search by a higher-order function was interpreted for every row, and the key travelled twice.
+    plan = keys.assign_ids(data, ["a", "b"], "id", partitions=40)._jdf.queryExecution().executedPlan().toString()
+    searches = [line for line in plan.splitlines() if "lambdafunction" in line and "__range" in line and "sizes" not in line]
+    assert not searches and "__key" not in [line for line in plan.splitlines() if "+- Window" in line or "Window [" in line][0]
