@@ -282,3 +282,20 @@ def test_a_line_is_parsed_once_for_each_relation(spark, folder):
         ("3", "fields do not fit"), ("\\N\tOil", "no value for sector_id"), ("x\tFin", "fields do not fit")]
     for part in (good, bad):
         assert part._jdf.queryExecution().executedPlan().toString().count("from_csv(") == 1
+
+
+def test_two_loads_derive_the_large_tables_once(spark, monkeypatch):
+    from marketloom.suite import all_cases
+    from tests.conftest import SMALL
+
+    given = []
+
+    def write(rows, name, path, **options):
+        given.append((name, rows._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(rows, name, path, **options)
+
+    stored = store._write
+    monkeypatch.setattr(store, "_write", write)
+    assert all_cases()["sink_full_refresh"].run(spark, SMALL).count() == 13
+    plans = [plan for name, plan in given if name in store.CLUSTERED]
+    assert len(plans) == 2 * len(store.CLUSTERED) and not [plan for plan in plans if "Aggregate" in plan or "Union" in plan]
