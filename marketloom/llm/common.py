@@ -6,8 +6,13 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+BATCH_BYTES = 4 << 20  # of the batches in which Python tasks get texts
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,6 +38,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, ddl: str, rows: list[tuple]) -> DataFrame:
+    """Rows of the driver as a local relation; as a list they would be read by Python workers of their own in every executor."""
+    schema = T.StructType.fromDDL(ddl)
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets Python tasks get rows in batches of about ``BATCH_BYTES``, unless the session has a limit of its own.
+
+    Spark's limit of 64 MB makes one batch of most partitions of texts, which executor and worker then both hold.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def id_residue(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))

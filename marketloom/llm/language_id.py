@@ -100,9 +100,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per language and n-gram of a partition."""
     held: dict[str, list] = {}
     for batch in batches:
-        for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for language, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             parts = held.setdefault(language, [])
-            parts.append(ngram_counts(text))
+            parts.append(ngram_counts(text.as_py()))
             if len(parts) == 200:
                 held[language] = [_merged(parts)]
     for language, parts in held.items():

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import mixed, stored, utf8
+from marketloom.llm.common import mixed, small_table, stored, utf8
 
 BLOCK = 64  # words of a block
 SLOTS = 1024  # blocks of a full output shard
@@ -43,6 +43,7 @@ BUCKET = 1024  # rows of a source that are numbered together, on average
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
 SHARE = 1.5  # words of the mixture, as a multiple of all words
 MOST = 2.0  # of a source's size, at most
+ROWS = 250  # texts that a task cuts together
 
 
 @dataclass(frozen=True)
@@ -179,9 +180,8 @@ def mix(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] = ("doc_id",)) ->
 
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sources = plan([(r["source"], r["size"]) for r in totals])
-    number = {s.name: k for k, s in enumerate(sources)}
     buckets = {r["source"]: max(1, r["n"] // BUCKET) for r in totals}
-    table = spark.createDataFrame([(s.name, k, buckets[s.name]) for s, k in ((s, number[s.name]) for s in sources)] or [], "source string, source_no int, buckets long")
+    table = small_table(spark, "source string, source_no int, buckets long", [(s.name, k, buckets[s.name]) for k, s in enumerate(sources)])
     rows = sized.withColumnRenamed("source", "name").join(F.broadcast(table), F.col("name").eqNullSafe(F.col("source"))).drop("name")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*keep, "size"), "buckets"))
 
@@ -212,7 +212,7 @@ def taken_words(mixture: Mixture, key: str = "doc_id") -> DataFrame:
     of_row = mixture.pieces.join(times.hint("merge"), ["source_no", "block"]).groupBy(key, "source_no", "place", "size").agg(F.sum(F.col("length") * F.col("times")).alias("taken"))
     same = F.col("r.source_no").eqNullSafe(F.col("t.source_no")) & (F.col("r.place") == F.col("t.place")) & (F.col("r.size") == F.col("t.size"))
     found = mixture.rows.alias("r").join(of_row.alias("t"), same, "left").select("r.*", F.coalesce("t.taken", F.lit(0)).alias("taken"))
-    table = spark.createDataFrame([(k, s.size, s.target) for k, s in enumerate(mixture.sources)], "source_no int, source_size long, target double")
+    table = small_table(spark, "source_no int, source_size long, target double", [(k, s.size, s.target) for k, s in enumerate(mixture.sources)])
     return found.join(F.broadcast(table), "source_no").select(key, "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken"))
 
 
@@ -221,7 +221,7 @@ def _cut(columns: list[str], at: int):
     words = re.compile(rb"[^\x20\x09-\x0D]+")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, len(whole), ROWS)):
             out = []
             for text, parts in zip(batch.column(at), batch.column(len(columns))):
                 parts = sorted((p["pass_no"], p["start"], p["length"]) for p in parts.as_py())

@@ -3,9 +3,11 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketloom.llm import mixing
+from marketloom.llm.common import small_table
 from tests.llm.rows import documents, frame, words
 
 
@@ -94,3 +96,17 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert mixing.taken_words(mixing.mix(frame(spark, []))).collect() == []
     assert mixing.mixed_documents(frame(spark, [])).collect() == []
+
+
+def test_texts_are_cut_in_small_batches():
+    rows = pa.RecordBatch.from_pylist([{"text": f"a{k} b", "parts": [{"pass_no": 0, "start": 0, "length": 2}]} for k in range(2 * mixing.ROWS + 1)])
+    out = list(mixing._cut(["text"], 0)([rows]))
+    assert [len(b) for b in out] == [mixing.ROWS, mixing.ROWS, 1]
+    assert [t for b in out for t in b.column(0).to_pylist()] == rows.column(0).to_pylist()
+
+
+def test_table_of_the_driver_needs_no_python_workers(spark):
+    table = small_table(spark, "source string, source_no int", [("a", 0), (None, 1)])
+    assert sorted(map(tuple, table.collect()), key=lambda r: r[1]) == [("a", 0), (None, 1)]
+    assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
+    assert small_table(spark, "source string, source_no int", []).count() == 0

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 
 import corpus_pipeline as cp
-from marketloom.llm.common import stored
+from marketloom.llm.common import small_batches, stored
 from marketloom.llm.packing import Encoder
 from tests.llm.rows import documents, frame, words
 from tests.llm.test_shingle_join import brute, copies
@@ -69,3 +69,16 @@ def test_empty_table(spark):
     for _, stage in cp.STAGES:
         docs = stored(stage(spark, docs, ""))
     assert docs.collect() == []
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """Whole partitions as one batch took an executor's memory; a limit that the session has is kept."""
+    own, docs = spark.newSession(), [(k, "x" * 100_000, "en", "a") for k in range(100)]
+    sizes = lambda session: documents(session, docs).coalesce(1).select("text").mapInArrow(lambda bs: (b.from_pydict({"n": [len(b)]}) for b in bs), "n long").collect()
+    assert [r.n for r in sizes(own)] == [100]
+    small_batches(own)
+    assert max(r.n for r in sizes(own)) < 60
+    other = spark.newSession()
+    other.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    small_batches(other)
+    assert other.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
