@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.ingest import fixed_values as fixed
 from marketloom.ingest import market, reference
 from marketloom.quality import constraints
 from marketloom.schema import TABLES
+from marketloom.session import side_by_side
 from marketloom.sources import files, store
 from marketloom.sources.files import conform
 
@@ -69,11 +72,11 @@ class Curated:
 
 def land(raw: Mapping[str, DataFrame], root: str) -> None:
     """Writes raw data as the files that ``landed`` reads; members in the order of their ``ordinal``."""
-    files.write_constituents(raw[CONSTITUENTS].orderBy("ordinal"), f"{root}/{CONSTITUENTS}")
+    writes = [partial(files.write_constituents, raw[CONSTITUENTS].orderBy("ordinal"), f"{root}/{CONSTITUENTS}")]
     for name, layout in LAYOUTS.items():
-        rows = raw[name]
-        columns = [c.strip().rsplit(" ", 1) for c in layout.replace("(12,2)", "(12;2)").split(",")]
-        files.write_tsv(rows.select(*[F.col(c).cast(t.replace(";", ",")) for c, t in columns]), f"{root}/{name}")
+        columns = [f"CAST({c.name} AS {c.dataType.simpleString()}) AS {c.name}" for c in T.StructType.fromDDL(layout)]
+        writes.append(partial(files.write_tsv, raw[name].selectExpr(*columns), f"{root}/{name}"))
+    side_by_side(raw[CONSTITUENTS].sparkSession, writes)
 
 
 def landed(spark: SparkSession, root: str, fallback: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -81,14 +84,14 @@ def landed(spark: SparkSession, root: str, fallback: DataFrame | None = None) ->
     members = files.read_constituents(spark, f"{root}/{CONSTITUENTS}")
     raw = {CONSTITUENTS: members if fallback is None else files.first_available(members, fallback)}
     for name, layout in LAYOUTS.items():
-        raw[name] = files.read_tsv(spark, f"{root}/{name}", spark.createDataFrame([], layout).schema)
+        raw[name] = files.read_tsv(spark, f"{root}/{name}", T.StructType.fromDDL(layout))
     return raw
 
 
 def load(spark: SparkSession, landing: str, root: str, curated: Curated | None = None, **params) -> int:
     """Landed files to a new version of the store: read, cleaned, numbered, checked against every rule, committed."""
-    built = build_tables(landed(spark, landing), curated, **params)
-    return store.full_refresh(spark, built, root, check=constraints.all_violations)
+    built = build_tables(landed(spark, landing), curated, keep=store.stage(spark, root), **params)
+    return store.full_refresh(spark, built, root, check=constraints.EACH_TABLE)
 
 
 def refresh(spark: SparkSession, landing: str, root: str, today, curated: Curated | None = None, **params) -> list[int] | int:
@@ -108,24 +111,34 @@ def refresh(spark: SparkSession, landing: str, root: str, today, curated: Curate
 
 def build_tables(
     raw: Mapping[str, DataFrame], curated: Curated | None = None, *, mode: str = market.DAILY, start=None, end=None,
-    today=None, max_symbols: int | None = None,
+    today=None, max_symbols: int | None = None, keep: Callable[[DataFrame, str], DataFrame] = lambda rows, name: rows,
 ) -> dict[str, DataFrame]:
     """Builds every table from ``constituents``, ``prices``, ``fund_info``, ``chain``, ``info`` and ``actions``.
 
     Sizes that follow the market are joins and aggregations; the curated lists
-    are small, and constants unless given.
+    are small, and constants unless given. Nearly every table starts from the
+    numbered ones before it, and an id reads its rows three times: ``keep``
+    may store such a step under a name and return what was stored. Without it
+    each table is one plan from the raw rows, with all steps before it in it,
+    several times over.
     """
     spark = raw["constituents"].sparkSession
     first, last = market.date_range(start, end, today)
-    members = reference.clean_constituents(raw["constituents"], max_symbols=max_symbols)
-    sectors = reference.sector_table(members)
-    industries = reference.industry_table(members, sectors)
-    listing = reference.listing_tables(members, industries)
     curated = curated or Curated.standard(spark)
-    funds = curated.funds.select("position", F.col("symbol").alias("ticker"))
-    with_funds = reference.append_securities(listing.security, funds, "etf", fixed.SECOND_EXCHANGE)
+    members, chosen_funds, contracts = side_by_side(spark, [
+        partial(keep, reference.clean_constituents(raw["constituents"], max_symbols=max_symbols), "members"),
+        partial(keep, curated.funds, "funds"),
+        partial(keep, curated.options, "options"),
+    ])
+    sectors = keep(reference.sector_table(members), "sectors")
+    industries = keep(reference.industry_table(members, sectors), "industries")
+    listing = reference.listing_tables(members, industries, lambda rows: keep(rows, "numbered"))
+    funds = chosen_funds.select("position", F.col("symbol").alias("ticker"))
+    with_funds = keep(
+        reference.append_securities(listing.security, funds, "etf", fixed.SECOND_EXCHANGE), "with_funds"
+    )
 
-    targets = curated.options.withColumn(
+    targets = contracts.withColumn(
         "ticker", reference.option_symbol("underlying", "expiration_date", "option_type", "strike")
     )
     added = reference.added_securities(
@@ -145,25 +158,28 @@ def build_tables(
     )
 
     fund_ids = with_funds.filter(F.col("security_type") == "etf").select(F.col("ticker").alias("symbol"), "security_id")
-    etfs = market.fund_metadata(curated.funds, raw["fund_info"]).join(fund_ids, "symbol")
+    etfs = market.fund_metadata(chosen_funds, raw["fund_info"]).join(fund_ids, "symbol")
     scope = market.fundamentals_scope(members, mode)
+    days = raw["prices"].filter(F.col("trade_date").between(first, last))
+    # Ids and the ranges of a stored table take passes of their own over the rows: lines are parsed in one before.
+    snapshots, actions, prices = side_by_side(spark, [
+        partial(keep, market.clean_snapshots(scope, raw["info"], listing.security, last), "snapshots"),
+        partial(keep, raw["actions"].filter(F.col("action_date").between(first, last)), "actions"),
+        partial(keep, market.clean_prices(days, with_funds), "prices"),
+    ])
     built = {
         "Sector": sectors,
         "Industry": industries,
         "Company": listing.company,
-        "Exchange": spark.createDataFrame(
-            list(fixed.EXCHANGES), "exchange_id long, exchange_name string, country string, timezone string"
-        ),
+        "Exchange": reference.exchange_table(spark),
         "Security": securities,
         "Stock": listing.stock,
         "ETF": etfs,
         "Option_Contract": options,
         "Portfolio": curated.portfolios,
         "Holding": reference.resolve_holdings(curated.holdings, with_funds),
-        "Price": market.clean_prices(raw["prices"].filter(F.col("trade_date").between(first, last)), with_funds),
-        "Financial_Snapshot": market.snapshot_table(
-            market.clean_snapshots(scope, raw["info"], listing.security, last)
-        ),
-        "Corporate_Action": market.classify_actions(raw["actions"], scope, listing.security, first, last),
+        "Price": prices,
+        "Financial_Snapshot": market.snapshot_table(snapshots),
+        "Corporate_Action": market.classify_actions(actions, scope, listing.security, first, last),
     }
     return {name: conform(rows, TABLES[name]) for name, rows in built.items()}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketloom.ingest import fixed_values as fixed
@@ -58,6 +59,11 @@ class Listing:
     stock: DataFrame
 
 
+def exchange_table(spark: SparkSession) -> DataFrame:
+    """The fixed exchanges, as values in the plan: rows made in Python would start a worker on every core."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, fixed.EXCHANGES))} AS t(exchange_id, exchange_name, country, timezone)")
+
+
 def exchange_of(symbol) -> Column:
     return (
         F.when(F.col(symbol).isin(*fixed.SECOND_EXCHANGE_SYMBOLS), fixed.SECOND_EXCHANGE)
@@ -66,12 +72,15 @@ def exchange_of(symbol) -> Column:
     )
 
 
-def listing_tables(constituents: DataFrame, industries: DataFrame) -> Listing:
+def listing_tables(
+    constituents: DataFrame, industries: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> Listing:
     """Company, security and stock of each member under one id, in symbol order.
 
     An industry name that occurs under two sectors resolves to its highest id.
+    ``keep`` may store the numbered members, which all three start from.
     """
-    numbered = assign_ids(constituents, ["symbol"], "id")
+    numbered = keep(assign_ids(constituents, ["symbol"], "id"))
     last_id = industries.groupBy(F.col("industry_name").alias("sub_industry")).agg(
         F.max("industry_id").alias("industry_id")
     )

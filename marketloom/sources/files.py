@@ -35,8 +35,8 @@ def conform(rows: DataFrame, table: Table) -> DataFrame:
     absent = [c.name for c in table.cols if c.name not in present and (c.required or c.name in table.key)]
     if absent:
         raise ValueError(f"{table.name} lacks {', '.join(absent)}")
-    return rows.select(*[
-        (F.col(c.name) if c.name in present else F.lit(None)).cast(c.type).alias(c.name) for c in table.cols
+    return rows.selectExpr(*[
+        f"CAST({f'`{c.name}`' if c.name in present else 'NULL'} AS {c.type.simpleString()}) AS `{c.name}`" for c in table.cols
     ])
 
 

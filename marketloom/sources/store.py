@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketloom.quality.constraints import key_text
 from marketloom.schema import DROP_ORDER, INT, LOAD_ORDER, TABLES, TEXT
+from marketloom.session import side_by_side
 from marketloom.sources.files import conform
 
 # Large tables are clustered on the key the analyses restrict and group by.
@@ -86,14 +88,18 @@ def _commit(spark: SparkSession, root: str, version: int, folders: Mapping[str,
     return version
 
 
+def _first(check, tables: Mapping[str, DataFrame]):
+    return check(tables).first()
+
+
 def commit_tables(
     spark: SparkSession, changed: Mapping[str, DataFrame], root: str, check=None, based_on: int | None = None
 ) -> int:
     """Replaces some tables of the store and returns the new version; the files of the others stay.
 
     The new tables are written next to the current ones. Only when every one is
-    complete, and ``check`` (if given) finds no violating row, is the version
-    recorded; readers see the previous one until then, also after a failure
+    complete, and ``check`` (if given, one or several) finds no violating row, is the
+    version recorded; readers see the previous one until then, also after a failure
     half-way. ``based_on`` names the version that the changes were made from: the
     commit fails if another one has come in between.
     """
@@ -102,12 +108,12 @@ def commit_tables(
     version = (current if based_on is None else based_on) + 1
     attempt = spark.range(1).select(F.expr("uuid()")).first()[0]
     folders = dict(latest["tables"]) if latest else {}
-    for name, rows in changed.items():
-        folders[name] = f"{root}/load-{version:06d}-{attempt}/{name}"
-        _write(rows, name, folders[name])
+    folders |= {name: f"{root}/load-{version:06d}-{attempt}/{name}" for name in changed}
+    side_by_side(spark, [partial(_write, rows, name, folders[name]) for name, rows in changed.items()])
     if check is not None:
-        bad = check(_open(spark, folders)).first()
-        if bad is not None:
+        written = _open(spark, folders)
+        checks = [check] if callable(check) else check
+        for bad in filter(None, side_by_side(spark, [partial(_first, each, written) for each in checks])):
             raise ValueError(f"load {version} rejected, current load stays: {bad.asDict()}")
     return _commit(spark, root, version, folders)
 
@@ -136,6 +142,20 @@ def drop_old_loads(spark: SparkSession, root: str) -> list[str]:
     return sorted(gone)
 
 
+def stage(spark: SparkSession, root: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Returns a function that writes rows under a name beside the loads, and gives back what it wrote.
+
+    The folder is one of its own; ``drop_old_loads`` deletes it.
+    """
+    folder = f"{root}/stage-{spark.range(1).select(F.expr('uuid()')).first()[0]}"
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
 def load_days(spark: SparkSession, root: str, rows: DataFrame, name: str = "Price") -> list[int]:
     """Merges rows into a table split by year, by key, and returns the years rewritten; other years keep their files.
 

@@ -181,3 +181,33 @@ def test_a_load_that_breaks_a_rule_is_refused(spark, folder):
     with pytest.raises(ValueError, match="rejected"):
         pipeline.load(spark, f"{folder}/in", f"{folder}/store", wrong, today="2024-06-01")
     assert store.current_version(spark, f"{folder}/store") == 0
+
+
+def test_a_load_derives_each_step_once(spark, folder):
+    from marketloom.sources import store
+
+    raw = {name: spark.createDataFrame([], layout) for name, layout in pipeline.LAYOUTS.items()}
+    raw["constituents"] = members(spark, ("AAPL", "Apple", "Tech", "Hard"), ("MSFT", "Micro", "Tech", "Soft"), ("ZZZ", "Zed", "Fin", "Ins"))
+    built = pipeline.build_tables(raw, mode="full", today="2024-06-01", keep=store.stage(spark, folder))
+    for name in ("Industry", "Company", "Security", "Stock", "Option_Contract", "Holding"):
+        plan = built[name]._jdf.queryExecution().executedPlan().toString()
+        # The list of members, with its row_number, was in the plan of each, up to dozens of times.
+        assert "raw_constituents" not in plan and "WindowGroupLimit" not in plan and plan.count("Exchange ") < 12, name
+    assert sorted(rows(built["Company"])) == [(1, "Apple", 1, "US"), (2, "Micro", 3, "US"), (3, "Zed", 2, "US")]
+    assert built["Security"].count() == 3 + 5 + 5
+
+
+def test_a_table_is_checked_by_a_plan_of_its_own(spark, folder):
+    import pytest
+
+    from marketloom.sources import store
+    from tests.test_quality import full
+
+    t = dict(full(spark))
+    for check in constraints.EACH_TABLE:
+        assert check(t).first() is None
+        assert check(t)._jdf.queryExecution().executedPlan().toString().count("Exchange ") < 24
+    t["Stock"] = t["Stock"].unionByName(t["Stock"])
+    with pytest.raises(ValueError, match="primary key"):
+        store.full_refresh(spark, t, folder, check=constraints.EACH_TABLE)
+    assert store.current_version(spark, folder) == 0
