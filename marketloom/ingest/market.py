@@ -162,13 +162,17 @@ def classify_actions(raw: DataFrame, scope: DataFrame, securities: DataFrame, st
 
     A split above 1 is a split, any other a reverse split. Ids run by symbol,
     dividends before splits, then by date.
+
+    The symbols of a whole market are shuffled, not broadcast: a file of numbers
+    looks small to the planner, and the driver would hold every symbol made of
+    them. The ids read their rows three times, and all three share this shuffle.
     """
     ids = securities.select(F.col("ticker").alias("symbol"), "security_id")
+    listed = ids.join(scope.select("symbol").hint("shuffle_hash"), "symbol", "left_semi")
     dividend = F.col("kind") == "dividend"
     rows = (
         raw.filter(F.col("action_date").between(day(start), day(end)))
-        .join(scope.select("symbol"), "symbol", "left_semi")
-        .join(ids, "symbol")
+        .join(listed.hint("shuffle_hash"), "symbol")
         .select(
             "symbol",
             F.when(dividend, 0).otherwise(1).alias("turn"),

@@ -211,3 +211,14 @@ def test_a_table_is_checked_by_a_plan_of_its_own(spark, folder):
     with pytest.raises(ValueError, match="primary key"):
         store.full_refresh(spark, t, folder, check=constraints.EACH_TABLE)
     assert store.current_version(spark, folder) == 0
+
+
+def test_the_symbols_of_actions_stay_out_of_the_driver(spark):
+    from marketloom.suite import all_cases
+    from tests.conftest import SMALL
+
+    plan = all_cases()["ing_action_classify"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # They were broadcast twice in each pass; the sizes of the id ranges still may be.
+    by_symbol = [line for line in joins if "__range" not in line]
+    assert len(by_symbol) >= 4 and all("ShuffledHashJoin" in line for line in by_symbol), by_symbol
