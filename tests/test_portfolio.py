@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from marketloom.plans import catalog, portfolio
 from tests.market import d, market, prices, rows
 
@@ -154,3 +156,33 @@ def test_specs_are_dealt_by_key_before_they_are_taken_apart(spark):
     plan = portfolio.parse_specs(specs)._jdf.queryExecution().executedPlan().toString()
     # No second shuffle of the entries, so neither are they aggregated in the tasks that read the files.
     assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+
+
+def test_packed_prices_are_small_and_come_back_bit_by_bit(spark, monkeypatch):
+    import numpy as np
+
+    from marketloom.operators import valued
+
+    some = np.random.default_rng(1)
+    cents = some.integers(1, 10**7, 5000) / 100
+    for keys, quotes in (
+        (np.sort(some.choice(400_000, 5000, False)), cents), ([-5, -1, 3], [1.5, np.nan, 2.0]), ([7], [0.0]), ([0, 0, 2], [1 / 3, 2, 3]),
+        ([-2**63, 2**63 - 1], [1e300, -0.0]), ([1, 2], [214748.3647, 99999999.9999]),
+    ):
+        keys, quotes = np.array(keys, "i8"), np.array(quotes, "f8")
+        found = valued._pack(keys, quotes)
+        back = valued._unpack(*found)
+        assert back[0].tolist() == keys.tolist() and back[1].tobytes() == quotes.tobytes()
+    first, steps, values = valued._pack(np.sort(some.choice(400_000, 5000, False)), cents)
+    # They took 16 bytes each, in every block.
+    assert len(steps) + len(values) < 5 * 5000
+
+
+def test_blocks_are_dealt_to_more_tasks_than_a_session_has_partitions(spark, monkeypatch):
+    monkeypatch.setattr(portfolio, "SLOT_POSITIONS", 10)
+    t = market(spark, Price=prices(spark, (1, "2024-01-02", 10)))
+    held = spark.createDataFrame([(i, "AAA", 1.0) for i in range(400)], "portfolio_id long, ticker string, shares double")
+    got = portfolio.value_series(t, held, "2024-01-01", "2024-12-31")
+    sizes = got.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    # 40 blocks over 8 x 3 tasks by number; a hash over three partitions gave a task all blocks of several.
+    assert sum(r["count"] for r in sizes) == 400 and len(sizes) == 24
