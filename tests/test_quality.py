@@ -190,3 +190,16 @@ def test_ranges_of_ids_are_found_by_compiled_steps(spark):
     plan = keys.assign_ids(data, ["a", "b"], "id", partitions=40)._jdf.queryExecution().executedPlan().toString()
     searches = [line for line in plan.splitlines() if "lambdafunction" in line and "__range" in line and "sizes" not in line]
     assert not searches and "__key" not in [line for line in plan.splitlines() if "+- Window" in line or "Window [" in line][0]
+
+
+def test_ids_are_planned_in_time_with_many_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import keys
+
+    data = spark.range(3000).selectExpr("id % 40 AS a", "id AS b")
+    numbered = keys.assign_ids(data, ["a", "b"], "id", partitions=2048)
+    # The steps of the search end in a generated number; followed back through all thirteen, a key had 3 ** 13 parts.
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(array(__range" in plan
+    assert numbered.filter(F.col("id").between(1, 3000)).select("id").distinct().count() == 3000
